@@ -251,7 +251,7 @@ def scd2_apply_null_keys(spark, sf_dir):
 
 
 @query(f"""WITH {o.SKILLS_STATE}
-SELECT * EXCLUDE (end_date, is_current),
+SELECT * EXCLUDE (end_date, is_current, seen),
   CASE WHEN is_current AND seen IS NULL THEN TIMESTAMP '{LAST_DAY}' ELSE end_date END AS end_date,
   is_current AND seen IS NOT NULL AS is_current
 FROM (SELECT v.*, d.day FROM skills_state v LEFT JOIN daily_skills d
@@ -466,14 +466,14 @@ def ranking_view(spark, sf_dir):
 
 @query(f"""WITH {o.SNAPSHOTS} SELECT * FROM snapshots
 WHERE snapshot_date = DATE '2024-01-20' AND rank <= 1000 AND world = 'world 3'
-  AND regexp_matches(name, '[37]$')""")
+  AND regexp_matches(name, 'player [1-4]+2$')""")
 def ranking_view_regex(spark, sf_dir):
     return views.ranking_view(
         s.snapshots(spark, sf_dir),
         top=1000,
         snapshot="2024-01-20",
         world="World 3",
-        text="[37]$",
+        text="Player [1-4]+2$",
         regex=True,
     )
 
@@ -786,7 +786,7 @@ def heterogeneous_csv(spark, sf_dir):
 @query("SELECT CAST(event_id AS VARCHAR) AS event_id, event_type FROM events")
 def export_csv(spark, sf_dir):
     path = scratch_path(spark, "export")
-    tables.export_csv(table(spark, sf_dir, "events").select("event_id", "event_type"), path)
+    landing.export_csv(table(spark, sf_dir, "events").select("event_id", "event_type"), path)
     return spark.read.option("header", True).csv(path)
 
 

@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -40,17 +39,12 @@ class History:
         self.schema = schema
         self.keys = list(keys)
         self.tracked = list(tracked)
+        none = spark.createDataFrame([], COMMIT_SCHEMA)
+        none.coalesce(1).write.mode("ignore").parquet(f"{root}/commits")
 
     def commits(self) -> DataFrame:
         """One row per applied batch: its load history."""
-        empty = self.spark.createDataFrame([], COMMIT_SCHEMA)
-        path = f"{self.root}/commits"
-        try:
-            return self.spark.read.schema(empty.schema).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return empty
+        return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.root}/commits")
 
     def version(self) -> int | None:
         """The last published batch."""

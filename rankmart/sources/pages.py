@@ -9,6 +9,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
@@ -140,10 +141,9 @@ def extract_rows(
     Pages are independent, so this is one pass without a shuffle; pages that cannot
     match never reach Python.
     """
-    schema = pages.select(*page).schema
-    schema = (
-        schema.add("row_no", "int").add("header", "array<string>").add("cells", "array<string>")
-    )
+    texts = ArrayType(StringType())
+    schema = StructType(list(pages.select(*page).schema.fields))
+    schema.add("row_no", IntegerType()).add("header", texts).add("cells", texts)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,11 +156,10 @@ def extract_rows(
                     names.append(header)
                     cells.append(row)
             kept = batch.select(range(batch.num_columns - 1)).take(pa.array(source, pa.int64()))
-            texts = pa.list_(pa.string())
             arrays = [
                 pa.array(numbers, pa.int32()),
-                pa.array(names, texts),
-                pa.array(cells, texts),
+                pa.array(names, pa.list_(pa.string())),
+                pa.array(cells, pa.list_(pa.string())),
             ]
             yield pa.RecordBatch.from_arrays(
                 [*kept.columns, *arrays], [*kept.schema.names, "row_no", "header", "cells"]

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -54,17 +55,29 @@ def _like_table(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _insert(df: DataFrame, table: str, overwrite: bool) -> int:
+    spark = df.sparkSession
     counted = Observation()
-    partitions = _partitions(df.sparkSession, table)
-    (
-        _sized(_like_table(df, table), partitions)
-        .observe(counted, F.count(F.lit(1)).alias("rows"))
+    rows = _sized(_like_table(df, table), _partitions(spark, table))
+    writer = (
+        rows.observe(counted, F.count(F.lit(1)).alias("rows"))
         .write.option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
         .option("compression", COMPRESSION)
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table, overwrite=overwrite)
     )
+    # The static default would replace every partition of the table, and an insert
+    # reads this mode from the session only.
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        writer.insertInto(table, overwrite=overwrite)
     return counted.get["rows"]
 
 

@@ -34,7 +34,7 @@ def _rows(arrow) -> Counter:
 
 def compare(df, db, sql: str) -> str:
     """Empty if rows, names and types agree, else what differs."""
-    ours, theirs = df.toArrow(), db.execute(sql).to_arrow_table()
+    ours, theirs = df.toArrow(), db.sql(sql).to_arrow_table()
     if sorted(ours.column_names) != sorted(theirs.column_names):
         return f"columns {sorted(ours.column_names)} != {sorted(theirs.column_names)}"
     types = []
