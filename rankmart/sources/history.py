@@ -116,14 +116,9 @@ class History:
             .partitionBy("is_current")
             .parquet(f"{self.root}/versions/version={version}")
         )
-        seen = rows.get
-        commit = (
-            version,
-            as_of,
-            seen["total"],
-            seen["current"],
-            seen["total"] - seen["current"],
-            datetime.now(),
-        )
+        self._publish(version, as_of, rows.get["total"], rows.get["current"])
+
+    def _publish(self, version: int, as_of: datetime, total: int, current: int) -> None:
+        commit = (version, as_of, total, current, total - current, datetime.now())
         published = self.spark.createDataFrame([commit], COMMIT_SCHEMA).coalesce(1)
         published.write.mode("append").parquet(f"{self.root}/commits")
