@@ -4,7 +4,7 @@
 without a key puts the whole table there. Here a key with more rows than one task
 should hold is cut into *slices*, i.e. ranges of its order columns:
 
-1. Count the rows. Up to ``rows_per_slice`` rows need no slicing at all.
+1. Count the rows. A few slices' worth of rows fit one task and need no slicing.
 2. Sample the key and order columns and take every n-th sampled row of a key as a
    cut point. Keys with too few sampled rows get none and stay whole. There are at
    most ``MAX_SLICES`` cut points or so; they are frozen on the driver, so that each
@@ -28,7 +28,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-ROWS_PER_SLICE = 1_000_000
+# Slices are hashed to tasks, so they are smaller than a task's share: several small
+# ones even out where a few large ones would collide.
+ROWS_PER_SLICE = 250_000
+SLICES_PER_TASK = 4
 MAX_SLICES = 1 << 15
 SAMPLES_PER_SLICE = 32
 
@@ -120,22 +123,23 @@ def slice_rows(
     narrow = df.select(*dict.fromkeys([*keys, *names]))
 
     total = narrow.count()
-    if total <= rows_per_slice:
+    if total <= rows_per_slice * SLICES_PER_TASK:
         return Sliced(df, keys, order, hot=False)
 
     slices = min(MAX_SLICES, math.ceil(total / rows_per_slice))
     fraction = min(1.0, slices * SAMPLES_PER_SLICE / total)
+    step = max(1, round(fraction * total / slices))
     by_key = W.partitionBy(*keys).orderBy(*sort_columns(order))
     picked = (
         narrow.sample(fraction, seed=17)
         .withColumn("_pos", F.row_number().over(by_key))
-        .filter(F.col("_pos") % SAMPLES_PER_SLICE == 0)
+        .filter(F.col("_pos") % step == 0)
     )
     frozen = picked.toArrow()
     if frozen.num_rows == 0:
         return Sliced(df, keys, order, hot=False)
 
-    # At most sample size / SAMPLES_PER_SLICE rows, i.e. about MAX_SLICES.
+    # At most sample size / step rows, i.e. about MAX_SLICES.
     cuts = (
         df.sparkSession.createDataFrame(frozen, schema=picked.schema)
         .groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])

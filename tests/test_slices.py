@@ -93,6 +93,14 @@ def test_neighbours_need_an_ascending_order(skewed):
         with_previous(slice_rows(skewed, ["key"], ["-id"], 200), {"p": "id"})
 
 
+def test_one_row_per_slice(spark):
+    df = spark.createDataFrame([("k", n // 2, n) for n in range(9)], "k string, a int, id int")
+    sliced = slice_rows(df, ["k"], ["a", "id"], rows_per_slice=1)
+    assert sliced.df.groupBy(SLICE).count().count() == 9
+    got = with_previous(sliced, {"p": "id"}).result().orderBy("id").collect()
+    assert [r["p"] for r in got] == [None, *range(8)]
+
+
 def test_empty_input(spark, skewed):
     none = skewed.filter("id < 0")
     assert global_rank(none, ["id"], rows_per_slice=10).isEmpty()
