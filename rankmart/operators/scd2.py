@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 from rankmart.functions.hashing import hash_diff
 from rankmart.operators.slices import ROWS_PER_SLICE, slice_rows, with_next, with_previous
@@ -71,6 +72,12 @@ def scd2_open(df: DataFrame, tracked: Sequence[str], start: datetime | Column) -
     )
 
 
+def _version(side: str, fields: Sequence[StructField], **replaced: Column) -> Column:
+    """A row of ``side`` as a struct in the state's column order and types."""
+    values = [replaced.get(f.name, F.col(f"{side}.{f.name}")) for f in fields]
+    return F.struct(*[v.cast(f.dataType).alias(f.name) for v, f in zip(values, fields)])
+
+
 def scd2_step(
     current: DataFrame,
     updates: DataFrame,
@@ -78,17 +85,21 @@ def scd2_step(
     tracked: Sequence[str],
     as_of: datetime | Column,
     close_missing: bool = False,
+    small_updates: bool = False,
 ) -> DataFrame:
     """The current versions after ``updates``, and the versions closed by it.
 
     Both inputs hold at most one row per key. One full outer join finds every case;
-    a changed key yields two rows, the closed version and its successor.
+    a changed key yields two rows, the closed version and its successor. When the
+    caller has checked that the updates are small, they are broadcast instead and the
+    current versions stay where they are.
     """
     fields = current.schema.fields
     opened_rows = scd2_open(updates, tracked, as_of)
-    c = current.alias("c")
-    u = opened_rows.alias("u")
-    joined = c.join(u, same_key("c", "u", keys), "full_outer")
+    if small_updates:
+        opened_rows = F.broadcast(opened_rows)
+    c, u = current.alias("c"), opened_rows.alias("u")
+    on = same_key("c", "u", keys)
 
     known = F.col("c.is_current").isNotNull()
     present = F.col("u.hash_diff").isNotNull()
@@ -98,17 +109,21 @@ def scd2_step(
         closed = closed | (known & ~present)
     opened = changed | (present & ~known)
 
-    def version(side: str, **replaced: Column) -> Column:
-        values = [replaced.get(f.name, F.col(f"{side}.{f.name}")) for f in fields]
-        return F.struct(*[v.cast(f.dataType).alias(f.name) for v, f in zip(values, fields)])
-
-    old = version(
+    old = _version(
         "c",
+        fields,
         end_date=F.when(closed, _time(as_of)).otherwise(F.col("c.end_date")),
         is_current=~closed,
     )
-    rows = F.array_compact(F.array(F.when(known, old), F.when(opened, version("u"))))
-    return joined.select(F.inline(rows))
+    new = _version("u", fields)
+    both = F.inline(F.array_compact(F.array(F.when(known, old), F.when(opened, new))))
+    if not small_updates:
+        return c.join(u, on, "full_outer").select(both)
+
+    # Keys of the updates that have a current version: no more than there are updates.
+    met = c.join(u, on, "left_semi").select(*keys).alias("c")
+    fresh = u.join(F.broadcast(met), on, "left_anti").select(F.inline(F.array(new)))
+    return c.join(u, on, "left").select(both).unionByName(fresh)
 
 
 def scd2_apply(

@@ -65,6 +65,29 @@ SKILLS_PROGRESSION = [
 ]
 
 
+SKILLS_DISPLAY = ["rank", "name", "world", "vocation", "skill_level", "updated_at"]
+PLAYER_HISTORY = [
+    "previous_level",
+    "current_level",
+    "level_gain",
+    "experience_gain",
+    "avg_xp_per_day",
+    "days_between_updates",
+    "previous_start_date",
+    "current_start_date",
+]
+SKILL_HISTORY = [
+    "category",
+    "skill_before",
+    "skill_after",
+    "skill_gain",
+    "days_between_updates",
+    "avg_skill_per_day",
+    "from_date",
+    "to_date",
+]
+
+
 def _snapshot(day: date | str) -> Column:
     return F.lit(str(day)[:10]).cast("date")
 
@@ -198,8 +221,9 @@ def ranking_display(view: DataFrame) -> DataFrame:
     titled = [c for c in ("world", "vocation", "world_type", "skill_name") if c in view.columns]
     shown = view.withColumns({c: title_case(c) for c in titled})
     shown = shown.withColumn("updated_at", show_timestamp("updated_at"))
-    if "experience" in view.columns:
-        shown = shown.withColumn("experience", show_amount("experience"))
+    if "skill_name" in view.columns:
+        return shown.select(*SKILLS_DISPLAY).orderBy("rank")
+    shown = shown.withColumn("experience", show_amount("experience"))
     return shown.drop("snapshot_date").orderBy("rank")
 
 
@@ -220,6 +244,13 @@ def summary_view(
     return rows.orderBy(F.desc("players_count"), "world", "world_type", "vocation")
 
 
+def summary_display(view: DataFrame) -> DataFrame:
+    """A summary view as text for people, largest groups first."""
+    titled = {c: title_case(c) for c in ("world", "world_type", "vocation")}
+    shown = view.withColumns({**titled, "updated_at": show_timestamp("updated_at")})
+    return shown.orderBy(F.desc("players_count"), "world", "world_type", "vocation")
+
+
 def distribution(summary: DataFrame, by: str) -> DataFrame:
     """Players by world or by vocation, most first."""
     totals = summary.groupBy(by).agg(F.sum("players_count").alias("players_count"))
@@ -257,8 +288,9 @@ def player_history(progression: DataFrame, name: str) -> DataFrame:
     return progression.filter(F.col("name") == name).orderBy(time, "world")
 
 
-def _last(column: str, time: str) -> Column:
-    return F.max_by(column, F.struct(time, "world"))
+def _last(time: str, *columns: str) -> Column:
+    """The columns of the last row in time."""
+    return F.max_by(F.struct(*columns), F.struct(time, "world", *columns))
 
 
 def _mean(rate: str) -> Column:
@@ -269,34 +301,41 @@ def _mean(rate: str) -> Column:
 
 def progression_kpis(progression: DataFrame, by: Sequence[str] = ("name",)) -> DataFrame:
     """Experience figures per player: where they stand, what they gained, how fast."""
-    time = "current_start_date"
-    return progression.groupBy(*by).agg(
-        _last("current_level", time).alias("current_level"),
-        _last("world", time).alias("world"),
-        _last("vocation", time).alias("vocation"),
-        _last("world_type", time).alias("world_type"),
+    last = ["current_level", "world", "vocation", "world_type"]
+    figures = progression.groupBy(*by).agg(
+        _last("current_start_date", *last).alias("_last"),
         F.sum("experience_gain").alias("total_experience_gain"),
         _mean("avg_xp_per_day").alias("avg_xp_per_day"),
         F.sum("days_between_updates").alias("days_monitored"),
     )
+    return figures.select(
+        *by,
+        *[F.col("_last")[c].alias(c) for c in last],
+        "total_experience_gain",
+        "avg_xp_per_day",
+        "days_monitored",
+    )
 
 
 def skill_kpis(progression: DataFrame, by: Sequence[str] = ("name",)) -> DataFrame:
-    """Skill figures per player. The current skill is the highest one ever held."""
-    time = "to_date"
-    figures = [
+    """Skill figures per player. The current skill is the highest one ever held; of
+    several categories updated at the same time the last in order is shown."""
+    last = [c for c in ("world", "vocation", "category") if c not in by]
+    figures = progression.groupBy(*by).agg(
         F.max("skill_after").alias("current_skill"),
-        _last("world", time).alias("world"),
-        _last("vocation", time).alias("vocation"),
+        _last("to_date", *last).alias("_last"),
         F.sum("skill_gain").alias("total_skill_gain"),
         F.round(_mean("avg_skill_per_day"), 2).alias("avg_skill_per_day"),
         F.sum("days_between_updates").alias("days_monitored"),
-    ]
-    if "category" not in by:
-        # Of several categories updated at the same time the last in order is shown.
-        last = F.max_by("category", F.struct(time, "world", "category"))
-        figures.append(last.alias("category"))
-    return progression.groupBy(*by).agg(*figures)
+    )
+    return figures.select(
+        *by,
+        "current_skill",
+        *[F.col("_last")[c].alias(c) for c in last],
+        "total_skill_gain",
+        "avg_skill_per_day",
+        "days_monitored",
+    )
 
 
 def progression_display(history: DataFrame) -> DataFrame:
@@ -305,7 +344,8 @@ def progression_display(history: DataFrame) -> DataFrame:
     times = ["previous_start_date", "current_start_date", "from_date", "to_date"]
     shown = {c: show_amount(c) for c in amounts if c in history.columns}
     shown |= {c: show_timestamp(c) for c in times if c in history.columns}
-    return history.withColumns(shown)
+    chosen = SKILL_HISTORY if "skill_after" in history.columns else PLAYER_HISTORY
+    return history.withColumns(shown).select(*chosen)
 
 
 def counts_by(df: DataFrame, *columns: str) -> DataFrame:

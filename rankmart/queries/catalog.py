@@ -15,6 +15,7 @@ from rankmart.functions.text import show_amount, show_timestamp
 from rankmart.operators import conform, quality, rank, scd2
 from rankmart.operators.dedup import dedup
 from rankmart.plans import bronze, gold, views
+from rankmart.plans.marts import refresh_marts
 from rankmart.plans.silver import EXTRA, SKILLS, VOCATION
 from rankmart.queries import oracle as o
 from rankmart.queries import standin as s
@@ -22,6 +23,7 @@ from rankmart.queries.standin import AS_OF, LAST_DAY, moment, table
 from rankmart.session import scratch_path
 from rankmart.sources import landing, pages, tables
 from rankmart.sources.domain import EXPERIENCE_HEADER, WORLD_TYPES
+from rankmart.sources.history import BROADCAST_ROWS
 from rankmart.streaming.ingest import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -200,7 +202,7 @@ def scd2_from_batches(spark, sf_dir):
 
 @query(_VOCATION_STATE)
 def scd2_from_batches_sliced(spark, sf_dir):
-    """One key for all players of a type would be hot; here the slices are forced."""
+    """The same with slices small enough to be needed here."""
     return s.vocation_state(spark, sf_dir, rows_per_slice=FEW_ROWS)
 
 
@@ -339,6 +341,22 @@ def duplicate_keys(spark, sf_dir):
 # --- marts --------------------------------------------------------------------
 
 
+@query(_VOCATION_STATE)
+def scd2_apply_small(spark, sf_dir):
+    """The last day as a batch small enough to be sent to the current versions."""
+    before, last = _before_and_last(s.daily_vocation(spark, sf_dir))
+    state = scd2.scd2_from_batches(before, VOCATION.keys, VOCATION.tracked, "day").drop("day")
+    stepped = scd2.scd2_step(
+        state.filter("is_current"),
+        last,
+        VOCATION.keys,
+        VOCATION.tracked,
+        moment(LAST_DAY),
+        small_updates=last.count() <= BROADCAST_ROWS,
+    )
+    return state.filter("NOT is_current").unionByName(stepped)
+
+
 @query(f"WITH {o.RAW} {o.POPULATION_RANK}")
 def experience_global_rank(spark, sf_dir):
     return gold.experience_global_rank(s.population(spark, sf_dir), moment(AS_OF))
@@ -790,6 +808,13 @@ def export_csv(spark, sf_dir):
     return spark.read.option("header", True).csv(path)
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table of their own, as one stage leaves them for the next."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _new_table(spark, columns: str, by: str) -> str:
     name = f"rankmart_{uuid4().hex}"
     place = scratch_path(spark, "table")
@@ -853,6 +878,18 @@ def backfill_and_evolve(spark, sf_dir):
     return spark.table(name)
 
 
+@query(f"""{_SKILLS_PROGRESSION.replace("SELECT * FROM", "SELECT * EXCLUDE (updated_at) FROM")}""")
+def mart_tables(spark, sf_dir):
+    """All five marts written from two states, twice the same day, and one read back."""
+    prefix, place = f"rankmart_{uuid4().hex}_", scratch_path(spark, "marts")
+    tables.create_all(spark, prefix, place)
+    vocation = _stored(s.vocation_state(spark, sf_dir), "silver")
+    skills = _stored(s.skills_state(spark, sf_dir), "silver")
+    for _ in range(2):
+        names = refresh_marts(vocation, skills, moment(AS_OF), place, f"{prefix}gold")
+    return views.read_skills_progression(spark, names["skills_progression"])
+
+
 def _silver_rows(daily: DataFrame) -> DataFrame:
     return daily.withColumn("ingestion_time", F.col("day").cast("timestamp"))
 

@@ -21,6 +21,7 @@ from rankmart.operators.scd2 import scd2_from_batches, scd2_step
 COMMIT_SCHEMA = """version bigint, as_of timestamp, total_rows bigint, current_rows bigint,
     closed_rows bigint, published_at timestamp"""
 MAX_ROWS_PER_FILE = 500_000
+BROADCAST_ROWS = 100_000
 
 
 class History:
@@ -50,26 +51,39 @@ class History:
         """The last published batch."""
         return self.commits().agg(F.max("version")).first()[0]
 
-    def _read(self) -> DataFrame:
+    def _parts(self, *folders: str) -> DataFrame:
+        """Rows of some folders; only these are listed."""
         fields = StructType([f for f in self.schema.fields if f.name != "is_current"])
         stored = fields.add("version", "long").add("is_current", "boolean")
-        return self.spark.read.schema(stored).parquet(f"{self.root}/versions")
-
-    def current(self) -> DataFrame:
-        version = self.version()
-        if version is None:
+        base = f"{self.root}/versions"
+        reader = self.spark.read.schema(stored).option("basePath", base)
+        return reader.parquet(*[f"{base}/{folder}" for folder in folders])
+
+    def _rows(self, with_closed: bool) -> DataFrame:
+        published = self.commits().agg(
+            F.max("version").alias("version"),
+            F.max_by("current_rows", "version").alias("current"),
+            F.sum("closed_rows").alias("closed"),
+        )
+        last = published.first()
+        folders = []
+        if last["current"]:
+            folders.append(f"version={last['version']}/is_current=true")
+        if with_closed and last["closed"]:
+            folders.append("version=*/is_current=false")
+        if not folders:
             return self.spark.createDataFrame([], self.schema)
-        rows = self._read().filter((F.col("version") == version) & F.col("is_current"))
+        # A batch that was not published yet may have left a part.
+        rows = self._parts(*folders).filter(F.col("version") <= last["version"])
         return rows.select(*self.schema.names)
 
+    def current(self) -> DataFrame:
+        """The current versions as of the last published batch."""
+        return self._rows(with_closed=False)
+
     def state(self) -> DataFrame:
         """All versions of all keys, as of the last published batch."""
-        version = self.version()
-        if version is None:
-            return self.spark.createDataFrame([], self.schema)
-        closed = (F.col("version") <= version) & ~F.col("is_current")
-        live = (F.col("version") == version) & F.col("is_current")
-        return self._read().filter(closed | live).select(*self.schema.names)
+        return self._rows(with_closed=True)
 
     def apply(
         self,
@@ -78,12 +92,17 @@ class History:
         as_of: datetime,
         close_missing: bool = False,
     ) -> bool:
-        """Apply one batch, at most one row per key. False if it is already in."""
+        """Apply one batch, at most one row per key. False if it is already in.
+
+        A batch of at most ``BROADCAST_ROWS`` rows is sent to the current versions; a
+        larger one is joined by shuffling both.
+        """
         last = self.version()
         if last is not None and version <= last:
             return False
+        small = updates.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
         stepped = scd2_step(
-            self.current(), updates, self.keys, self.tracked, as_of, close_missing
+            self.current(), updates, self.keys, self.tracked, as_of, close_missing, small
         )
         self._write(stepped, version, as_of)
         return True

@@ -15,6 +15,7 @@ from rankmart.operators.scd2 import (
     scd2_as_of,
     scd2_from_batches,
     scd2_open,
+    scd2_step,
 )
 
 KEYS = ["name", "title"]
@@ -142,7 +143,7 @@ _batch = st.dictionaries(
 
 
 @settings(
-    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 @given(st.lists(_batch, min_size=1, max_size=5), st.integers(0, 4))
 def test_one_pass_equals_batch_by_batch(spark, batches, cut):
@@ -159,6 +160,23 @@ def test_one_pass_equals_batch_by_batch(spark, batches, cut):
     once = scd2_from_batches(df, KEYS, TRACKED, "at")
     assert all_of(once) == all_of(folded)
 
+    # So does sending the last batch to the current versions.
+    before = fold(spark, list(zip(B, players[:-1])))
+    for close_missing in (False, True):
+        large, small = (
+            scd2_step(
+                before.filter("is_current"),
+                frame(spark, *players[-1]),
+                KEYS,
+                TRACKED,
+                B[len(batches) - 1],
+                close_missing,
+                small_updates,
+            )
+            for small_updates in (False, True)
+        )
+        assert all_of(small) == all_of(large)
+
     # Continuing from the state of the first batches gives the same.
     border = B[min(cut, len(batches))]
     state = scd2_from_batches(df.filter(df["at"] < border), KEYS, TRACKED, "at").drop("at")
