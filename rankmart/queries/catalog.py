@@ -51,6 +51,29 @@ def _plain(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned})
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table of their own, as one stage leaves them for the next."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _vocation_table(spark, sf_dir):
+    return _stored(s.vocation_state(spark, sf_dir), "silver")
+
+
+def _skills_table(spark, sf_dir):
+    return _stored(s.skills_state(spark, sf_dir), "silver")
+
+
+def _snapshot_table(spark, sf_dir):
+    return _stored(s.snapshots(spark, sf_dir), "gold")
+
+
+def _skill_snapshot_table(spark, sf_dir):
+    return _stored(s.skill_snapshots(spark, sf_dir), "gold")
+
+
 # --- bronze -------------------------------------------------------------------
 
 
@@ -397,13 +420,13 @@ FROM skills_state WHERE is_current"""
 
 @query(_SKILLS_RANK)
 def skills_global_rank(spark, sf_dir):
-    return gold.skills_global_rank(s.skills_state(spark, sf_dir), moment(AS_OF))
+    return gold.skills_global_rank(_skills_table(spark, sf_dir), moment(AS_OF))
 
 
 @query(_SKILLS_RANK)
 def skills_global_rank_sliced(spark, sf_dir):
     return gold.skills_global_rank(
-        s.skills_state(spark, sf_dir), moment(AS_OF), rows_per_slice=50
+        _skills_table(spark, sf_dir), moment(AS_OF), rows_per_slice=50
     )
 
 
@@ -418,7 +441,7 @@ SELECT * FROM progression"""
 
 @query(_PLAYER_PROGRESSION)
 def player_progression(spark, sf_dir):
-    return gold.player_progression(s.vocation_state(spark, sf_dir), moment(AS_OF))
+    return gold.player_progression(_vocation_table(spark, sf_dir), moment(AS_OF))
 
 
 _ORDER_PROGRESSION = f"""WITH {o.ORDER_VERSIONS}, {o.progression("order_versions")}
@@ -442,7 +465,7 @@ _SKILLS_PROGRESSION = f"WITH {o.SKILLS_STATE}, {o.SKILLS_PROGRESSION} SELECT * F
 
 @query(_SKILLS_PROGRESSION)
 def skills_progression(spark, sf_dir):
-    return gold.skills_progression(s.skills_state(spark, sf_dir), moment(AS_OF))
+    return gold.skills_progression(_skills_table(spark, sf_dir), moment(AS_OF))
 
 
 # --- reads, filters and figures -----------------------------------------------
@@ -450,22 +473,22 @@ def skills_progression(spark, sf_dir):
 
 @query(f"WITH {o.SNAPSHOTS} SELECT * FROM snapshots")
 def rank_snapshots(spark, sf_dir):
-    return views.experience_rank_rows(s.snapshots(spark, sf_dir))
+    return views.experience_rank_rows(_snapshot_table(spark, sf_dir))
 
 
 @query(f"WITH {o.SNAPSHOTS} SELECT * FROM snapshots WHERE snapshot_date = DATE '2024-01-20'")
 def rank_snapshot_day(spark, sf_dir):
-    return views.experience_rank_rows(s.snapshots(spark, sf_dir), "2024-01-20 10:00:00")
+    return views.experience_rank_rows(_snapshot_table(spark, sf_dir), "2024-01-20 10:00:00")
 
 
 @query(f"WITH {o.SKILL_SNAPSHOTS} SELECT * FROM snapshots")
 def skill_snapshots(spark, sf_dir):
-    return views.skills_rank_rows(s.skill_snapshots(spark, sf_dir))
+    return views.skills_rank_rows(_skill_snapshot_table(spark, sf_dir))
 
 
 @query(f"WITH {o.SKILL_SNAPSHOTS} SELECT * FROM snapshots WHERE snapshot_date = DATE '2024-01-20'")
 def skill_snapshot_day(spark, sf_dir):
-    return views.skills_rank_rows(s.skill_snapshots(spark, sf_dir), date(2024, 1, 20))
+    return views.skills_rank_rows(_skill_snapshot_table(spark, sf_dir), date(2024, 1, 20))
 
 
 @query(f"""WITH {o.SNAPSHOTS} SELECT * FROM snapshots
@@ -474,7 +497,7 @@ WHERE snapshot_date = (SELECT max(snapshot_date) FROM snapshots) AND rank <= 100
   AND contains(lower(name), 'er 1')""")
 def ranking_view(spark, sf_dir):
     return views.ranking_view(
-        s.snapshots(spark, sf_dir),
+        _snapshot_table(spark, sf_dir),
         top=100,
         world_types=["Type 1", "Type 2", "Type 4"],
         vocations=["Click", "View"],
@@ -487,7 +510,7 @@ WHERE snapshot_date = DATE '2024-01-20' AND rank <= 1000 AND world = 'world 3'
   AND regexp_matches(name, 'player [1-4]+2$')""")
 def ranking_view_regex(spark, sf_dir):
     return views.ranking_view(
-        s.snapshots(spark, sf_dir),
+        _snapshot_table(spark, sf_dir),
         top=1000,
         snapshot="2024-01-20",
         world="World 3",
@@ -501,7 +524,7 @@ def ranking_view_regex(spark, sf_dir):
   max(experience) AS max_experience
 FROM snapshots WHERE snapshot_date = DATE '2024-01-20' AND rank <= 50""")
 def ranking_kpis(spark, sf_dir):
-    view = views.ranking_view(s.snapshots(spark, sf_dir), top=50, snapshot="2024-01-20")
+    view = views.ranking_view(_snapshot_table(spark, sf_dir), top=50, snapshot="2024-01-20")
     return views.ranking_kpis(view)
 
 
@@ -512,14 +535,14 @@ WHERE snapshot_date = (SELECT max(snapshot_date) FROM snapshots) AND rank <= 100
 
 @query(f"{_SKILL_VIEW} SELECT * FROM chosen")
 def skill_ranking_view(spark, sf_dir):
-    return views.ranking_view(s.skill_snapshots(spark, sf_dir), top=100, skill="Purchase")
+    return views.ranking_view(_skill_snapshot_table(spark, sf_dir), top=100, skill="Purchase")
 
 
 @query(f"""{_SKILL_VIEW} SELECT count(*) AS players, max(skill_level) AS max_skill_level,
   min(skill_level) AS min_skill_level, count(DISTINCT world) AS worlds,
   max(updated_at) AS last_update FROM chosen""")
 def skill_ranking_kpis(spark, sf_dir):
-    view = views.ranking_view(s.skill_snapshots(spark, sf_dir), top=100, skill="Purchase")
+    view = views.ranking_view(_skill_snapshot_table(spark, sf_dir), top=100, skill="Purchase")
     return views.ranking_kpis(view, "skill_level")
 
 
@@ -530,7 +553,7 @@ def skill_ranking_kpis(spark, sf_dir):
   strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at
 FROM snapshots WHERE snapshot_date = DATE '2024-01-20' AND rank <= 500""")
 def ranking_display(spark, sf_dir):
-    view = views.ranking_view(s.snapshots(spark, sf_dir), top=500, snapshot="2024-01-20")
+    view = views.ranking_view(_snapshot_table(spark, sf_dir), top=500, snapshot="2024-01-20")
     return views.ranking_display(view)
 
 
@@ -609,26 +632,26 @@ FROM (SELECT *, sum(CAST(round(avg_skill_per_day * 100) AS BIGINT)) OVER w AS ce
   count(avg_skill_per_day) OVER w AS n FROM progression WINDOW w AS (PARTITION BY name, category))
 GROUP BY name, category, cents, n""")
 def skill_kpis(spark, sf_dir):
-    progression = gold.skills_progression(s.skills_state(spark, sf_dir), moment(AS_OF))
+    progression = gold.skills_progression(_skills_table(spark, sf_dir), moment(AS_OF))
     return views.skill_kpis(progression, ["name", "category"])
 
 
 @query(f"{_PLAYER_PROGRESSION} WHERE name = 'player 7'")
 def player_history(spark, sf_dir):
-    progression = gold.player_progression(s.vocation_state(spark, sf_dir), moment(AS_OF))
+    progression = gold.player_progression(_vocation_table(spark, sf_dir), moment(AS_OF))
     return views.player_history(progression, "player 7")
 
 
 @query(f"{_SKILLS_PROGRESSION} WHERE name = 'player 7'")
 def skill_history(spark, sf_dir):
-    progression = gold.skills_progression(s.skills_state(spark, sf_dir), moment(AS_OF))
+    progression = gold.skills_progression(_skills_table(spark, sf_dir), moment(AS_OF))
     return views.player_history(progression, "player 7")
 
 
 @query(f"""WITH {o.SKILLS_STATE}, {o.SKILLS_PROGRESSION} SELECT DISTINCT name FROM progression
 WHERE vocation = 'vocation 3' AND category = 'view' AND contains(name, 'r 1')""")
 def find_players(spark, sf_dir):
-    progression = gold.skills_progression(s.skills_state(spark, sf_dir), moment(AS_OF))
+    progression = gold.skills_progression(_skills_table(spark, sf_dir), moment(AS_OF))
     found = views.find_players(
         progression, vocation="Vocation 3", category="view", text="R 1"
     )
@@ -691,7 +714,7 @@ def ranking_page_rows(spark, sf_dir):
 def rank_from_pages(spark, sf_dir):
     """From saved pages to the ranking mart."""
     loaded = bronze.bronze_vocation(_page_table(spark, sf_dir), "pages", moment(AS_OF))
-    state = scd2.scd2_open(loaded, VOCATION.tracked, moment(AS_OF))
+    state = scd2.scd2_open(_stored(loaded, "bronze"), VOCATION.tracked, moment(AS_OF))
     return gold.experience_global_rank(state, moment(AS_OF))
 
 
@@ -808,13 +831,6 @@ def export_csv(spark, sf_dir):
     return spark.read.option("header", True).csv(path)
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a table of their own, as one stage leaves them for the next."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _new_table(spark, columns: str, by: str) -> str:
     name = f"rankmart_{uuid4().hex}"
     place = scratch_path(spark, "table")
@@ -883,8 +899,8 @@ def mart_tables(spark, sf_dir):
     """All five marts written from two states, twice the same day, and one read back."""
     prefix, place = f"rankmart_{uuid4().hex}_", scratch_path(spark, "marts")
     tables.create_all(spark, prefix, place)
-    vocation = _stored(s.vocation_state(spark, sf_dir), "silver")
-    skills = _stored(s.skills_state(spark, sf_dir), "silver")
+    vocation = _vocation_table(spark, sf_dir)
+    skills = _skills_table(spark, sf_dir)
     for _ in range(2):
         names = refresh_marts(vocation, skills, moment(AS_OF), place, f"{prefix}gold")
     return views.read_skills_progression(spark, names["skills_progression"])

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -49,7 +49,15 @@ class History:
 
     def version(self) -> int | None:
         """The last published batch."""
-        return self.commits().agg(F.max("version")).first()[0]
+        return self._published()["version"]
+
+    def _published(self) -> Row:
+        """The last published batch, its current rows, and all closed rows."""
+        return self.commits().agg(
+            F.max("version").alias("version"),
+            F.max_by("current_rows", "version").alias("current"),
+            F.sum("closed_rows").alias("closed"),
+        ).first()
 
     def _parts(self, *folders: str) -> DataFrame:
         """Rows of some folders; only these are listed."""
@@ -59,13 +67,7 @@ class History:
         reader = self.spark.read.schema(stored).option("basePath", base)
         return reader.parquet(*[f"{base}/{folder}" for folder in folders])
 
-    def _rows(self, with_closed: bool) -> DataFrame:
-        published = self.commits().agg(
-            F.max("version").alias("version"),
-            F.max_by("current_rows", "version").alias("current"),
-            F.sum("closed_rows").alias("closed"),
-        )
-        last = published.first()
+    def _rows(self, last: Row, with_closed: bool) -> DataFrame:
         folders = []
         if last["current"]:
             folders.append(f"version={last['version']}/is_current=true")
@@ -79,11 +81,11 @@ class History:
 
     def current(self) -> DataFrame:
         """The current versions as of the last published batch."""
-        return self._rows(with_closed=False)
+        return self._rows(self._published(), with_closed=False)
 
     def state(self) -> DataFrame:
         """All versions of all keys, as of the last published batch."""
-        return self._rows(with_closed=True)
+        return self._rows(self._published(), with_closed=True)
 
     def apply(
         self,
@@ -97,12 +99,13 @@ class History:
         A batch of at most ``BROADCAST_ROWS`` rows is sent to the current versions; a
         larger one is joined by shuffling both.
         """
-        last = self.version()
-        if last is not None and version <= last:
+        last = self._published()
+        if last["version"] is not None and version <= last["version"]:
             return False
+        current = self._rows(last, with_closed=False)
         small = updates.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
         stepped = scd2_step(
-            self.current(), updates, self.keys, self.tracked, as_of, close_missing, small
+            current, updates, self.keys, self.tracked, as_of, close_missing, small
         )
         self._write(stepped, version, as_of)
         return True
@@ -112,12 +115,11 @@ class History:
 
         All batch times must be later than every start date of the state.
         """
-        last = self.version()
-        if last is not None and version <= last:
+        last = self._published()
+        if last["version"] is not None and version <= last["version"]:
             return False
-        versions = scd2_from_batches(
-            batches, self.keys, self.tracked, batch, current=self.current()
-        )
+        current = self._rows(last, with_closed=False)
+        versions = scd2_from_batches(batches, self.keys, self.tracked, batch, current=current)
         self._write(versions, version, as_of)
         return True
 
