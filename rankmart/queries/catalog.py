@@ -22,7 +22,7 @@ from rankmart.queries import standin as s
 from rankmart.queries.standin import AS_OF, LAST_DAY, moment, table
 from rankmart.session import scratch_path
 from rankmart.sources import landing, pages, tables
-from rankmart.sources.domain import EXPERIENCE_HEADER, WORLD_TYPES
+from rankmart.sources.domain import EXPERIENCE_HEADER, WORLD_TYPES, unknown_values
 from rankmart.sources.history import BROADCAST_ROWS
 from rankmart.streaming.ingest import ingest_available
 
@@ -727,6 +727,13 @@ def page_groups(spark, sf_dir):
     return tagged.select("page_id", origin.alias("origin"), "part")
 
 
+@query("""SELECT event_id, event_type FROM events
+WHERE event_type NOT IN ('view', 'click', 'purchase')""")
+def unknown_categories(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    return unknown_values(events, "event_type", ["view", "click", "purchase"])
+
+
 # --- storage ------------------------------------------------------------------
 
 MIDNIGHT = datetime(2024, 2, 1)

@@ -26,7 +26,8 @@ def create_all(spark: SparkSession, prefix: str = "", location: str | None = Non
     for table, (columns, partitions) in TABLES.items():
         database, short = table.split(".")
         name = f"{prefix}{database}.{short}"
-        spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {prefix}{database}")
+        place = f"LOCATION '{location}/{database}'" if location else ""
+        spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {prefix}{database} {place}")
         place = f"LOCATION '{location}/{database}/{short}'" if location else ""
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
