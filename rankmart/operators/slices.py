@@ -79,10 +79,11 @@ def _at_or_after(order: Sequence[str], cut: Column) -> Column:
     for key in reversed(order):
         name = order_name(key)
         here, there = F.col(name), cut[name]
+        # The first comparison decides nearly always; only a NULL needs the second.
         if key.startswith("-"):
-            beyond = there.isNotNull() & (here.isNull() | F.coalesce(here < there, F.lit(False)))
+            beyond = F.coalesce(here < there, there.isNotNull() & here.isNull())
         else:
-            beyond = here.isNotNull() & (there.isNull() | F.coalesce(here > there, F.lit(False)))
+            beyond = F.coalesce(here > there, here.isNotNull() & there.isNull())
         result = beyond | (here.eqNullSafe(there) & result)
     return result
 
