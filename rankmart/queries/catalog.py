@@ -161,10 +161,11 @@ def bronze_dedup(spark, sf_dir):
     return dedup(table(spark, sf_dir, "events"), ["user_id", "event_type"], ["ts", "event_id"])
 
 
-@query("""SELECT c_name AS name, c_mktsegment AS vocation, CAST(floor(c_acctbal) AS BIGINT) AS points,
-  CAST(NULL AS VARCHAR) AS title FROM customer
+@query("""SELECT c_name AS name, c_mktsegment AS vocation,
+  CAST(floor(c_acctbal) AS BIGINT) AS points, CAST(NULL AS VARCHAR) AS title FROM customer
 UNION ALL
-SELECT s_name, NULL, CAST(floor(s_acctbal) AS BIGINT), CAST(s_nationkey AS VARCHAR) FROM supplier""")
+SELECT s_name, NULL, CAST(floor(s_acctbal) AS BIGINT), CAST(s_nationkey AS VARCHAR)
+FROM supplier""")
 def conform_union(spark, sf_dir):
     customer = table(spark, sf_dir, "customer").select(
         F.col("c_name").alias("Name"),
@@ -212,7 +213,8 @@ FROM (SELECT *, CASE WHEN value >= 20 THEN event_type END AS title FROM events)"
 def hash_diff_rows(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     events = events.withColumn("title", F.when(F.col("value") >= 20, F.col("event_type")))
-    return events.select("event_id", hash_diff(["event_type", "user_id", "title"]).alias("hash_diff"))
+    digest = hash_diff(["event_type", "user_id", "title"])
+    return events.select("event_id", digest.alias("hash_diff"))
 
 
 _VOCATION_STATE = f"WITH {o.VOCATION_STATE} SELECT * FROM vocation_state"

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 AS_OF = "TIMESTAMP '2024-02-01 06:30:00'"
-FAR = "TIMESTAMP '9999-01-01'"
 
 RAW = """raw AS (
   SELECT CAST(c_custkey + 1 AS VARCHAR) AS rank_text, c_name AS name,
