@@ -14,6 +14,9 @@ and j there is a shift below ``PERIOD`` that puts i and j on cover places at onc
 3. The smallest ``doc_id`` of each window is joined back; windows of later documents are
    repeats.
 
+Steps 1 and 3 go through the hashes in ``SLICES`` slices one after the other. Equal hashes
+are in one slice, so that changes no result; it bounds the disk that shuffles take.
+
 A frequent passage is one key, but it is summed before the shuffle, and the joins that
 bring the sums back are plain equi-joins, which Spark splits when one key is large.
 
@@ -30,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +57,8 @@ WINDOW = 13
 PERIOD = 7
 COVER = (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
+SLICES = 4
+_ON_COVER = np.isin(np.arange(PERIOD), COVER)
 _RESULTS = ("span_words", "span_removed", "span_kept", "span_sha256")
 _DOC, _KEY, _STARTS = "_span_doc", "_span_key", "_span_starts"
 
@@ -66,7 +72,13 @@ def _hashed(batch: pa.RecordBatch, seed: int = 0):
     return hashes, first, owner, np.arange(len(starts)) - first[owner]
 
 
-def _anchors(batches: Iterator[pa.RecordBatch], places: bool) -> Iterator[pa.RecordBatch]:
+def _in_part(hashes: np.ndarray, part: int, parts: int) -> np.ndarray:
+    return (hashes >> np.uint64(32)) % np.uint64(parts) == part
+
+
+def _anchors(
+    batches: Iterator[pa.RecordBatch], part: int, parts: int, places: bool
+) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text"):
             hashes, first, owner, place = _hashed(batch)
@@ -75,7 +87,8 @@ def _anchors(batches: Iterator[pa.RecordBatch], places: bool) -> Iterator[pa.Rec
             if not count:
                 continue
             fits = owner[:count] == owner[ANCHOR - 1 :]
-            chosen = np.flatnonzero(fits & np.isin(place[:count] % PERIOD, COVER))
+            fits &= _ON_COVER[place[:count] % PERIOD] & _in_part(anchors, part, parts)
+            chosen = np.flatnonzero(fits)
             rows = owner[chosen]
             columns = {"anchor": signed(anchors[chosen]), "doc": batch.column("doc").take(rows)}
             if places:
@@ -84,7 +97,9 @@ def _anchors(batches: Iterator[pa.RecordBatch], places: bool) -> Iterator[pa.Rec
             yield pa.RecordBatch.from_pydict(columns)
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _windows(
+    batches: Iterator[pa.RecordBatch], part: int, parts: int
+) -> Iterator[pa.RecordBatch]:
     """Windows of full length that hold one of the anchors at ``places``."""
     for whole in batches:
         for batch in slices(whole, "text"):
@@ -100,11 +115,13 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.add.at(marked, np.maximum(at - (WINDOW - ANCHOR), np.repeat(first[:-1], sizes)), 1)
             np.add.at(marked, at + 1, -1)
             near = np.cumsum(marked)[:count] > 0
-            chosen = np.flatnonzero(near & (owner[:count] == owner[WINDOW - 1 :]))
+            ones = window_hashes(hashes, WINDOW)
+            near &= (owner[:count] == owner[WINDOW - 1 :]) & _in_part(ones, part, parts)
+            chosen = np.flatnonzero(near)
             rows = owner[chosen]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "one": signed(window_hashes(hashes, WINDOW)[chosen]),
+                    "one": signed(ones[chosen]),
                     "two": signed(mix(window_hashes(again, WINDOW)[chosen])),
                     "doc": batch.column("doc").take(rows),
                     "key": batch.column("key").take(rows),
@@ -113,7 +130,9 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def repeated_windows(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_windows(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", slices_of_hashes: int = SLICES
+) -> DataFrame:
     """``doc``, ``key`` and the first words (``starts``) of its repeated windows.
 
     Documents without any have no row. ``key`` tells rows of one ``doc_id`` apart.
@@ -124,37 +143,56 @@ def repeated_windows(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
         F.col(text).cast("string").alias("text"),
     ).filter("doc IS NOT NULL AND text IS NOT NULL")
 
+    candidates = _union(
+        [_anchored(texts, part, slices_of_hashes) for part in range(slices_of_hashes)]
+    )
+    places = F.flatten(F.collect_list("places")).alias("places")
+    candidates = candidates.groupBy("doc", "key").agg(places)
+    located = stored(texts.join(candidates, ["doc", "key"]), "located")
+    repeats = _union([_repeats(located, part, slices_of_hashes) for part in range(slices_of_hashes)])
+    starts = F.flatten(F.collect_list("starts")).alias("starts")
+    return repeats.groupBy("doc", "key").agg(starts)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _anchored(texts: DataFrame, part: int, parts: int) -> DataFrame:
+    """Places of the anchors of one part of the hashes that occur in several documents."""
+    least = F.min("doc").alias("least")
     shared = (
         texts.drop("key")
-        .mapInArrow(lambda b: _anchors(b, places=False), "anchor long, doc long")
+        .mapInArrow(lambda b: _anchors(b, part, parts, places=False), "anchor long, doc long")
         .groupBy("anchor")
-        .agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+        .agg(least, F.max("doc").alias("most"))
         .filter("least < most")
         .select("anchor")
     )
     shared = stored(shared, "anchors")
     schema = "anchor long, doc long, key long, place int"
-    placed = texts.mapInArrow(lambda b: _anchors(b, places=True), schema)
-    candidates = (
+    placed = texts.mapInArrow(lambda b: _anchors(b, part, parts, places=True), schema)
+    found = (
         placed.join(shared, "anchor", "left_semi")
         .groupBy("doc", "key")
-        .agg(F.collect_set("place").alias("places"))
-    )
-    candidates = stored(candidates, "anchored")
-    windows = texts.join(candidates, ["doc", "key"]).mapInArrow(
-        _windows, "one long, two long, doc long, key long, place int"
+        .agg(F.collect_list("place").alias("places"))
     )
-    windows = stored(windows, "windows")
-    firsts = windows.groupBy("one", "two").agg(
-        F.min("doc").alias("least"), F.max("doc").alias("most")
-    )
-    firsts = firsts.filter("least < most").select("one", "two", "least")
-    return (
-        windows.join(firsts, ["one", "two"])
-        .filter("least < doc")
-        .groupBy("doc", "key")
-        .agg(F.collect_set("place").alias("starts"))
+    return stored(found, "anchored")
+
+
+def _repeats(located: DataFrame, part: int, parts: int) -> DataFrame:
+    """Repeated windows of one part of the hashes."""
+    schema = "one long, two long, doc long, key long, place int"
+    windows = located.mapInArrow(lambda b: _windows(b, part, parts), schema)
+    firsts = (
+        windows.groupBy("one", "two")
+        .agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+        .filter("least < most")
+        .select("one", "two", "least")
     )
+    repeated = windows.join(firsts, ["one", "two"]).filter("least < doc")
+    starts = F.collect_list("place").alias("starts")
+    return stored(repeated.groupBy("doc", "key").agg(starts), "repeats")
 
 
 def _cut(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
