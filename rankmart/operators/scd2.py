@@ -34,8 +34,8 @@ def latest_batch(
 
     Of two batches with the same time the greater id wins.
     """
-    newest = df.agg(F.max(F.struct(time, batch))[batch].alias(batch))
-    return df.join(F.broadcast(newest), batch, "left_semi").select(*df.columns)
+    newest = df.agg(F.max(F.struct(time, batch))[batch])
+    return df.filter(F.col(batch) == newest.scalar())
 
 
 def new_keys(current: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -193,12 +193,14 @@ def _with_neighbour(sliced: Sliced, values: Mapping[str, str], forward: bool) ->
     if not sliced.hot:
         shifted = {new: shift(old).over(sliced.window()) for new, old in values.items()}
         return sliced.on(sliced.df.withColumns(shifted))
-    if any(k.startswith("-") for k in sliced.order):
-        raise ValueError("neighbours need an ascending order")
-
     row = F.struct(*[F.col(old).alias(new) for new, old in values.items()])
     edge = F.min_by if forward else F.max_by
-    edges = _per_slice(sliced, edge(row, F.struct(*sliced.order)))
+    placed, place = sliced, F.struct(*[F.col(order_name(k)) for k in sliced.order])
+    if any(k.startswith("-") for k in sliced.order):
+        # A struct compares ascending only; the position in the slice knows every order.
+        place = F.row_number().over(sliced.window())
+        placed, place = sliced.on(sliced.df.withColumn("_place", place)), F.col("_place")
+    edges = _per_slice(placed, edge(row, place))
     beyond = edges.withColumn("_beyond", shift("_agg").over(_slices_of_key(sliced)))
     columns = sliced.df.columns
     local = sliced.df.withColumn("_near", shift(row).over(sliced.window()))

@@ -144,8 +144,8 @@ def read_skills_progression(
 
 def latest_snapshot(mart: DataFrame) -> DataFrame:
     """Rows of the newest snapshot."""
-    newest = mart.agg(F.max("snapshot_date").alias("snapshot_date"))
-    return mart.join(F.broadcast(newest), "snapshot_date", "left_semi").select(*mart.columns)
+    # A scalar subquery, unlike a join, prunes the partitions of a stored mart.
+    return mart.filter(F.col("snapshot_date") == mart.agg(F.max("snapshot_date")).scalar())
 
 
 def _one_of(column: str, values: Sequence[str]) -> Column:

@@ -2,9 +2,11 @@
 
 ``<root>/versions/version=<n>/is_current=true`` holds all current versions after
 batch ``n``, ``is_current=false`` those that batch ``n`` closed. The state after
-batch ``n`` is therefore every closed part up to ``n`` and one current part. A batch
-is one write job; a row in ``<root>/commits`` publishes it afterwards. A job that
-dies before leaves the state as it was, and running it again overwrites its part.
+batch ``n`` is therefore one current part and the closed parts from the ``base`` of
+``n`` on. A batch is one write job; a row in ``<root>/commits`` publishes it
+afterwards, and only published parts are read. A job that dies before leaves the state
+as it was, and running it again overwrites its part. A batch that changes the past
+(``rewrite``) writes all versions and is its own base.
 """
 
 from __future__ import annotations
@@ -16,10 +18,10 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from rankmart.operators.scd2 import scd2_from_batches, scd2_step
+from rankmart.operators.scd2 import same_key, scd2_from_batches, scd2_step
 
 COMMIT_SCHEMA = """version bigint, as_of timestamp, total_rows bigint, current_rows bigint,
-    closed_rows bigint, published_at timestamp"""
+    closed_rows bigint, published_at timestamp, base bigint"""
 MAX_ROWS_PER_FILE = 500_000
 BROADCAST_ROWS = 100_000
 
@@ -56,9 +58,14 @@ class History:
         return self.commits().agg(
             F.max("version").alias("version"),
             F.max_by("current_rows", "version").alias("current"),
-            F.sum("closed_rows").alias("closed"),
+            F.max_by("base", "version").alias("base"),
+            F.max("as_of").alias("as_of"),
         ).first()
 
+    def applied_until(self) -> datetime | None:
+        """The latest time that a published batch reached."""
+        return self._published()["as_of"]
+
     def _parts(self, *folders: str) -> DataFrame:
         """Rows of some folders; only these are listed."""
         fields = StructType([f for f in self.schema.fields if f.name != "is_current"])
@@ -71,13 +78,14 @@ class History:
         folders = []
         if last["current"]:
             folders.append(f"version={last['version']}/is_current=true")
-        if with_closed and last["closed"]:
-            folders.append("version=*/is_current=false")
+        if with_closed and last["version"] is not None:
+            # One row per batch since the last rewrite.
+            parts = self.commits().filter((F.col("version") >= last["base"]) & (F.col("closed_rows") > 0))
+            numbers = sorted(r["version"] for r in parts.select("version").collect())
+            folders += [f"version={n}/is_current=false" for n in numbers]
         if not folders:
             return self.spark.createDataFrame([], self.schema)
-        # A batch that was not published yet may have left a part.
-        rows = self._parts(*folders).filter(F.col("version") <= last["version"])
-        return rows.select(*self.schema.names)
+        return self._parts(*folders).select(*self.schema.names)
 
     def current(self) -> DataFrame:
         """The current versions as of the last published batch."""
@@ -107,7 +115,7 @@ class History:
         stepped = scd2_step(
             current, updates, self.keys, self.tracked, as_of, close_missing, small
         )
-        self._write(stepped, version, as_of)
+        self._write(stepped, version, as_of, last["base"])
         return True
 
     def catch_up(self, batches: DataFrame, batch: str, version: int, as_of: datetime) -> bool:
@@ -120,10 +128,30 @@ class History:
             return False
         current = self._rows(last, with_closed=False)
         versions = scd2_from_batches(batches, self.keys, self.tracked, batch, current=current)
-        self._write(versions, version, as_of)
+        self._write(versions, version, as_of, last["base"])
         return True
 
-    def _write(self, versions: DataFrame, version: int, as_of: datetime) -> None:
+    def rewrite(self, batches: DataFrame, batch: str, version: int, as_of: datetime) -> bool:
+        """Replace all versions of the keys in ``batches`` by those that it gives.
+
+        ``batches`` holds everything ever seen of its keys, so that what arrives late
+        takes its place in time. Versions of other keys stay; all are written anew.
+        """
+        last = self._published()
+        if last["version"] is not None and version <= last["version"]:
+            return False
+        redone = scd2_from_batches(batches, self.keys, self.tracked, batch)
+        touched = batches.select(*self.keys).distinct().alias("t")
+        state = self._rows(last, with_closed=True).alias("s")
+        others = state.join(touched, same_key("s", "t", self.keys), "left_anti")
+        columns = self.schema.names
+        versions = others.select(*columns).unionByName(redone.select(*columns))
+        self._write(versions, version, as_of, version)
+        return True
+
+    def _write(
+        self, versions: DataFrame, version: int, as_of: datetime, base: int | None
+    ) -> None:
         rows = Observation()
         (
             versions.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
@@ -131,15 +159,22 @@ class History:
                 rows,
                 F.count(F.lit(1)).alias("total"),
                 F.count_if("is_current").alias("current"),
+                F.count_if(F.col("end_date") <= F.col("start_date")).alias("backwards"),
             )
             .write.mode("overwrite")
             .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
             .partitionBy("is_current")
             .parquet(f"{self.root}/versions/version={version}")
         )
-        self._publish(version, as_of, rows.get["total"], rows.get["current"])
-
-    def _publish(self, version: int, as_of: datetime, total: int, current: int) -> None:
-        commit = (version, as_of, total, current, total - current, datetime.now())
+        seen = rows.get
+        if seen["backwards"]:
+            raise ValueError("a batch time is not later than the start of a current version")
+        base = version if base is None else base
+        self._publish(version, as_of, seen["total"], seen["current"], base)
+
+    def _publish(
+        self, version: int, as_of: datetime, total: int, current: int, base: int
+    ) -> None:
+        commit = (version, as_of, total, current, total - current, datetime.now(), base)
         published = self.spark.createDataFrame([commit], COMMIT_SCHEMA).coalesce(1)
         published.write.mode("append").parquet(f"{self.root}/commits")

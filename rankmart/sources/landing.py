@@ -139,11 +139,13 @@ def read_landing(
     """Header CSVs of a domain as text, with ``year``, ``month``, ``day`` and origin.
 
     Only the folder of ``day`` is listed and read. No schema is given, so that the
-    columns are the ones of the file.
+    columns are the ones of the file. Files of one call must have the same header; one
+    that differs fails the read rather than land under wrong names, and
+    :func:`read_heterogeneous_csv` reads such files.
     """
     base, path = _day_paths(root, domain, day, layout)
     reader = spark.read.option("header", True).option("basePath", base)
-    return with_origin(reader.csv(path))
+    return with_origin(reader.option("enforceSchema", False).csv(path))
 
 
 def headers(spark: SparkSession, path: str) -> DataFrame:

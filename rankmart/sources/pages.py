@@ -49,6 +49,10 @@ NAVIGATION_LIST = PageSpec(
 )
 
 
+#: Pages whose rows are held together.
+PAGES_TOGETHER = 64
+
+
 class _Node:
     __slots__ = ("tag", "classes", "parts")
 
@@ -57,16 +61,27 @@ class _Node:
         self.classes = classes.split()
         self.parts: list[_Node | str] = []
 
-    def below(self, tags: Sequence[str], class_: str = "") -> Iterator[_Node]:
-        for part in self.parts:
+    def walk(self) -> Iterator[_Node | str]:
+        """All parts below, in the order of the page; pages may nest without bound."""
+        waiting = [iter(self.parts)]
+        while waiting:
+            part = next(waiting[-1], None)
+            if part is None:
+                waiting.pop()
+                continue
+            yield part
             if isinstance(part, _Node):
-                if part.tag in tags and (not class_ or class_ in part.classes):
+                waiting.append(iter(part.parts))
+
+    def below(self, tags: Sequence[str], class_: str = "") -> Iterator[_Node]:
+        for part in self.walk():
+            if isinstance(part, _Node) and part.tag in tags:
+                if not class_ or class_ in part.classes:
                     yield part
-                yield from part.below(tags, class_)
 
     def text(self) -> str:
         """Its pieces of text, each stripped, joined without a blank."""
-        return "".join(p.strip() if isinstance(p, str) else p.text() for p in self.parts)
+        return "".join(part.strip() for part in self.walk() if isinstance(part, str))
 
 
 # Elements that a start tag ends when their own end tag was left out, up to the
@@ -146,24 +161,28 @@ def extract_rows(
     schema.add("row_no", IntegerType()).add("header", texts).add("cells", texts)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            source, numbers, names, cells = [], [], [], []
-            for i, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
-                header, rows = page_rows(text, spec)
-                for number, row in enumerate(rows, 1):
-                    source.append(i)
-                    numbers.append(number)
-                    names.append(header)
-                    cells.append(row)
-            kept = batch.select(range(batch.num_columns - 1)).take(pa.array(source, pa.int64()))
-            arrays = [
-                pa.array(numbers, pa.int32()),
-                pa.array(names, pa.list_(pa.string())),
-                pa.array(cells, pa.list_(pa.string())),
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*kept.columns, *arrays], [*kept.schema.names, "row_no", "header", "cells"]
-            )
+        for whole in batches:
+            for start in range(0, len(whole), PAGES_TOGETHER):
+                yield parsed(whole.slice(start, PAGES_TOGETHER))
+
+    def parsed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        source, numbers, names, cells = [], [], [], []
+        for i, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+            header, rows = page_rows(text, spec)
+            for number, row in enumerate(rows, 1):
+                source.append(i)
+                numbers.append(number)
+                names.append(header)
+                cells.append(row)
+        kept = batch.select(range(batch.num_columns - 1)).take(pa.array(source, pa.int64()))
+        arrays = [
+            pa.array(numbers, pa.int32()),
+            pa.array(names, pa.list_(pa.string())),
+            pa.array(cells, pa.list_(pa.string())),
+        ]
+        return pa.RecordBatch.from_arrays(
+            [*kept.columns, *arrays], [*kept.schema.names, "row_no", "header", "cells"]
+        )
 
     candidates = pages.filter(F.col(html).contains(spec.hint)).select(*page, html)
     return candidates.mapInArrow(parse, schema)

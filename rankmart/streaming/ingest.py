@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankmart.operators.dedup import dedup
+from rankmart.operators.scd2 import same_key
 from rankmart.plans.bronze import SKILLS_KEYS, VOCATION_KEYS, bronze_skills, bronze_vocation
 from rankmart.plans.silver import DOMAINS
 from rankmart.sources.domain import EXPERIENCE_HEADER, SKILLS_HEADER
@@ -46,6 +47,11 @@ def landing_stream(
     return with_origin(files)
 
 
+def _loads(spark: SparkSession, path: str, last: int) -> DataFrame:
+    """What the loads up to ``last`` wrote."""
+    return spark.read.parquet(path).filter(F.col("batch") <= last).drop("batch")
+
+
 def ingest_available(
     spark: SparkSession,
     root: str,
@@ -57,32 +63,46 @@ def ingest_available(
 ) -> History:
     """Ingest the files that arrived since the last call, then stop.
 
-    The checkpoint remembers which files were read. Each micro-batch is one load:
-    its number is the batch id, its bronze rows overwrite their own folder, and the
-    history refuses a batch it already has, so a replay after a failure changes
-    nothing. Several extractions in one micro-batch become versions in their order.
-    One that arrives after a later one was applied takes effect right after it.
+    Each row takes effect at the time its file was extracted, however late the file
+    arrives and however files are dealt to micro-batches, so the history is that of all
+    files in one pass. A load is numbered after the last one that the history holds;
+    its bronze folder has that number, ``<bronze_path>_files`` lists its files, and files
+    that a published load holds are skipped. A load that died, or a new checkpoint, therefore neither
+    loses nor repeats a file.
+
+    Rows later than all before extend the current versions. If any is not, the keys of
+    the load are versioned anew from all their bronze rows.
     """
     _, _, to_bronze, keys = _STREAMS[domain]
 
-    def load(files: DataFrame, number: int) -> None:
+    def load(files: DataFrame, _: int) -> None:
         session = files.sparkSession
         history = DOMAINS[domain].history(session, history_root)
-        place = f"{bronze_path}/batch={number}"
+        applied, last = history.applied_until(), history.version()
+        number = 0 if last is None else last + 1
         raw = files.withColumn("landed", landed_at())
+        if last is not None:
+            held = _loads(session, f"{bronze_path}_files", last).select("source_file")
+            raw = raw.join(held.distinct(), "source_file", "left_anti")
+        raw.select("source_file").distinct().write.mode("overwrite").parquet(
+            f"{bronze_path}_files/batch={number}"
+        )
+        place = f"{bronze_path}/batch={number}"
         to_bronze(raw, str(number), "landed").write.mode("overwrite").parquet(place)
 
         rows = session.read.parquet(place)
-        applied = history.commits().agg(F.max("as_of")).first()[0]
-        effective = F.col("ingestion_time")
-        if applied is not None:
-            next_moment = F.lit(applied) + F.expr("INTERVAL 1 MICROSECOND")
-            effective = F.greatest(effective, next_moment)
-        timed = rows.withColumn("effective", effective)
-        last = timed.agg(F.max("effective")).first()[0]
-        if last is not None:
-            batches = dedup(timed, [*keys, "effective"], ["ingestion_time"])
-            history.catch_up(batches, "effective", number, last)
+        first, until = rows.agg(F.min("ingestion_time"), F.max("ingestion_time")).first()
+        if until is None:
+            return
+        if applied is None or first > applied:
+            batches = dedup(rows, [*keys, "ingestion_time"], ["ingestion_time"])
+            history.catch_up(batches, "ingestion_time", number, until)
+            return
+        touched = rows.select(*keys).distinct().alias("t")
+        every = _loads(session, bronze_path, number).alias("r")
+        known = every.join(touched, same_key("r", "t", keys), "left_semi")
+        batches = dedup(known, [*keys, "ingestion_time"], ["ingestion_time"])
+        history.rewrite(batches, "ingestion_time", number, max(until, applied))
 
     query = (
         landing_stream(spark, root, domain, max_files)

@@ -89,3 +89,10 @@ def test_short_rows_end_in_null(spark):
 def test_nested_lists():
     html = "<nav><ul><li><a>1</a><ul><li><a>2</a></li></ul><li><a>3</a></ul></nav><li><a>4</a>"
     assert page_rows(html, NAVIGATION_LIST)[1] == [["1", "2"], ["2"], ["3"]]
+
+
+def test_deeply_nested_pages_are_parsed(spark):
+    deep = "<table class=Table3>" + "<table class=x><tr><td>" * 5_000
+    good = table(["A"], [["1"]])
+    pages = spark.createDataFrame([(1, deep), (2, good)], "page_id int, html string")
+    assert [r["page_id"] for r in extract_rows(pages, RANKING_TABLE).collect()] == [2]

@@ -88,9 +88,14 @@ def test_small_input_is_not_sliced(skewed):
     assert not sliced.hot and sliced.df is skewed
 
 
-def test_neighbours_need_an_ascending_order(skewed):
-    with pytest.raises(ValueError, match="ascending"):
-        with_previous(slice_rows(skewed, ["key"], ["-id"], 200), {"p": "id"})
+@pytest.mark.parametrize("order", [["-id"], ["-a", "id"], ["a", "-id"]])
+@pytest.mark.parametrize(("step", "plain"), [(with_previous, F.lag), (with_next, F.lead)])
+def test_neighbours_in_descending_order(skewed, order, step, plain):
+    window = W.partitionBy("key").orderBy(*sort_columns(order))
+    expected = skewed.select("id", plain("id").over(window).alias("n"))
+    got = step(slice_rows(skewed, ["key"], order, 200), {"n": "id"}).result()
+    assert got.select("id", "n").exceptAll(expected).isEmpty()
+    assert got.count() == ROWS
 
 
 def test_one_row_per_slice(spark):

@@ -177,11 +177,58 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
         ("a", 1, False), ("a", 2, False), ("a", 3, True), ("b", 1, False), ("b", 5, True),
     ]
     late = state[-1]
-    assert late[2] > AT[1] + timedelta(hours=3)
+    assert late[2] == AT[0] + timedelta(hours=1)
     assert history.commits().count() == 3
     assert spark.read.parquet(str(tmp_path / "bronze")).count() == 5
 
 
+def test_late_files_take_their_place_and_a_new_checkpoint_repeats_nothing(spark, tmp_path):
+    root, day = str(tmp_path / "landing"), timedelta(days=1)
+
+    def ingest(checkpoint, max_files=None):
+        return ingest_available(
+            spark, root, "vocation", str(tmp_path / "bronze"), str(tmp_path / "silver"),
+            str(tmp_path / checkpoint), max_files,
+        )
+
+    land(spark, root, AT[0], ("a", 10))
+    land(spark, root, AT[0] + 20 * day, ("a", 50), ("b", 1))
+    ingest("one")
+    land(spark, root, AT[0] + 9 * day, ("a", 40))
+    land(spark, root, AT[0] + 10 * day, ("a", 41))
+    ingest("one", max_files=1)
+    land(spark, root, AT[0] + 25 * day, ("a", 60))
+    history = ingest("two", max_files=1)
+    assert [(s[0], s[1], s[2], s[4]) for s in spans(history.state())] == [
+        ("a", 10, AT[0], False),
+        ("a", 40, AT[0] + 9 * day, False),
+        ("a", 41, AT[0] + 10 * day, False),
+        ("a", 50, AT[0] + 20 * day, False),
+        ("a", 60, AT[0] + 25 * day, True),
+        ("b", 1, AT[0] + 20 * day, True),
+    ]
+    assert spark.read.parquet(str(tmp_path / "bronze")).count() == 6
+
+
+def test_a_batch_that_died_is_never_read(spark, tmp_path, monkeypatch):
+    history = VOCATION.history(spark, str(tmp_path))
+    history.apply(batch(spark, ("a", 1)), 1, AT[1])
+    with monkeypatch.context() as patched:
+        patched.setattr(type(history), "_publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            history.apply(batch(spark, ("a", 5)), 2, AT[2])
+    history.apply(batch(spark, ("a", 2)), 3, AT[3])
+    assert spans(history.state()) == [("a", 1, AT[1], AT[3], False), ("a", 2, AT[3], None, True)]
+
+
+def test_a_batch_before_the_current_versions_is_refused(spark, tmp_path):
+    history = VOCATION.history(spark, str(tmp_path))
+    history.apply(batch(spark, ("a", 1)), 1, AT[2])
+    with pytest.raises(ValueError, match="not later"):
+        history.apply(batch(spark, ("a", 2)), 2, AT[1])
+    assert spans(history.state()) == [("a", 1, AT[2], None, True)]
+
+
 def test_ingest_of_skills(spark, tmp_path):
     df = spark.createDataFrame(
         [("1", "a", "Knight", "W", "9", "Axe Fighting"), ("1", "a", "Knight", "W", "8", "Fishing")],
