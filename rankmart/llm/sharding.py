@@ -8,7 +8,7 @@ The number of units is bounded whatever the number of groups. A group that holds
 one part in ``UNITS`` of a shard's bytes, tokens or rows is a unit by itself; there can be
 at most three times ``UNITS`` times the number of shards of them. All lighter groups are
 dealt by a hash into ``UNITS`` units for each shard, whose weights are summed by Spark. A
-group that is heavier than a shard is split into as many units as it fills shards.
+group that is heavier than a shard is split into one unit for each shard.
 
 Results for odd input: a null text weighs one byte, like an empty one, and is equal to it;
 a null ``doc_id`` is kept; equal rows are placed each; an empty table gives an empty result;
@@ -81,7 +81,7 @@ def shard_documents(
     found = heavy.select("group", "share").orderBy("group").collect()
     own, number = [], 0
     for row in found:
-        pieces = max(1, int(np.ceil(row["share"] * shards - 1e-9)))
+        pieces = shards if row["share"] * shards > 1 else 1
         own.append((row["group"], number, pieces))
         number += pieces
     own_units = spark.createDataFrame(own, "group binary, first long, pieces long")

@@ -175,7 +175,7 @@ def _anchored(texts: DataFrame, part: int, parts: int) -> DataFrame:
     found = (
         placed.join(shared, "anchor", "left_semi")
         .groupBy("doc", "key")
-        .agg(F.collect_list("place").alias("places"))
+        .agg(F.collect_set("place").alias("places"))
     )
     return stored(found, "anchored")
 
@@ -191,7 +191,7 @@ def _repeats(located: DataFrame, part: int, parts: int) -> DataFrame:
         .select("one", "two", "least")
     )
     repeated = windows.join(firsts, ["one", "two"]).filter("least < doc")
-    starts = F.collect_list("place").alias("starts")
+    starts = F.collect_set("place").alias("starts")
     return stored(repeated.groupBy("doc", "key").agg(starts), "repeats")
 
 
@@ -208,7 +208,7 @@ def _cut(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatc
                 left = words
                 if places:
                     edges = np.zeros(high - low + 1, np.int64)
-                    edges[places] += 1
+                    np.add.at(edges, np.asarray(places), 1)
                     np.add.at(edges, np.asarray(places) + WINDOW, -1)
                     stays = np.cumsum(edges)[:-1] == 0
                     left = [words[i] for i in np.flatnonzero(stays)]
