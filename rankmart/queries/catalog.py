@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,10 +19,20 @@ from rankmart.plans.marts import refresh_marts
 from rankmart.plans.silver import EXTRA, SKILLS, VOCATION
 from rankmart.queries import oracle as o
 from rankmart.queries import standin as s
-from rankmart.queries.standin import AS_OF, LAST_DAY, moment, table
+from rankmart.queries.standin import AS_OF, moment, table
 from rankmart.session import scratch_path
 from rankmart.sources import landing, pages, tables
-from rankmart.sources.domain import EXPERIENCE_HEADER, WORLD_TYPES, unknown_values
+from rankmart.sources.domain import (
+    CATEGORIES,
+    EXPERIENCE_HEADER,
+    VOCATIONS,
+    WORLD_TYPES,
+    category_domain,
+    dim_category,
+    dim_vocation,
+    unknown_values,
+    with_dimension,
+)
 from rankmart.sources.history import BROADCAST_ROWS
 from rankmart.streaming.ingest import ingest_available
 
@@ -257,38 +267,41 @@ def scd2_null_keys(spark, sf_dir):
     return s.extra_state(spark, sf_dir)
 
 
-def _before_and_last(daily: DataFrame) -> tuple[DataFrame, DataFrame]:
-    last = F.col("day") == moment(LAST_DAY)
-    return daily.filter(~last), daily.filter(last).drop("day")
+def _before_and_last(daily: DataFrame) -> tuple[DataFrame, DataFrame, datetime]:
+    """All days but the last, the last one as a batch, and its time."""
+    end = daily.agg(F.max("day")).first()[0]
+    last = F.col("day") == moment(str(end))
+    return daily.filter(~last), daily.filter(last).drop("day"), end
 
 
 @query(_VOCATION_STATE)
 def scd2_apply(spark, sf_dir):
     """All days but the last in one pass, then the last day as a batch of its own."""
-    before, last = _before_and_last(s.daily_vocation(spark, sf_dir))
+    before, last, end = _before_and_last(s.daily_vocation(spark, sf_dir))
     state = scd2.scd2_from_batches(before, VOCATION.keys, VOCATION.tracked, "day").drop("day")
-    return VOCATION.apply(state, last, moment(LAST_DAY))
+    return VOCATION.apply(state, last, moment(str(end)))
 
 
 @query(f"WITH {o.EXTRA_STATE} SELECT * FROM extra_state")
 def scd2_apply_null_keys(spark, sf_dir):
-    before, last = _before_and_last(s.daily_extra(spark, sf_dir))
+    before, last, end = _before_and_last(s.daily_extra(spark, sf_dir))
     state = scd2.scd2_from_batches(before, EXTRA.keys, EXTRA.tracked, "day").drop("day")
-    return EXTRA.apply(state, last, moment(LAST_DAY))
+    return EXTRA.apply(state, last, moment(str(end)))
 
 
 @query(f"""WITH {o.SKILLS_STATE}
 SELECT * EXCLUDE (end_date, is_current, seen),
-  CASE WHEN is_current AND seen IS NULL THEN TIMESTAMP '{LAST_DAY}' ELSE end_date END AS end_date,
+  CASE WHEN is_current AND seen IS NULL THEN (SELECT max(day) FROM daily_skills)
+    ELSE end_date END AS end_date,
   is_current AND seen IS NOT NULL AS is_current
-FROM (SELECT v.*, d.day FROM skills_state v LEFT JOIN daily_skills d
-  ON d.name = v.name AND d.world = v.world AND d.category = v.category
-  AND d.day = TIMESTAMP '{LAST_DAY}') AS t(name, world, category, vocation, skill_level,
+FROM (SELECT v.*, d.day FROM skills_state v LEFT JOIN
+    (SELECT * FROM daily_skills WHERE day = (SELECT max(day) FROM daily_skills)) d
+  ON d.name = v.name AND d.world = v.world AND d.category = v.category) AS t(name, world, category, vocation, skill_level,
   hash_diff, start_date, end_date, is_current, seen)""")
 def scd2_close_missing(spark, sf_dir):
-    before, last = _before_and_last(s.daily_skills(spark, sf_dir))
+    before, last, end = _before_and_last(s.daily_skills(spark, sf_dir))
     state = scd2.scd2_from_batches(before, SKILLS.keys, SKILLS.tracked, "day").drop("day")
-    return SKILLS.apply(state, last, moment(LAST_DAY), close_missing=True)
+    return SKILLS.apply(state, last, moment(str(end)), close_missing=True)
 
 
 @query(_VOCATION_STATE)
@@ -311,15 +324,15 @@ def scd2_as_of(spark, sf_dir):
     return scd2.scd2_as_of(s.vocation_state(spark, sf_dir), moment("2024-01-15 12:00:00"))
 
 
-_LAST_EXTRA = f"""last_day AS (SELECT * EXCLUDE (day) FROM daily_extra
-  WHERE day = TIMESTAMP '{LAST_DAY}'),
+_LAST_EXTRA = """last_day AS (SELECT * EXCLUDE (day) FROM daily_extra
+  WHERE day = (SELECT max(day) FROM daily_extra)),
 before AS (SELECT * FROM (SELECT *, row_number() OVER (
     PARTITION BY name, world, category, title ORDER BY day DESC) AS n FROM daily_extra
-  WHERE day < TIMESTAMP '{LAST_DAY}') WHERE n = 1)"""
+  WHERE day < (SELECT max(day) FROM daily_extra)) WHERE n = 1)"""
 
 
 def _extra_before(spark, sf_dir):
-    before, last = _before_and_last(s.daily_extra(spark, sf_dir))
+    before, last, _ = _before_and_last(s.daily_extra(spark, sf_dir))
     state = scd2.scd2_from_batches(before, EXTRA.keys, EXTRA.tracked, "day").drop("day")
     return state.filter("is_current"), last
 
@@ -356,6 +369,14 @@ def duplicate_current_keys(spark, sf_dir):
     return quality.duplicate_current_keys(s.vocation_state(spark, sf_dir), ["name"])
 
 
+@query(f"""WITH {o.VOCATION_STATE} SELECT count(*) AS duplicates FROM (
+  SELECT name, world FROM vocation_state WHERE is_current GROUP BY ALL HAVING count(*) > 1)""")
+def duplicate_business_keys(spark, sf_dir):
+    """How many business keys have several current versions: none in a sound history."""
+    found = quality.duplicate_current_keys(s.vocation_state(spark, sf_dir), VOCATION.keys)
+    return found.agg(F.count(F.lit(1)).alias("duplicates"))
+
+
 @query("""SELECT user_id, event_type, CAST(ts AS DATE) AS day, count(*) AS rows FROM events
 GROUP BY ALL HAVING count(*) > 1""")
 def duplicate_keys(spark, sf_dir):
@@ -369,14 +390,14 @@ def duplicate_keys(spark, sf_dir):
 @query(_VOCATION_STATE)
 def scd2_apply_small(spark, sf_dir):
     """The last day as a batch small enough to be sent to the current versions."""
-    before, last = _before_and_last(s.daily_vocation(spark, sf_dir))
+    before, last, end = _before_and_last(s.daily_vocation(spark, sf_dir))
     state = scd2.scd2_from_batches(before, VOCATION.keys, VOCATION.tracked, "day").drop("day")
     stepped = scd2.scd2_step(
         state.filter("is_current"),
         last,
         VOCATION.keys,
         VOCATION.tracked,
-        moment(LAST_DAY),
+        moment(str(end)),
         small_updates=last.count() <= BROADCAST_ROWS,
     )
     return state.filter("NOT is_current").unionByName(stepped)
@@ -559,6 +580,49 @@ def ranking_display(spark, sf_dir):
     return views.ranking_display(view)
 
 
+@query(f"""{_SKILL_VIEW} SELECT rank, name, upper(world[1]) || world[2:] AS world,
+  upper(vocation[1]) || vocation[2:] AS vocation, skill_level,
+  strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at FROM chosen""")
+def skill_ranking_display(spark, sf_dir):
+    view = views.ranking_view(_skill_snapshot_table(spark, sf_dir), top=100, skill="Purchase")
+    return views.ranking_display(view)
+
+
+def _titled(column: str) -> str:
+    words = f"[upper(x[1]) || lower(x[2:]) for x in string_split({column}, ' ')]"
+    return f"array_to_string({words}, ' ') AS {column}"
+
+
+@query(f"""WITH {o.SUMMARY} SELECT {_titled("world")}, {_titled("world_type")},
+  {_titled("vocation")}, players_count,
+  strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at FROM summary""")
+def summary_display(spark, sf_dir):
+    summary = gold.world_summary(s.population(spark, sf_dir), moment(AS_OF))
+    return views.summary_display(views.summary_view(summary))
+
+
+_AMOUNT = "format('{{:,.2f}}', CAST({0} AS DOUBLE)) AS {0}"
+_TIME = "strftime({0}, '%Y-%m-%d %H:%M:%S') AS {0}"
+
+
+@query(f"""WITH {o.VOCATION_STATE}, {o.progression("vocation_state")}
+SELECT previous_level, current_level, level_gain, {_AMOUNT.format("experience_gain")},
+  {_AMOUNT.format("avg_xp_per_day")}, days_between_updates,
+  {_TIME.format("previous_start_date")}, {_TIME.format("current_start_date")} FROM progression""")
+def progression_display(spark, sf_dir):
+    progression = gold.player_progression(_vocation_table(spark, sf_dir), moment(AS_OF))
+    return views.progression_display(progression)
+
+
+@query(f"""WITH {o.SKILLS_STATE}, {o.SKILLS_PROGRESSION}
+SELECT category, skill_before, skill_after, {_AMOUNT.format("skill_gain")},
+  days_between_updates, {_AMOUNT.format("avg_skill_per_day")}, {_TIME.format("from_date")},
+  {_TIME.format("to_date")} FROM progression""")
+def skill_progression_display(spark, sf_dir):
+    progression = gold.skills_progression(_skills_table(spark, sf_dir), moment(AS_OF))
+    return views.progression_display(progression)
+
+
 @query("""SELECT event_id, format('{:,.2f}', value) AS amount,
   strftime(ts, '%Y-%m-%d %H:%M:%S') AS shown FROM events""")
 def display_format(spark, sf_dir):
@@ -736,6 +800,31 @@ def unknown_categories(spark, sf_dir):
     return unknown_values(events, "event_type", ["view", "click", "purchase"])
 
 
+def _values(rows) -> str:
+    return ", ".join(f"({', '.join(map(repr, row))})" for row in rows)
+
+
+_DIMENSIONS = f"""category(category_key, category_id, label, vocation_id, domain) AS (
+  SELECT key, id, replace(label, '`', chr(39)), vocation, domain FROM (VALUES {_values(
+      (key, number, label.replace("'", "`"), vocation, category_domain(key))
+      for key, (number, label, vocation) in CATEGORIES.items()
+  )}) AS t(key, id, label, vocation, domain)),
+vocation(vocation_key, vocation_id) AS (VALUES {_values(VOCATIONS.items())})"""
+
+
+@query(f"""WITH {_DIMENSIONS} SELECT event_id, category_id, category_key, label, domain,
+  vocation_id, vocation_key
+FROM (SELECT event_id, CAST(user_id % 17 AS INTEGER) AS category_id FROM events)
+LEFT JOIN category USING (category_id) LEFT JOIN vocation USING (vocation_id)""")
+def dimension_labels(spark, sf_dir):
+    """Category numbers to their category and its vocation; unknown numbers stay, unlabelled."""
+    events = table(spark, sf_dir, "events").select(
+        "event_id", (F.col("user_id") % 17).cast("int").alias("category_id")
+    )
+    labelled = with_dimension(events, dim_category(spark), "category_id")
+    return with_dimension(labelled, dim_vocation(spark), "vocation_id")
+
+
 # --- storage ------------------------------------------------------------------
 
 MIDNIGHT = datetime(2024, 2, 1)
@@ -864,14 +953,15 @@ def append_batches(spark, sf_dir):
 
 
 @query(f"""WITH {o.SNAPSHOTS} SELECT * REPLACE (
-  CASE WHEN snapshot_date = DATE '{LAST_DAY}' THEN upper(vocation) ELSE vocation END AS vocation)
+  CASE WHEN snapshot_date = (SELECT max(snapshot_date) FROM snapshots) THEN upper(vocation)
+    ELSE vocation END AS vocation)
 FROM snapshots""")
 def overwrite_partitions(spark, sf_dir):
     """All days, then the last day again: other days stay."""
     name = _new_table(spark, _RANK_TABLE, "snapshot_date")
     mart = s.snapshots(spark, sf_dir)
     tables.overwrite_partitions(mart, name)
-    last = mart.filter(F.col("updated_at") == moment(LAST_DAY))
+    last = views.latest_snapshot(mart)
     tables.overwrite_partitions(last.withColumn("vocation", F.upper("vocation")), name)
     return spark.table(name)
 
@@ -916,6 +1006,16 @@ def mart_tables(spark, sf_dir):
     return views.read_skills_progression(spark, names["skills_progression"])
 
 
+@query(_PLAYER_PROGRESSION.replace("SELECT * FROM prog", "SELECT * EXCLUDE (updated_at) FROM prog"))
+def player_progression_table(spark, sf_dir):
+    """The progression mart replaced twice, then read."""
+    name, path = f"rankmart_{uuid4().hex}", scratch_path(spark, "mart")
+    vocation = _vocation_table(spark, sf_dir)
+    for _ in range(2):
+        tables.replace_table(gold.player_progression(vocation, moment(AS_OF)), name, path)
+    return views.read_player_progression(spark, name)
+
+
 def _silver_rows(daily: DataFrame) -> DataFrame:
     return daily.withColumn("ingestion_time", F.col("day").cast("timestamp"))
 
@@ -925,22 +1025,23 @@ def history_apply(spark, sf_dir):
     """Stored history: most days at once, the last day as a batch, a replay ignored."""
     history = VOCATION.history(spark, scratch_path(spark, "history"))
     daily = _silver_rows(s.daily_vocation(spark, sf_dir))
-    before, last = _before_and_last(daily)
-    history.catch_up(before, "ingestion_time", 1, datetime(2024, 1, 29))
-    history.apply(last, 2, datetime(2024, 1, 30))
-    history.apply(last.withColumn("level", F.lit(0)), 2, datetime(2024, 1, 31))
+    before, last, end = _before_and_last(daily)
+    history.catch_up(before, "ingestion_time", 1, end - timedelta(days=1))
+    history.apply(last, 2, end)
+    history.apply(last.withColumn("level", F.lit(0)), 2, end + timedelta(days=1))
     return _plain(history.state().drop("ingestion_time"))
 
 
 @query(f"""WITH {o.VOCATION_STATE}
 SELECT CAST(2 AS BIGINT) AS version, count(*) FILTER (is_current) AS current_rows,
-  count(*) FILTER (NOT is_current AND end_date = TIMESTAMP '{LAST_DAY}') AS closed_rows
+  count(*) FILTER (NOT is_current AND end_date = (SELECT max(day) FROM daily_vocation))
+    AS closed_rows
 FROM vocation_state""")
 def history_commits(spark, sf_dir):
     history = VOCATION.history(spark, scratch_path(spark, "history"))
-    before, last = _before_and_last(_silver_rows(s.daily_vocation(spark, sf_dir)))
-    history.catch_up(before, "ingestion_time", 1, datetime(2024, 1, 29))
-    history.apply(last, 2, datetime(2024, 1, 30))
+    before, last, end = _before_and_last(_silver_rows(s.daily_vocation(spark, sf_dir)))
+    history.catch_up(before, "ingestion_time", 1, end - timedelta(days=1))
+    history.apply(last, 2, end)
     latest = history.commits().filter(F.col("version") == 2)
     return latest.select("version", "current_rows", "closed_rows")
 
@@ -958,6 +1059,7 @@ def incremental_ingest(spark, sf_dir):
         )
     return _plain(history.state().drop("ingestion_time"))
 
+
 @query(_VOCATION_STATE)
 def late_ingest(spark, sf_dir):
     """The days in the middle arrive last, a few files at a time, and the checkpoint is

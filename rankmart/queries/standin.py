@@ -27,7 +27,6 @@ def moment(text: str) -> Column:
 
 
 AS_OF = "2024-02-01 06:30:00"
-LAST_DAY = "2024-01-30"
 
 
 def raw_experience(spark: SparkSession, sf_dir: str) -> DataFrame:

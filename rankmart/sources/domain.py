@@ -23,7 +23,7 @@ WORLD_TYPES = {
     "Retro Open PvP": 3,
     "Retro Hardcore PvP": 4,
 }
-# key: (category number, label, vocation number)
+# Key: (category number, label, vocation number)
 CATEGORIES = {
     "achievements": (1, "Achievements", 0),
     "axe": (2, "Axe Fighting", 2),
@@ -43,7 +43,7 @@ CATEGORIES = {
 EXTRA_CATEGORIES = ["achievements", "loyalty", "drome", "boss", "charm", "goshnair"]
 EXPERIENCE_CATEGORY = 6
 
-# Columns of the landing files.
+# Columns of the landing files.
 EXPERIENCE_HEADER = ["Rank", "Name", "Vocation", "World", "Level", "Points", "WorldType"]
 SKILLS_HEADER = ["Rank", "Name", "Vocation", "World", "Skill Level", "Category"]
 
@@ -52,7 +52,7 @@ _AUDIT = """ingestion_time timestamp, ingestion_date date, source_system string,
 _VERSION = """ingestion_time timestamp, start_date timestamp, end_date timestamp,
     is_current boolean, hash_diff string"""
 
-# table: (columns, partition columns)
+# Table: (columns, partition columns)
 TABLES = {
     "bronze.vocation": (
         f"""name string, vocation string, level int, world string, experience bigint,
@@ -130,6 +130,14 @@ def vocation_id(key: str) -> int:
     return VOCATIONS[key]
 
 
+def with_dimension(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+    """``df`` with the other columns of a dimension, NULL where ``key`` is not in it.
+
+    The dimensions above are fixed lists of a few rows, so they are broadcast.
+    """
+    return df.join(F.broadcast(dimension), key, "left")
+
+
 def unknown_values(df: DataFrame, column: str, known: Sequence) -> DataFrame:
     """Rows whose ``column`` is not one of the ``known`` keys (NULL included)."""
     return df.filter(~F.coalesce(F.col(column).isin(list(known)), F.lit(False)))

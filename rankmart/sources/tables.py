@@ -92,11 +92,22 @@ def overwrite_partitions(df: DataFrame, table: str) -> int:
     return _insert(df, table, overwrite=True)
 
 
+def _has_columns(spark: SparkSession, table: str, folder: str) -> bool:
+    """Whether a table without partitions has the columns of the files in ``folder``."""
+    if not spark.catalog.tableExists(table) or _partitions(spark, table):
+        return False
+    return spark.table(table).schema.simpleString() == (
+        spark.read.parquet(folder).schema.simpleString()
+    )
+
+
 def replace_table(df: DataFrame, table: str, path: str, by: Sequence[str] = ()) -> None:
     """Make ``table`` the rows of ``df``, which may read the table itself.
 
     The rows go to a new folder below ``path``; then the name is pointed at it. Files
-    of the replaced version stay for readers that still use them.
+    of the replaced version stay for readers that still use them. Where the columns are
+    the same and there are no partitions the name stays all the while; else the table is
+    dropped and created anew.
     """
     spark = df.sparkSession
     folder = f"{path}/version={uuid4().hex}"
@@ -106,6 +117,9 @@ def replace_table(df: DataFrame, table: str, path: str, by: Sequence[str] = ())
         .option("compression", COMPRESSION)
     )
     (writer.partitionBy(*by) if by else writer).parquet(folder)
+    if not by and _has_columns(spark, table, folder):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        return
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.catalog.createTable(table, path=folder, source="parquet")
     if by:
