@@ -60,6 +60,15 @@ def test_replace_backfill_and_evolve(spark, tmp_path, rows, name):
     assert spark.table(name).columns == ["a", "d"]
 
 
+def test_replace_with_the_same_columns_moves_the_name(spark, tmp_path, rows, name):
+    for value in (1, 2):
+        tables.replace_table(spark.createDataFrame([(value,)], "a int"), name, str(tmp_path))
+        assert rows(spark.table(name)) == [(value,)]
+    doubled = spark.table(name).selectExpr("2 * a AS a")
+    tables.replace_table(doubled, name, str(tmp_path))
+    assert rows(spark.table(name)) == [(4,)]
+
+
 def test_partitioned_replace(spark, tmp_path, rows, name):
     df = spark.createDataFrame([(1, "x"), (2, "y")], "a int, p string")
     tables.replace_table(df, name, str(tmp_path), by=["p"])
