@@ -100,19 +100,25 @@ def bronze_skills(
 def bronze_extra(
     raw: DataFrame,
     batch_id: str,
-    as_of: datetime | Column,
+    as_of: datetime | Column | str,
     keys: Sequence[str] = EXTRA_KEYS,
 ) -> DataFrame:
-    """Other rankings, whatever their header; keeps the file of each row."""
+    """Other rankings, whatever their header; keeps the file of each row.
+
+    ``as_of`` may be the name of a lower-case timestamp column, as for the other loads.
+    """
     origin = {c: "string" for c in ORIGIN}
+    loads = [as_of] if isinstance(as_of, str) else []
     named = rename_synonyms(normalise_columns(raw), SYNONYMS)
-    typed = conform(named, {**EXTRA_COLUMNS, **origin}).withColumns(
+    columns = {**EXTRA_COLUMNS, **origin, **{c: "timestamp" for c in loads}}
+    typed = conform(named, columns).withColumns(
         {
             "points": parse_grouped_number("points", "int"),
             "vocation": clean_text("vocation"),
             "world": clean_text("world"),
         }
     )
-    one = dedup(typed, keys, ORIGIN).drop("landing_run")
-    stamped = stamp(one, batch_id, as_of)
+    one = dedup(typed, [*keys, *loads], ORIGIN).drop("landing_run")
+    time = F.col(as_of) if isinstance(as_of, str) else as_of
+    stamped = stamp(one, batch_id, time).drop(*loads)
     return stamped.select(*[c for c in stamped.columns if c != "source_file"], "source_file")

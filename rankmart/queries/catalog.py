@@ -7,6 +7,7 @@ from datetime import date, datetime, timedelta
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
@@ -34,7 +35,7 @@ from rankmart.sources.domain import (
     with_dimension,
 )
 from rankmart.sources.history import BROADCAST_ROWS
-from rankmart.streaming.ingest import ingest_available
+from rankmart.streaming.ingest import ingest_available, landed_at
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -68,6 +69,13 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _positioned(df: DataFrame) -> DataFrame:
+    """A small sorted result with the place of each row, so that its order is checked."""
+    placed = df.withColumn("_at", F.monotonically_increasing_id())
+    position = F.row_number().over(W.orderBy("_at")).cast("long")
+    return placed.withColumn("position", position).drop("_at")
+
+
 def _vocation_table(spark, sf_dir):
     return _stored(s.vocation_state(spark, sf_dir), "silver")
 
@@ -377,6 +385,22 @@ def duplicate_business_keys(spark, sf_dir):
     return found.agg(F.count(F.lit(1)).alias("duplicates"))
 
 
+@query("""SELECT 'rows' AS check_name, (SELECT count(*) FROM events) >= 1000 AS valid
+UNION ALL SELECT 'too few', (SELECT count(*) FROM events) >= 1000000000
+UNION ALL SELECT 'no such column', false
+UNION ALL SELECT 'no rows', (SELECT count(*) FROM events WHERE value < 0) >= 1""")
+def batch_validation(spark, sf_dir):
+    """Batches with enough rows and the columns asked for, and such that lack either."""
+    events = table(spark, sf_dir, "events")
+    found = [
+        ("rows", quality.validate(events, ["event_id", "ts"], 1000)),
+        ("too few", quality.validate(events, ["event_id"], 1_000_000_000)),
+        ("no such column", quality.validate(events, ["event_id", "level"])),
+        ("no rows", quality.validate(events.filter("value < 0"), ["event_id"])),
+    ]
+    return spark.createDataFrame(found, "check_name string, valid boolean")
+
+
 @query("""SELECT user_id, event_type, CAST(ts AS DATE) AS day, count(*) AS rows FROM events
 GROUP BY ALL HAVING count(*) > 1""")
 def duplicate_keys(spark, sf_dir):
@@ -736,6 +760,41 @@ def category_counts(spark, sf_dir):
     return views.counts_by(events, "category")
 
 
+@query("""SELECT row_number() OVER (ORDER BY day DESC) AS position, day AS snapshot_date
+FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events)""")
+def filter_options_in_order(spark, sf_dir):
+    """The days to choose from, newest first."""
+    days = table(spark, sf_dir, "events").select(F.to_date("ts").alias("snapshot_date"))
+    return _positioned(views.filter_options(days, "snapshot_date", newest_first=True))
+
+
+@query(f"""WITH {o.SNAPSHOTS} SELECT row_number() OVER (ORDER BY rank) AS position, rank, name
+FROM snapshots WHERE snapshot_date = (SELECT max(snapshot_date) FROM snapshots) AND rank <= 200
+  AND vocation = 'click'""")
+def ranking_view_in_order(spark, sf_dir):
+    """The newest ranking of a vocation, best first."""
+    view = views.ranking_view(_snapshot_table(spark, sf_dir), top=200, vocations=["click"])
+    return _positioned(view).select("position", "rank", "name")
+
+
+@query(f"""WITH {o.SUMMARY} SELECT world, players_count,
+  row_number() OVER (ORDER BY players_count DESC, world) AS position
+FROM (SELECT world, CAST(sum(players_count) AS BIGINT) AS players_count FROM summary GROUP BY world)""")
+def distribution_in_order(spark, sf_dir):
+    """Worlds by their players, most first."""
+    return _positioned(views.distribution(gold.world_summary(s.population(spark, sf_dir), moment(AS_OF)), "world"))
+
+
+@query(f"""WITH {o.VOCATION_STATE} SELECT start_date, level, experience,
+  row_number() OVER (ORDER BY start_date, world) AS position
+FROM vocation_state WHERE name = 'player 7'""")
+def versions_in_order(spark, sf_dir):
+    """Versions of one player as time goes on."""
+    state = s.vocation_state(spark, sf_dir).withColumn("to_date", F.col("start_date"))
+    history = _positioned(views.player_history(state, "player 7"))
+    return history.select("position", "start_date", "level", "experience")
+
+
 @query("SELECT DISTINCT CAST(ts AS DATE) AS snapshot_date FROM events")
 def filter_options(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("snapshot_date", F.to_date("ts"))
@@ -872,6 +931,50 @@ def landing_day(spark, sf_dir):
     return landing.read_landing(spark, root, "experience", date(2024, 1, 20)).drop("source_file")
 
 
+@query(f"""WITH {o.DAILY_VOCATION}
+SELECT strftime(day, 'year=%Y/month=%m/day=%d/dataset=') || vocation || '/run=000000' AS folder,
+  count(*) AS rows FROM daily_vocation GROUP BY ALL""")
+def landed_folders(spark, sf_dir):
+    """Rows by the folder of their file, from the file that each row names."""
+    root = scratch_path(spark, "landing")
+    _land(_daily_text(spark, sf_dir), root)
+    rows = landing.read_landing(spark, root, "experience")
+    folder = F.regexp_extract("source_file", "/experience/(.*)/[^/]+$", 1).alias("folder")
+    return rows.groupBy(folder).agg(F.count(F.lit(1)).alias("rows"))
+
+
+_EXTRA_TEXT = ["Name", "Vocation", "World", "Category"]
+
+
+@query(f"WITH {o.EXTRA_STATE} SELECT * FROM extra_state")
+def extra_from_files(spark, sf_dir):
+    """From files with two headers to bronze rows and the versions of their keys."""
+    root = scratch_path(spark, "landing")
+    daily = s.daily_extra(spark, sf_dir).select(
+        *[F.col(c.lower()).alias(c) for c in _EXTRA_TEXT],
+        F.col("title").alias("Title"),
+        F.format_number("points", 0).alias("Points"),
+        F.format_number("points", 0).alias("Score"),
+        "day",
+    )
+    titled = F.col("Title").isNotNull()
+    for rows, dataset, columns in (
+        (daily.filter(titled), "titled", ["Title", "Points", *_EXTRA_TEXT]),
+        (daily.filter(~titled), "plain", [*_EXTRA_TEXT, "Score"]),
+    ):
+        landing.write_landing(rows, root, "extra", dataset, F.col("day"), MIDNIGHT, columns)
+    raw = landing.read_heterogeneous_csv(
+        spark,
+        f"{root}/extra/year=*/month=*/day=*/*/*",
+        {**bronze.EXTRA_COLUMNS, "year": "int", "month": "int", "day": "int"},
+        bronze.SYNONYMS,
+        base=f"{root}/extra",
+    )
+    batches = bronze.bronze_extra(raw.withColumn("landed", landed_at()), "all", "landed")
+    versions = scd2.scd2_from_batches(batches, EXTRA.keys, EXTRA.tracked, "ingestion_time")
+    return _plain(versions.select(*s.extra_state(spark, sf_dir).columns))
+
+
 @query("""SELECT 'landing' AS layer, event_type AS subcategory, 'SUCCESS' AS status,
   count(*) AS rows, 3 AS columns, 'skills' AS entity
 FROM events GROUP BY event_type""")

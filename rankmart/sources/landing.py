@@ -172,20 +172,25 @@ def read_heterogeneous_csv(
     path: str,
     columns: Mapping[str, str],
     synonyms: Mapping[str, str] | None = None,
+    base: str | None = None,
 ) -> DataFrame:
     """CSV files with differing headers below ``path`` as one frame, plus origin.
 
     Each set of files with the same header is read on its own, so that values stay
     under their own names whatever their position. ``columns`` is ``{name: type}``
-    after names were normalised and ``synonyms`` renamed.
+    after names were normalised and ``synonyms`` renamed; with ``base``, the folder
+    names below it (``year=``, ``month=``, ``day=``) may be among them.
     """
+    reader = spark.read.option("header", True)
+    if base is not None:
+        reader = reader.option("basePath", base)
     # One path per file and one list per distinct header: what Spark's own file
     # listing holds on the driver for the same read.
     groups = headers(spark, path).groupBy("header").agg(F.collect_list("source_file").alias("f"))
     frames = []
     for group in groups.orderBy("header").collect():
         files = [unquote(f) for f in sorted(group["f"])]
-        raw = with_origin(spark.read.option("header", True).csv(files))
+        raw = with_origin(reader.csv(files))
         named = rename_synonyms(normalise_columns(raw), synonyms or {})
         frames.append(conform(named, {**columns, **{c: "string" for c in ORIGIN}}))
     if not frames:
