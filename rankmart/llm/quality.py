@@ -3,6 +3,7 @@
 A text is described by a few statistics, transformed to be closer to normal (logarithms of
 sizes, square roots of shares). For each class the mean and covariance of the statistics
 come from sums that Spark gathers over all labelled rows; only those sums reach the driver.
+Labels in a table of their own are joined to the statistics, so that no text is shuffled.
 Covariances are shrunk towards the common covariance and that towards its diagonal, and
 factored once. The score is the logistic of the difference of the two log densities
 (Mahalanobis distances by the cached Cholesky factors) and log priors.
@@ -22,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DoubleType, StructType
 
 from rankmart.llm.arrays import SPACES, owners, slices, utf8, word_bounds, word_hashes
 
@@ -130,18 +131,30 @@ class Model:
         return 1.0 / (1.0 + np.exp(np.clip(densities[0] - densities[1], -700, 700)))
 
 
+def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The statistics of each text as a list, after the other columns."""
+    width = len(STATISTICS)
+    for whole in batches:
+        for batch in slices(whole, "text"):
+            rows = statistics(batch.column("text"))
+            ends = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * np.int32(width))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.ListArray.from_arrays(ends, pa.array(rows.ravel()))],
+                names=[*batch.schema.names[:-1], "statistics"],
+            )
+
+
 def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Number, sums and sums of products by class, as one list of numbers for each class."""
     width = len(STATISTICS) + 1
     totals = np.zeros((2, width, width))
-    for whole in batches:
-        for batch in slices(whole, "text"):
-            rows = statistics(batch.column("text"))
-            rows = np.column_stack([np.ones(len(rows)), rows])
-            labels = batch.column("label").to_numpy(zero_copy_only=False)
-            for k in (0, 1):
-                mine = rows[labels == k]
-                totals[k] += mine.T @ mine
+    for batch in batches:
+        rows = batch.column("statistics").flatten().to_numpy().reshape(-1, width - 1)
+        rows = np.column_stack([np.ones(len(rows)), rows])
+        labels = batch.column("label").to_numpy(zero_copy_only=False)
+        for k in (0, 1):
+            mine = rows[labels == k]
+            totals[k] += mine.T @ mine
     yield pa.RecordBatch.from_pydict(
         {
             "label": pa.array(np.repeat([0, 1], width * width).astype(np.int32)),
@@ -154,8 +167,30 @@ def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(labelled: DataFrame, text: str = "text", label: str = "quality") -> Model:
     """Fits the model on all rows with a label of 0 or 1."""
     rows = labelled.select(
-        F.col(text).cast("string").alias("text"), F.col(label).cast("int").alias("label")
+        F.col(label).cast("int").alias("label"), F.col(text).cast("string").alias("text")
     ).filter("label IN (0, 1)")
+    return _trained(rows.mapInArrow(_described, "label int, statistics array<double>"))
+
+
+def train_by_id(
+    docs: DataFrame,
+    labels: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    label: str = "quality",
+) -> Model:
+    """The same with labels in a table of their own. Null ids have no label; an id of
+    several rows counts once for each pair of them."""
+    texts = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"))
+    schema = StructType().add(texts.schema["id"])
+    schema = schema.add("statistics", ArrayType(DoubleType()))
+    known = labels.select(F.col(id).alias("id"), F.col(label).cast("int").alias("label"))
+    rows = texts.mapInArrow(_described, schema).join(known.filter("label IN (0, 1)"), "id")
+    return _trained(rows.select("label", "statistics"))
+
+
+def _trained(rows: DataFrame) -> Model:
+    """The model from the label and the statistics of each row."""
     width = len(STATISTICS) + 1
     sums = (
         rows.mapInArrow(_moments, "label int, cell int, total double")

@@ -73,8 +73,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     held_out = language_id.held_out(F.col("doc_id"), 3, 1)
-    labelled = documents.join(labels.filter(~held_out), "doc_id")
-    model = quality.train(labelled)
+    model = quality.train_by_id(documents.filter(~held_out), labels.filter(~held_out))
     texts = documents.select("doc_id", held_out.alias("held_out"), "text")
     return quality.classify(texts, model).drop("text")
 

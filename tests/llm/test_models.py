@@ -69,6 +69,9 @@ def test_quality_with_few_labels(spark):
     )
     only = quality.classify(docs, quality.train(docs))
     assert only.columns == ["doc_id", "text", "quality", "score", "predicted"]
+    apart = quality.train_by_id(docs.drop("quality"), docs.drop("text"))
+    joined = docs.select("doc_id", "text").join(docs.select("doc_id", "quality"), "doc_id")
+    assert np.allclose(apart.means, quality.train(joined).means)
     assert {r["score"] for r in only.collect()} == {1.0}
     none = quality.train(docs.filter("quality = 0"))
     assert {r["score"] for r in quality.classify(docs, none).collect()} == {0.5}
