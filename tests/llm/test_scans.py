@@ -218,6 +218,48 @@ def test_near_duplicate_classes_against_brute_force(spark):
     assert near_dedup.near_duplicates(docs.limit(0)).isEmpty()
 
 
+def test_near_duplicates_in_a_large_family_of_unlike_texts(spark):
+    # All share 150 words and are 0.74 alike; planted pairs share eight more and are 0.81.
+    template = " ".join(f"t{i}" for i in range(150))
+
+    def own(name, n):
+        return " ".join(f"{name}x{i}" for i in range(n))
+
+    texts = []
+    for pair in range(100):
+        for one in range(2):
+            texts.append(f"{template} {own(f'p{pair}', 8)} {own(f'q{pair}and{one}', 18)}")
+    texts += [f"{template} {own(f's{i}', 26)}" for i in range(100)]
+    found = by_id(near_dedup.near_duplicates(frame(spark, texts)))
+    expected = {i: i - i % 2 if i < 200 else i for i in range(300)}
+    assert {i: r["class_id"] for i, r in found.items()} == expected
+
+
+def test_near_duplicates_of_members_of_a_large_class(spark):
+    # Copies are 0.93 like the base; a stray is 0.81 like one copy and below 0.8 to the base.
+    words = [f"b{i}" for i in range(150)]
+    texts = [" ".join(words)]
+    for i in range(300):
+        copy = list(words)
+        copy[10 + i % 60] = f"c{i}"
+        texts.append(" ".join(copy))
+        if i % 6 == 0:
+            for at in (90, 110, 130):
+                copy[at] = f"d{i}"
+            texts.append(" ".join(copy))
+    found = near_dedup.near_duplicates(frame(spark, texts)).collect()
+    assert len(found) == len(texts) and {r["class_id"] for r in found} == {0}
+
+
+def test_near_duplicates_of_few_words(spark):
+    texts = []
+    for i in range(2500):
+        words = [f"v{i}x{k}" for k in range(9)]
+        texts += [" ".join(words[:8]), " ".join(words)]
+    found = by_id(near_dedup.near_duplicates(frame(spark, texts)))
+    assert {i: r["class_id"] for i, r in found.items()} == {i: i - i % 2 for i in found}
+
+
 def test_similarity_needs_the_order():
     a = np.arange(100, dtype=np.uint64)
     assert near_dedup.similarity(a, a) == 1.0
