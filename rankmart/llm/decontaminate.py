@@ -97,7 +97,7 @@ def test_seeds(items: DataFrame, id: str = "item_id", text: str = "text") -> Dat
     )
 
 
-def leaks(
+def _passages(
     docs: DataFrame,
     items: DataFrame,
     id: str = "doc_id",
@@ -106,12 +106,7 @@ def leaks(
     item_text: str = "text",
     max_broadcast: int = MAX_BROADCAST,
 ) -> DataFrame:
-    """One row for each document and benchmark item of which it holds a passage.
-
-    ``first_word`` and ``last_word`` bound the passage in the document's words,
-    ``equal_words`` is the number of the item's words found there on one alignment and
-    ``overlap`` its share of the item.
-    """
+    """The rows of ``leaks`` by ``doc``, ``key`` (of its text), ``item`` and ``item_key``."""
     seeds = stored(test_seeds(items, item_id, item_text), "test-seeds")
     few = seeds.limit(max_broadcast + 1).count() <= max_broadcast
     worded = docs.select(
@@ -180,14 +175,32 @@ def leaks(
             F.max("equal_here").cast("long").alias("equal_words"),
             F.max(F.col("equal_here") / size).alias("overlap"),
         )
-        .select(
-            F.col("doc").alias(id),
-            F.col("item").alias(item_id),
-            "first_word",
-            "last_word",
-            "equal_words",
-            "overlap",
-        )
+    )
+
+
+def leaks(
+    docs: DataFrame,
+    items: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    max_broadcast: int = MAX_BROADCAST,
+) -> DataFrame:
+    """One row for each document and benchmark item of which it holds a passage.
+
+    ``first_word`` and ``last_word`` bound the passage in the document's words,
+    ``equal_words`` is the number of the item's words found there on one alignment and
+    ``overlap`` its share of the item.
+    """
+    found = _passages(docs, items, id, text, item_id, item_text, max_broadcast)
+    return found.select(
+        F.col("doc").alias(id),
+        F.col("item").alias(item_id),
+        "first_word",
+        "last_word",
+        "equal_words",
+        "overlap",
     )
 
 
@@ -196,7 +209,10 @@ def without_leaks(
 ) -> DataFrame:
     """The documents that hold no benchmark passage, with all their columns.
 
-    A null ``doc_id`` is compared as a value. All rows of a leaking ``doc_id`` go.
+    Rows are told apart by id and text, so that another text with the id of a leaking one,
+    or a null id, stays. A null ``doc_id`` is compared as a value.
     """
-    found = leaks(docs, items, id, text, **columns).select(F.col(id).alias("_leak")).distinct()
-    return docs.join(found, F.col(id).eqNullSafe(F.col("_leak")), "left_anti")
+    found = _passages(docs, items, id, text, **columns)
+    found = found.select(F.col("doc").alias("_leak"), F.col("key").alias("_leak_key")).distinct()
+    same = (text_key(text) == F.col("_leak_key")) & F.col(id).eqNullSafe(F.col("_leak"))
+    return docs.join(found, same, "left_anti")

@@ -414,11 +414,19 @@ def links(
 
 
 def classes(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``node`` (a text) and ``class_id``, the smallest id of its class of near copies."""
+    """``node`` (a text), ``class_id``, the smallest id of its class of near copies, ``first``.
+
+    ``first`` marks one node of each class: the smallest with that id.
+    """
     nodes, roots = links(docs, id, text)
     rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = rooted.groupBy("root").agg(F.min("doc").alias("class_id"))
-    return rooted.join(least, "root").select("node", "class_id")
+    # Null ids come last.
+    order = F.struct(F.col("doc").isNull(), F.col("doc"), F.col("node"))
+    least = rooted.groupBy("root").agg(
+        F.min("doc").alias("class_id"), F.min_by("node", order).alias("chosen")
+    )
+    first = (F.col("node") == F.col("chosen")).alias("first")
+    return rooted.join(least, "root").select("node", "class_id", first)
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -435,6 +443,8 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     node = F.unhex(F.md5(text_or_empty(text)))
     # "_node" and "_class" are no columns of documents; any there are give way.
     plain = docs.drop("_node", "_class").withColumn("_node", node)
-    known = known.select(F.col("node").alias("_node"), F.col("class_id").alias("_class"))
+    known = known.filter("first").select(
+        F.col("node").alias("_node"), F.col("class_id").alias("_class")
+    )
     kept = plain.join(known, "_node").filter(F.col(id).cast("long").eqNullSafe(F.col("_class")))
     return kept.dropDuplicates(["_node"]).drop("_node", "_class")

@@ -112,6 +112,16 @@ def test_leaks_against_brute_force(spark):
     assert decontaminate.leaks(frame(spark, docs), bench.limit(0)).isEmpty()
 
 
+def test_clean_texts_with_the_id_of_a_leaking_one_stay(spark):
+    item = " ".join(f"item{i}" for i in range(15))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, f"a {item}"), (None, "clean"), (None, None), (7, f"b {item}"), (7, "other")]
+    docs = spark.createDataFrame([(*r, None, 1) for r in rows], SCHEMA)
+    left = decontaminate.without_leaks(docs, bench).collect()
+    assert {(r["doc_id"], r["text"]) for r in left} == {(None, "clean"), (None, None), (7, "other")}
+    assert len(left) == 3
+
+
 def brute_repeats(rows, width=13):
     """For each row its words and which of them stay."""
     starts = {}
@@ -251,6 +261,15 @@ def test_near_duplicates_of_members_of_a_large_class(spark):
     assert len(found) == len(texts) and {r["class_id"] for r in found} == {0}
 
 
+def test_one_row_of_each_class_with_null_and_shared_ids(spark):
+    words = [f"n{i}" for i in range(60)]
+    rows = [(None, " ".join([*words, f"end{i}"])) for i in range(4)]
+    rows += [(5, " ".join(["x" + w for w in words] + [f"end{i}"])) for i in range(3)]
+    docs = spark.createDataFrame([(*r, None, 1) for r in rows * 2], SCHEMA)
+    left = near_dedup.one_of_each(docs).collect()
+    assert sorted(str(r["doc_id"]) for r in left) == ["5", "None"]
+
+
 def test_near_duplicates_of_few_words(spark):
     texts = []
     for i in range(2500):
