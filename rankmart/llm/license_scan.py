@@ -5,7 +5,9 @@ same pair in the license templates. Word ``p`` of a document meeting word ``t``
 template votes for the diagonal ``p - t``: the place where the template would start. The
 votes of a (document, template, diagonal) are gathered as a set of template places, the
 sets of neighbouring diagonals are merged (words put in or left out move the rest of a
-license to the next diagonal), and the share of template pairs found decides.
+license to the next diagonal), and the share of template pairs found decides. A span counts
+only if the words that tell its license from others stand there whole: those that a template
+names as ``needed``, or all words of a template of fewer than ``SHORT``.
 
 Everything is DataFrame functions. The templates are a parameter of bounded size and
 broadcast; a document's words travel only with a pair that was found.
@@ -31,21 +33,40 @@ MAX_PAIRS = 62
 MAX_TEMPLATES = 5_000
 GAP = 3
 THRESHOLD = 0.75
+#: Templates of fewer words are needed whole: each of their words tells licenses apart.
+SHORT = 8
 _SELF = -1
 
 
 @dataclass(frozen=True)
 class Template:
-    """ASCII words of a license, in lower case; ``exact`` asks for all of them in a row."""
+    """ASCII words of a license, in lower case; ``exact`` asks for all of them in a row.
+
+    ``needed`` are words of the text, in a row, without which it is another license.
+    """
 
     label: str
     text: str
     exact: bool = False
+    needed: str = ""
 
     @property
     def words(self) -> list[str]:
         return self.text.split()
 
+    @property
+    def needed_places(self) -> list[int]:
+        """Places of the pairs that a span must have."""
+        words = self.words
+        needed = self.needed.split() or (words if len(words) < SHORT else [])
+        if not needed:
+            return []
+        starts = range(len(words) - len(needed) + 1)
+        first = next((s for s in starts if words[s : s + len(needed)] == needed), None)
+        if first is None or len(needed) < 2:
+            raise ValueError(f"needed words are two or more of the text in a row: {self}")
+        return list(range(first, first + len(needed) - 1))
+
 
 #: The phrases and labels that are counted one by one.
 BASE = [
@@ -62,19 +83,21 @@ TEXTS = [
         "apache",
         "licensed under the apache license version 2 0 the license you may not use this file "
         "except in compliance with the license",
+        needed="apache license",
     ),
     Template(
         "bsd",
         "redistribution and use in source and binary forms with or without modification are "
         "permitted provided that the following conditions are met",
     ),
-    Template("cc-by-nc", "licensed under cc by nc"),
-    Template("cc-by-sa", "licensed under cc by sa"),
+    Template("cc-by-nc", "cc by nc"),
+    Template("cc-by-sa", "cc by sa"),
     Template("cc0", "cc0 1 0 universal public domain dedication"),
     Template(
         "gpl",
         "this program is free software you can redistribute it and or modify it under the "
         "terms of the gnu general public license",
+        needed="gnu general public license",
     ),
     Template(
         "isc",
@@ -90,6 +113,7 @@ TEXTS = [
     Template(
         "mpl",
         "this source code form is subject to the terms of the mozilla public license",
+        needed="mozilla public license",
     ),
     Template("reserved", "all rights reserved"),
     Template(
@@ -108,7 +132,8 @@ def _templates(spark, templates: Sequence[Template]) -> tuple[DataFrame, DataFra
         words = template.words
         if not 2 <= len(words) <= MAX_PAIRS + 1 or not template.text.isascii():
             raise ValueError(f"a template has 2 to {MAX_PAIRS + 1} ASCII words: {template}")
-        known.append((number, template.label, template.exact, len(words) - 1))
+        needed = sum(1 << place for place in template.needed_places)
+        known.append((number, template.label, template.exact, len(words) - 1, needed))
         pairs += [(number, t, *words[t : t + 2]) for t in range(len(words) - 1)]
     places = spark.createDataFrame(
         [*pairs, (_SELF, 0, None, None)], "template int, place int, one string, two string"
@@ -117,7 +142,7 @@ def _templates(spark, templates: Sequence[Template]) -> tuple[DataFrame, DataFra
         F.xxhash64("one", "two")
     )
     return places.withColumn("pair", pair), spark.createDataFrame(
-        known, "template int, label string, exact boolean, pairs int"
+        known, "template int, label string, exact boolean, pairs int, needed long"
     )
 
 
@@ -165,12 +190,16 @@ def license_votes(
 def license_spans(
     votes: DataFrame, templates: Sequence[Template], gap: int = GAP
 ) -> DataFrame:
-    """Adds ``merged`` (pairs found here or on the next ``gap`` diagonals) and ``coverage``."""
+    """Adds ``merged`` (pairs found here or on the next ``gap`` diagonals) and ``coverage``.
+
+    ``verified`` tells whether the needed pairs are all on one of these diagonals.
+    """
     _, known = _templates(votes.sparkSession, templates)
     near = W.partitionBy("doc", "key", "template").orderBy("diagonal").rangeBetween(0, gap)
     spans = votes.join(F.broadcast(known), "template", "left")
     merged = F.when(F.col("exact"), F.col("found")).otherwise(F.bit_or("found").over(near))
-    return spans.withColumn("merged", merged).withColumn(
+    whole = F.col("found").bitwiseAND(F.col("needed")) == F.col("needed")
+    return spans.withColumns({"merged": merged, "verified": F.max(whole).over(near)}).withColumn(
         "coverage", F.bit_count("merged") / F.col("pairs")
     )
 
@@ -187,13 +216,15 @@ def license_scan(
     """One row per document: its licenses and where the base phrases stand.
 
     A base phrase counts at each place where all its words stand in a row. A text counts
-    when at least ``threshold`` of its word pairs lie on diagonals within ``gap``.
+    when at least ``threshold`` of its word pairs lie on diagonals within ``gap``, and the
+    needed ones in a row.
     ``score`` is the largest share of any template that was found.
     """
     templates = [*base, *texts]
     spans = license_spans(license_votes(docs, templates, id, text), templates, gap)
     place = F.col("exact") & (F.bit_count("found") == F.col("pairs"))
-    labelled = F.when(place | (~F.col("exact") & (F.col("coverage") >= threshold)), F.col("label"))
+    text_found = ~F.col("exact") & (F.col("coverage") >= threshold) & F.col("verified")
+    labelled = F.when(place | text_found, F.col("label"))
 
     def joined(label):
         return F.array_join(F.array_sort(F.collect_set(label)), ",")

@@ -53,6 +53,23 @@ def test_license_places_and_labels(spark):
     assert found[5]["base_labels"] == "cc-by" and found[5]["first_word"] == 3
 
 
+def test_license_labels_need_the_words_that_tell_them_apart(spark):
+    notice = (
+        "This program is free software: you can redistribute it and/or modify it under the "
+        "terms of the GNU {} General Public License as published"
+    )
+    texts = {
+        "Licensed under CC BY 4.0": "cc-by",
+        "Licensed under CC BY-NC 4.0": "cc-by,cc-by-nc",
+        "Licensed under CC BY-SA 4.0": "cc-by,cc-by-sa",
+        notice.format(""): "gpl",
+        notice.format("Lesser"): "lgpl",
+        notice.format("Affero"): "agpl",
+    }
+    found = by_id(license_scan.license_scan(frame(spark, list(texts))))
+    assert [found[i]["labels"] for i in range(len(texts))] == list(texts.values())
+
+
 def test_license_repeated_rows_and_empty_table(spark):
     docs = frame(spark, ["mit license"])
     twice = docs.union(docs).union(docs.selectExpr("NULL", "text", "lang", "words"))
