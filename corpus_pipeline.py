@@ -19,11 +19,10 @@ from rankmart.llm import (
     decontaminate,
     language_id,
     near_dedup,
-    packing,
     substring_dedup,
 )
 from rankmart.llm.common import stored
-from rankmart.llm.queries import END_OF_PIECE, table, tokenizer
+from rankmart.llm.queries import packed, table
 
 #: A text whose likeliest language is less likely than this has no language.
 LANGUAGE_SCORE = 0.5
@@ -66,9 +65,8 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token pieces of all documents with their place in the packed sequences."""
-    path = tokenizer("word_bpe_49k.json")
-    return packing.pack_documents(docs, path, END_OF_PIECE, with_ids=False)
+    """The token pieces of all documents, with ids, from the packed sequences as written."""
+    return packed(spark, docs, with_ids=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

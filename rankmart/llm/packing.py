@@ -9,6 +9,7 @@ whatever the size of the table. Spark counts them, the driver makes a plan of a
 thousand *patterns* (lengths of one sequence, and how many such sequences), and Spark deals
 the pieces of each length out to the places that the plan has for it, by their number
 within the length. No task holds more than its share, however many pieces have one length.
+``write_sequences`` gathers the ids of each sequence, ``read_pieces`` reads them back.
 
 Results for odd input: a null or empty text is one piece with the end id; equal rows are
 packed each; a null ``doc_id`` is kept; an empty table gives an empty result; other columns
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -33,12 +34,20 @@ from rankmart.llm.tokens import encoder
 
 CAPACITY = 4096
 _RANK = "_rank"
+_WRITTEN = """sequence_id long, ids binary,
+    pieces array<struct<doc: long, piece: int, start: long, length: long>>"""
 
 
 def _cut(
-    batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, capacity: int, with_ids: bool
+    batches: Iterator[pa.RecordBatch],
+    tokenizer: str,
+    end_id: int,
+    capacity: int,
+    with_ids: bool,
+    narrow: bool,
 ) -> Iterator[pa.RecordBatch]:
     known = encoder(tokenizer)
+    half = narrow and max(known.size, end_id + 1) <= 1 << 16
     end = np.array([end_id], np.uint32)
     for batch in batches:
         docs: list[int | None] = []
@@ -66,7 +75,7 @@ def _cut(
                 docs.append(doc)
                 rows.append((number, at, len(part) // 4, zlib.crc32(part)))
                 if with_ids:
-                    data.append(part)
+                    data.append(ids[at : at + capacity].astype("<u2").tobytes() if half else part)
             if len(rows) >= 4096:
                 yield out()
                 docs, rows, data = [], [], []
@@ -81,16 +90,20 @@ def token_pieces(
     id: str = "doc_id",
     text: str = "text",
     with_ids: bool = True,
+    narrow: bool = False,
 ) -> DataFrame:
     """Each document's ids with the end id, cut where longer than ``capacity``.
 
-    ``ids`` are little-endian unsigned 32-bit numbers, ``ids_crc32`` their checksum.
+    ``ids`` are little-endian unsigned 32-bit numbers, ``ids_crc32`` their checksum. With
+    ``narrow`` they have 16 bits where the vocabulary allows; the checksum is the same.
     """
     schema = "doc long, piece int, start long, length long, crc long" + ", ids binary" * with_ids
     rows = docs.select(
         F.col(id).cast("long").alias("doc"), F.col(text).cast("string").alias("text")
     )
-    cut = rows.mapInArrow(lambda b: _cut(b, tokenizer, end_id, capacity, with_ids), schema)
+    cut = rows.mapInArrow(
+        lambda b: _cut(b, tokenizer, end_id, capacity, with_ids, narrow), schema
+    )
     return cut.withColumnsRenamed({"doc": id, "crc": "ids_crc32"})
 
 
@@ -230,12 +243,83 @@ def pack_documents(
     id: str = "doc_id",
     text: str = "text",
     with_ids: bool = True,
+    narrow: bool = False,
 ) -> DataFrame:
     """The pieces of all documents with their sequence and place there."""
-    cut = token_pieces(docs, tokenizer, end_id, capacity, id, text, with_ids)
+    cut = token_pieces(docs, tokenizer, end_id, capacity, id, text, with_ids, narrow)
     return best_two_fit(cut, capacity)
 
 
+def write_sequences(packed: DataFrame, path: str, id: str = "doc_id") -> None:
+    """Writes the sequences: ``sequence_id``, ``ids`` and, in their order, the ``pieces``.
+
+    ``packed`` is the result of ``pack_documents`` with ids, narrow or not. A piece is the document, its
+    number there and its first id there, and the number of its ids.
+    """
+    part = F.struct("offset", F.col(id).alias("doc"), "piece", "start", "length", "ids")
+    parts = packed.groupBy("sequence_id").agg(F.collect_list(part).alias("parts"))
+    parts.mapInArrow(_written, _WRITTEN).write.mode("overwrite").parquet(path)
+
+
+def _written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["doc", "piece", "start", "length"]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+    pieces = pa.list_(pa.struct(list(zip(names, types, strict=True))))
+    for batch in batches:
+        # A sequence at a time: those of a batch together can be large.
+        for row in range(len(batch)):
+            (one,) = batch.slice(row, 1).to_pylist()
+            parts = sorted(one["parts"], key=lambda p: p["offset"])
+            told = [{n: p[n] for n in names} for p in parts]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([one["sequence_id"]], pa.int64()),
+                    pa.array([b"".join(p["ids"] for p in parts)], pa.binary()),
+                    pa.array([told], pieces),
+                ],
+                names=["sequence_id", "ids", "pieces"],
+            )
+
+
+def _read(batches: Iterator[pa.RecordBatch], with_ids: bool) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in range(len(batch)):
+            (one,) = batch.slice(row, 1).to_pylist()
+            pieces = one["pieces"]
+            sizes = np.array([p["length"] for p in pieces], np.int64)
+            offsets = np.cumsum(sizes) - sizes
+            ends = offsets + sizes
+            wide = len(one["ids"]) // int(ends[-1])
+            if wide not in (2, 4) or wide * int(ends[-1]) != len(one["ids"]):
+                raise ValueError(f"sequence {one['sequence_id']} is not its pieces")
+            ids = np.frombuffer(one["ids"], f"<u{wide}").astype("<u4").tobytes()
+            each = [ids[4 * a : 4 * b] for a, b in zip(offsets, ends, strict=True)]
+            columns = {
+                "doc": pa.array([p["doc"] for p in pieces], pa.int64()),
+                "piece": pa.array([p["piece"] for p in pieces], pa.int32()),
+                "start": pa.array([p["start"] for p in pieces], pa.int64()),
+                "length": pa.array([len(x) // 4 for x in each], pa.int64()),
+                "crc": pa.array([zlib.crc32(x) for x in each], pa.int64()),
+            }
+            if with_ids:
+                columns["ids"] = pa.array(each, pa.binary())
+            columns["sequence_id"] = pa.array([one["sequence_id"]] * len(each), pa.int64())
+            columns["offset"] = pa.array(offsets)
+            yield pa.RecordBatch.from_pydict(columns)
+
+
+def read_pieces(
+    spark: SparkSession, path: str, id: str = "doc_id", with_ids: bool = False
+) -> DataFrame:
+    """One row per piece, from the written sequences: its place, length and checksum there."""
+    schema = "doc long, piece int, start long, length long, crc long" + ", ids binary" * with_ids
+    rows = spark.read.schema(_WRITTEN).parquet(path)
+    found = rows.mapInArrow(
+        lambda b: _read(b, with_ids), f"{schema}, sequence_id long, offset long"
+    )
+    return found.withColumnsRenamed({"doc": id, "crc": "ids_crc32"})
+
+
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         parts = [

@@ -98,9 +98,16 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
-    path = tokenizer("word_bpe_49k.json")
-    return packing.pack_documents(documents, path, END_OF_PIECE, with_ids=False)
+    return packed(spark, table(spark, sf_dir, "documents"))
+
+
+def packed(spark: SparkSession, documents: DataFrame, with_ids: bool = False) -> DataFrame:
+    """Packs the documents, writes the sequences and tells the pieces found in the files."""
+    path = scratch_path(spark, "llm-sequences")
+    model = tokenizer("word_bpe_49k.json")
+    pieces = packing.pack_documents(documents, model, END_OF_PIECE, narrow=True)
+    packing.write_sequences(pieces, path)
+    return packing.read_pieces(spark, path, with_ids=with_ids)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

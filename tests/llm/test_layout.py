@@ -119,6 +119,25 @@ def test_packed_documents(spark):
     assert packing.pack_documents(docs.limit(0), path, 1).isEmpty()
 
 
+def test_pieces_come_from_written_sequences(spark):
+    from rankmart.llm.queries import packed
+
+    path = tokenizer("word_bpe_49k.json")
+    rows = [(1, " ".join(["word"] * 9000), 0), (2, None, 0), (4, "a b c", 0), (None, "x", 0)]
+    docs = spark.createDataFrame(rows * 5, SCHEMA)
+    found = packed(spark, docs, with_ids=True).collect()
+    check_places(found, 4096)
+    direct = packing.pack_documents(docs, path, 1)
+    names = [c for c in direct.columns if c not in ("sequence_id", "offset")]
+    expected = Counter(tuple(r) for r in direct.select(names).collect())
+    assert Counter(tuple(r[n] for n in names) for r in found) == expected
+    plain = packed(spark, docs)
+    assert plain.columns == [c for c in direct.columns if c != "ids"]
+    assert packed(spark, docs.limit(0)).isEmpty()
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, "")
+    assert all(r["ids_crc32"] == zlib.crc32(r["ids"]) for r in last.collect())
+
+
 def test_shards_are_level_and_keep_copies_together(spark):
     found = op7_sharding(spark, "/root/testdata/sf0.01").collect()
     sizes = Counter()
