@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 
 from rankmart.llm.common import ascii_words, text_key, text_or_empty
 
-#: Pairs of one template fit the bits of a long; all templates fit a broadcast.
-MAX_PAIRS = 62
+#: All templates, of any length, fit a broadcast.
 MAX_TEMPLATES = 5_000
+MAX_PLACES = 200_000
 GAP = 3
 THRESHOLD = 0.75
 #: Templates of fewer words are needed whole: each of their words tells licenses apart.
@@ -76,6 +76,65 @@ BASE = [
     Template("mit", "mit license", exact=True),
 ]
 
+#: Later paragraphs of licenses, for texts without the opening words.
+PARAGRAPHS = [
+    Template(
+        "mit",
+        "to deal in the software without restriction including without limitation the "
+        "rights to use copy modify merge publish distribute sublicense and or sell copies "
+        "of the software and to permit persons to whom the software is furnished to do so "
+        "subject to the following conditions the above copyright notice and this permission "
+        "notice shall be included in all copies or substantial portions of the software",
+    ),
+    Template(
+        "mit",
+        "the software is provided as is without warranty of any kind express or implied "
+        "including but not limited to the warranties of merchantability fitness for a "
+        "particular purpose and noninfringement in no event shall the authors or copyright "
+        "holders be liable for any claim damages or other liability whether in an action of "
+        "contract tort or otherwise arising from out of or in connection with the software "
+        "or the use or other dealings in the software",
+        needed="authors or copyright holders be liable",
+    ),
+    Template(
+        "bsd",
+        "redistributions of source code must retain the above copyright notice this list of "
+        "conditions and the following disclaimer redistributions in binary form must "
+        "reproduce the above copyright notice this list of conditions and the following "
+        "disclaimer in the documentation and or other materials provided with the "
+        "distribution",
+    ),
+    Template(
+        "bsd",
+        "this software is provided by the copyright holders and contributors as is and any "
+        "express or implied warranties including but not limited to the implied warranties "
+        "of merchantability and fitness for a particular purpose are disclaimed in no event "
+        "shall the copyright holder or contributors be liable for any direct indirect "
+        "incidental special exemplary or consequential damages including but not limited to "
+        "procurement of substitute goods or services loss of use data or profits or "
+        "business interruption however caused and on any theory of liability whether in "
+        "contract strict liability or tort including negligence or otherwise arising in any "
+        "way out of the use of this software even if advised of the possibility of such "
+        "damage",
+    ),
+    Template(
+        "isc",
+        "the software is provided as is and the author disclaims all warranties with regard "
+        "to this software including all implied warranties of merchantability and fitness "
+        "in no event shall the author be liable for any special direct indirect or "
+        "consequential damages or any damages whatsoever resulting from loss of use data or "
+        "profits whether in an action of contract negligence or other tortious action "
+        "arising out of or in connection with the use or performance of this software",
+    ),
+    Template(
+        "apache",
+        "unless required by applicable law or agreed to in writing software distributed "
+        "under the license is distributed on an as is basis without warranties or "
+        "conditions of any kind either express or implied see the license for the specific "
+        "language governing permissions and limitations under the license",
+    ),
+]
+
 #: Opening words of well-known licenses and notices.
 TEXTS = [
     Template("agpl", "gnu affero general public license"),
@@ -120,6 +179,7 @@ TEXTS = [
         "unlicense",
         "this is free and unencumbered software released into the public domain",
     ),
+    *PARAGRAPHS,
 ]
 
 
@@ -130,11 +190,13 @@ def _templates(spark, templates: Sequence[Template]) -> tuple[DataFrame, DataFra
     pairs, known = [], []
     for number, template in enumerate(templates):
         words = template.words
-        if not 2 <= len(words) <= MAX_PAIRS + 1 or not template.text.isascii():
-            raise ValueError(f"a template has 2 to {MAX_PAIRS + 1} ASCII words: {template}")
-        needed = sum(1 << place for place in template.needed_places)
+        if len(words) < 2 or not template.text.isascii():
+            raise ValueError(f"a template has two or more ASCII words: {template}")
+        needed = template.needed_places
         known.append((number, template.label, template.exact, len(words) - 1, needed))
         pairs += [(number, t, *words[t : t + 2]) for t in range(len(words) - 1)]
+    if len(pairs) > MAX_PLACES:
+        raise ValueError(f"at most {MAX_PLACES} word pairs in all templates")
     places = spark.createDataFrame(
         [*pairs, (_SELF, 0, None, None)], "template int, place int, one string, two string"
     )
@@ -142,7 +204,7 @@ def _templates(spark, templates: Sequence[Template]) -> tuple[DataFrame, DataFra
         F.xxhash64("one", "two")
     )
     return places.withColumn("pair", pair), spark.createDataFrame(
-        known, "template int, label string, exact boolean, pairs int, needed long"
+        known, "template int, label string, exact boolean, pairs int, needed array<int>"
     )
 
 
@@ -151,8 +213,8 @@ def license_votes(
 ) -> DataFrame:
     """Votes by (document, template, diagonal), and one row per document (template -1).
 
-    ``found`` has a bit for each template pair that is there, ``copies`` the number of
-    equal rows.
+    ``found`` has the places of the template pairs that are there, ``copies`` is the number
+    of equal rows.
     """
     places, _ = _templates(docs.sparkSession, templates)
     worded = docs.select(
@@ -180,10 +242,10 @@ def license_votes(
             F.size("words").cast("long").alias("n_words"),
             "template",
             diagonal.cast("long").alias("diagonal"),
-            F.expr("shiftleft(1L, place)").alias("vote"),
+            "place",
         )
         .groupBy("doc", "key", "n_words", "template", "diagonal")
-        .agg(F.bit_or("vote").alias("found"), F.count(F.lit(1)).alias("copies"))
+        .agg(F.collect_set("place").alias("found"), F.count(F.lit(1)).alias("copies"))
     )
 
 
@@ -197,10 +259,11 @@ def license_spans(
     _, known = _templates(votes.sparkSession, templates)
     near = W.partitionBy("doc", "key", "template").orderBy("diagonal").rangeBetween(0, gap)
     spans = votes.join(F.broadcast(known), "template", "left")
-    merged = F.when(F.col("exact"), F.col("found")).otherwise(F.bit_or("found").over(near))
-    whole = F.col("found").bitwiseAND(F.col("needed")) == F.col("needed")
+    nearby = F.array_distinct(F.flatten(F.collect_list("found").over(near)))
+    merged = F.when(F.col("exact"), F.col("found")).otherwise(nearby)
+    whole = F.size(F.array_except("needed", "found")) == 0
     return spans.withColumns({"merged": merged, "verified": F.max(whole).over(near)}).withColumn(
-        "coverage", F.bit_count("merged") / F.col("pairs")
+        "coverage", F.size("merged") / F.col("pairs")
     )
 
 
@@ -222,7 +285,7 @@ def license_scan(
     """
     templates = [*base, *texts]
     spans = license_spans(license_votes(docs, templates, id, text), templates, gap)
-    place = F.col("exact") & (F.bit_count("found") == F.col("pairs"))
+    place = F.col("exact") & (F.size("found") == F.col("pairs"))
     text_found = ~F.col("exact") & (F.col("coverage") >= threshold) & F.col("verified")
     labelled = F.when(place | text_found, F.col("label"))
 

@@ -70,6 +70,18 @@ def test_license_labels_need_the_words_that_tell_them_apart(spark):
     assert [found[i]["labels"] for i in range(len(texts))] == list(texts.values())
 
 
+def test_license_bodies_without_their_opening_words(spark):
+    bodies = {t.text: t.label for t in license_scan.PARAGRAPHS}
+    long = " ".join(f"term{i}" for i in range(300))
+    texts = [" ".join(["before", *t.split()[6:], "after"]) for t in bodies] + [long]
+    unlicense = license_scan.PARAGRAPHS[1].text.replace("authors or copyright holders", "authors")
+    wanted = [*bodies.values(), "whole", ""]
+    templates = [*license_scan.TEXTS, license_scan.Template("whole", long)]
+    docs = frame(spark, [*texts, unlicense])
+    found = by_id(license_scan.license_scan(docs, texts=templates))
+    assert [found[i]["labels"] for i in range(len(wanted))] == wanted
+
+
 def test_license_repeated_rows_and_empty_table(spark):
     docs = frame(spark, ["mit license"])
     twice = docs.union(docs).union(docs.selectExpr("NULL", "text", "lang", "words"))
