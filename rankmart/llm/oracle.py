@@ -118,8 +118,90 @@ SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIG
 FROM docs LEFT JOIN kept USING (doc_id)"""
 
 
+_OP11 = r"""
+WITH chosen AS (
+    SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.id AS anchor_id, a.label AS own, r.id, r.label,
+        CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+    FROM chosen a JOIN chosen r ON a.id % 50 = 0 AND r.id <> a.id AND len(r.v) = len(a.v)
+), positives AS (
+    SELECT anchor_id, own, id AS positive_id, score AS positive_score FROM scored WHERE label = own
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+    CAST(row_number() OVER (
+        PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+    s.id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND s.label <> p.own
+    AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY rank <= 3"""
+
+# A run has three words in a row that are equal a period apart: candidates come from there.
+_OP12 = r"""
+WITH split AS (
+    SELECT doc_id, list_filter(
+        regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+        list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+            lambda c: CAST(ascii(c) AS BIGINT)) AS digits
+    FROM documents
+), hashed AS (
+    SELECT doc_id, words, len(words) AS n, xor(4294967295, list_reduce(
+        list_concat([CAST(4294967295 AS BIGINT)], digits), lambda h, digit: list_reduce(
+            list_concat([xor(h, digit)], range(8)),
+            lambda x, bit: xor(x >> 1, 3988292384 * (x & 1))))) AS h
+    FROM split
+), looping AS (
+    SELECT *, (h // 10) % n AS a, 1 + (n - (h // 10) % n) // (3 + (h // 10) % 8) AS p FROM hashed
+), texts AS MATERIALIZED (
+    SELECT row_number() OVER () AS d, doc_id, n,
+        CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n),
+            lambda i: words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END])
+        ELSE words END AS words
+    FROM looping
+), tokens AS (
+    SELECT d, unnest(range(n)) AS i, unnest(words) AS w FROM texts
+), grams AS (
+    SELECT d, i, lag(hash(w)) OVER place AS before,
+        hash(w, lead(w) OVER place, lead(w, 2) OVER place) AS gram
+    FROM tokens WINDOW place AS (PARTITION BY d ORDER BY i)
+), starts AS (
+    SELECT a.d, a.i, b.i - a.i AS q
+    FROM grams a JOIN grams b ON a.d = b.d AND a.gram = b.gram AND a.i < b.i
+    WHERE a.before IS DISTINCT FROM b.before OR a.i = 0
+), stretches AS (
+    SELECT d, i AS start, q, n, coalesce(list_position(list_transform(
+        range(i, n - q), lambda j: words[j + 1] <> words[j + 1 + q]), true) - 1, n - q - i) + q AS length
+    FROM starts JOIN texts USING (d) WHERE q <= n // 4
+), runs AS (
+    SELECT d, start, length, min(q) AS period FROM stretches
+    WHERE length >= greatest(6, 4 * q) GROUP BY ALL
+), told AS (
+    SELECT d, count(*) AS n_runs,
+        arg_min(struct_pack(start, length, period), (-length, start, period)) AS best,
+        string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period)
+            AS lines
+    FROM runs GROUP BY d
+), dropped AS (
+    SELECT d, list_distinct(flatten(list(range(start + period, start + length)))) AS gone
+    FROM runs GROUP BY d
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length,
+    best.period AS period, 1000 * best.length // best.period AS exponent_milli,
+    sha256(coalesce(lines, '')) AS runs_sha256,
+    sha256(array_to_string(CASE WHEN gone IS NULL THEN words ELSE list_transform(
+        list_filter(range(n), lambda i: NOT list_contains(gone, i)), lambda i: words[i + 1]) END, ' ')) AS collapsed_sha256
+FROM texts LEFT JOIN told USING (d) LEFT JOIN dropped USING (d)"""
+
+
 ORACLE: dict[str, str] = {
     "op1_license_scan": _op1(),
     "op2_decontamination": _op2(),
     "op3_substring_dedup": _op3(),
+    "op11_hard_negatives": _OP11,
+    "op12_periodic_runs": _OP12,
 }

@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from rankmart.llm import (
     ann,
     decontaminate,
+    hard_negatives,
     language_id,
     license_scan,
+    mixing,
     near_dedup,
     packing,
+    periodic_runs,
     quality,
     sharding,
     substring_dedup,
@@ -110,6 +113,26 @@ def packed(spark: SparkSession, documents: DataFrame, with_ids: bool = False) ->
     return packing.read_pieces(spark, path, with_ids=with_ids)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = (F.col("label") + 1) % 10
+    label = F.when(F.col("vec_id") % 7 == 0, moved).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.periodic_runs(documents, change=periodic_runs.planted_loop)
+    return found.drop("runs", "collapsed")
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = mixing.mixed(table(spark, sf_dir, "documents"))
+    return drawn.select(
+        "doc_id", "size", "source_size", "target", mixing.taken().alias("taken")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -123,5 +146,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_store,
         op9_neighbours,
         op10_packing,
+        op11_hard_negatives,
+        op12_periodic_runs,
+        op13_mixing,
     )
 }
