@@ -13,6 +13,8 @@ from rankmart.functions.hashing import hash_diff
 from rankmart.operators.slices import ROWS_PER_SLICE, slice_rows, with_next, with_previous
 
 VERSION_COLUMNS = ["start_date", "end_date", "is_current", "hash_diff"]
+#: Whether a version is the first of its key in a pass over batches.
+FIRST = "_first"
 
 
 def _time(t: datetime | Column) -> Column:
@@ -90,15 +92,12 @@ def scd2_step(
     """The current versions after ``updates``, and the versions closed by it.
 
     Both inputs hold at most one row per key. One full outer join finds every case;
-    a changed key yields two rows, the closed version and its successor. When the
-    caller has checked that the updates are small, they are broadcast instead and the
-    current versions stay where they are.
+    a changed key yields two rows, the closed version and its successor. With
+    ``small_updates`` the joins have the current versions on the left alone, so that Spark
+    can broadcast the updates, if they are as small as it allows, and leave those in place.
     """
     fields = current.schema.fields
-    opened_rows = scd2_open(updates, tracked, as_of)
-    if small_updates:
-        opened_rows = F.broadcast(opened_rows)
-    c, u = current.alias("c"), opened_rows.alias("u")
+    c, u = current.alias("c"), scd2_open(updates, tracked, as_of).alias("u")
     on = same_key("c", "u", keys)
 
     known = F.col("c.is_current").isNotNull()
@@ -122,7 +121,7 @@ def scd2_step(
 
     # Keys of the updates that have a current version: no more than there are updates.
     met = c.join(u, on, "left_semi").select(*keys).alias("c")
-    fresh = u.join(F.broadcast(met), on, "left_anti").select(F.inline(F.array(new)))
+    fresh = u.join(met, on, "left_anti").select(F.inline(F.array(new)))
     return c.join(u, on, "left").select(both).unionByName(fresh)
 
 
@@ -153,13 +152,15 @@ def scd2_from_batches(
     batch: str,
     current: DataFrame | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
+    first: str | None = None,
 ) -> DataFrame:
     """All versions from many batches at once, one row per key and ``batch`` time.
 
     A row opens a version when its tracked values differ from the key's row in the
     batch before; the version ends where the next one starts. Equal to applying the
     batches one by one. ``current`` holds versions to continue from, all of which
-    must start before the first batch; batches without a time are not allowed.
+    must start before the first batch; batches without a time are not allowed. ``first``
+    names a column that tells the first version of each key.
     """
     rows = df.withColumns({"start_date": F.col(batch), "hash_diff": hash_diff(tracked)})
     if current is not None:
@@ -167,11 +168,48 @@ def scd2_from_batches(
         rows = current.select(*carried).unionByName(rows.select(*carried))
     sliced = slice_rows(rows, keys, ["start_date"], rows_per_slice)
     compared = with_previous(sliced, {"_before": "hash_diff"})
-    kept = compared.df.filter(~F.col("_before").eqNullSafe(F.col("hash_diff"))).drop("_before")
+    kept = compared.df.filter(~F.col("_before").eqNullSafe(F.col("hash_diff")))
+    if first is not None:
+        kept = kept.withColumn(first, F.col("_before").isNull())
+    kept = kept.drop("_before")
     ended = with_next(compared.on(kept), {"end_date": "start_date"}).result()
     versions = ended.withColumn("is_current", F.col("end_date").isNull())
     others = [c for c in rows.columns if c not in VERSION_COLUMNS]
-    return versions.select(*others, *VERSION_COLUMNS)
+    return versions.select(*others, *VERSION_COLUMNS, *([first] if first else []))
+
+
+def scd2_merge(
+    current: DataFrame, versions: DataFrame, key: str, end: Column | None = None
+) -> DataFrame:
+    """Current versions continued by later ones, and those that this closes.
+
+    ``versions`` come from one pass over later batches; ``FIRST`` marks the first of each
+    key. ``key`` is one column that is never null and tells the keys apart on both sides.
+    A first version with the values of the current one only carries it on. With ``end``,
+    keys without a version end there. One join on ``key``, so that a side that is stored in
+    buckets of it is not shuffled. A version that starts no later than a current one with
+    other values fails the job.
+    """
+    fields = current.schema.fields
+    c, v = current.alias("c"), versions.alias("v")
+    known = F.col("c.is_current").isNotNull()
+    present = F.col("v.hash_diff").isNotNull()
+    first = present & F.coalesce(F.col(f"v.{FIRST}"), F.lit(False))
+    carried = known & first & (F.col("c.hash_diff") == F.col("v.hash_diff"))
+    backwards = F.col("v.start_date") <= F.col("c.start_date")
+    refused = F.raise_error(F.lit("a batch time is not later than the start of a current version"))
+
+    until = F.when(carried, F.col("v.end_date"))
+    until = until.when(first & backwards, refused).when(first, F.col("v.start_date"))
+    until = until.when(~present, end) if end is not None else until
+    stays = F.when(carried, F.col("v.is_current")).otherwise(~present & F.lit(end is None))
+    old = _version("c", fields, end_date=until, is_current=stays)
+    new = _version("v", fields)
+    # A current version meets all later ones of its key and goes out with the first.
+    once = known & (first | ~present)
+    rows = F.array(F.when(once, old), F.when(present & ~carried, new))
+    joined = c.join(v, F.col(f"c.{key}") == F.col(f"v.{key}"), "full_outer")
+    return joined.select(F.inline(F.array_compact(rows)))
 
 
 def scd2_as_of(state: DataFrame, t: datetime | Column) -> DataFrame:

@@ -34,7 +34,6 @@ from rankmart.sources.domain import (
     unknown_values,
     with_dimension,
 )
-from rankmart.sources.history import BROADCAST_ROWS
 from rankmart.streaming.ingest import ingest_available, landed_at
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -422,7 +421,7 @@ def scd2_apply_small(spark, sf_dir):
         VOCATION.keys,
         VOCATION.tracked,
         moment(str(end)),
-        small_updates=last.count() <= BROADCAST_ROWS,
+        small_updates=True,
     )
     return state.filter("NOT is_current").unionByName(stepped)
 
@@ -946,10 +945,8 @@ def landed_folders(spark, sf_dir):
 _EXTRA_TEXT = ["Name", "Vocation", "World", "Category"]
 
 
-@query(f"WITH {o.EXTRA_STATE} SELECT * FROM extra_state")
-def extra_from_files(spark, sf_dir):
-    """From files with two headers to bronze rows and the versions of their keys."""
-    root = scratch_path(spark, "landing")
+def _land_extra(spark, sf_dir, root, part=None):
+    """Extra rankings as files with two headers."""
     daily = s.daily_extra(spark, sf_dir).select(
         *[F.col(c.lower()).alias(c) for c in _EXTRA_TEXT],
         F.col("title").alias("Title"),
@@ -957,12 +954,21 @@ def extra_from_files(spark, sf_dir):
         F.format_number("points", 0).alias("Score"),
         "day",
     )
+    if part is not None:
+        daily = daily.filter(part)
     titled = F.col("Title").isNotNull()
     for rows, dataset, columns in (
         (daily.filter(titled), "titled", ["Title", "Points", *_EXTRA_TEXT]),
         (daily.filter(~titled), "plain", [*_EXTRA_TEXT, "Score"]),
     ):
         landing.write_landing(rows, root, "extra", dataset, F.col("day"), MIDNIGHT, columns)
+
+
+@query(f"WITH {o.EXTRA_STATE} SELECT * FROM extra_state")
+def extra_from_files(spark, sf_dir):
+    """From files with two headers to bronze rows and the versions of their keys."""
+    root = scratch_path(spark, "landing")
+    _land_extra(spark, sf_dir, root)
     raw = landing.read_heterogeneous_csv(
         spark,
         f"{root}/extra/year=*/month=*/day=*/*/*",
@@ -1125,13 +1131,13 @@ def _silver_rows(daily: DataFrame) -> DataFrame:
 
 @query(_VOCATION_STATE)
 def history_apply(spark, sf_dir):
-    """Stored history: most days at once, the last day as a batch, a replay ignored."""
+    """Stored history: most days at once, the last day as a batch, and that once more."""
     history = VOCATION.history(spark, scratch_path(spark, "history"))
     daily = _silver_rows(s.daily_vocation(spark, sf_dir))
     before, last, end = _before_and_last(daily)
-    history.catch_up(before, "ingestion_time", 1, end - timedelta(days=1))
-    history.apply(last, 2, end)
-    history.apply(last.withColumn("level", F.lit(0)), 2, end + timedelta(days=1))
+    history.catch_up(before, "ingestion_time")
+    history.apply(last, end)
+    history.apply(last, end)
     return _plain(history.state().drop("ingestion_time"))
 
 
@@ -1141,12 +1147,37 @@ SELECT CAST(2 AS BIGINT) AS version, count(*) FILTER (is_current) AS current_row
     AS closed_rows
 FROM vocation_state""")
 def history_commits(spark, sf_dir):
+    """What the second of two loads left: told by the versions themselves."""
     history = VOCATION.history(spark, scratch_path(spark, "history"))
     before, last, end = _before_and_last(_silver_rows(s.daily_vocation(spark, sf_dir)))
-    history.catch_up(before, "ingestion_time", 1, end - timedelta(days=1))
-    history.apply(last, 2, end)
-    latest = history.commits().filter(F.col("version") == 2)
-    return latest.select("version", "current_rows", "closed_rows")
+    history.catch_up(before, "ingestion_time")
+    history.apply(last, end)
+    latest = history.loads().filter(F.col("at") == F.lit(end))
+    return latest.select(F.lit(2).cast("long").alias("version"), "current_rows", "closed_rows")
+
+
+@query(f"""WITH {o.VOCATION_STATE}
+SELECT start_date AS at, count(*) AS opened_rows,
+  (SELECT count(*) FROM vocation_state c WHERE c.end_date = v.start_date) AS closed_rows,
+  (SELECT count(*) FROM vocation_state c WHERE c.start_date <= v.start_date
+    AND (c.end_date IS NULL OR c.end_date > v.start_date)) AS current_rows
+FROM vocation_state v GROUP BY start_date""")
+def history_loads(spark, sf_dir):
+    """Opened, closed and current versions of every batch of a stored history."""
+    history = VOCATION.history(spark, scratch_path(spark, "history"))
+    history.catch_up(_silver_rows(s.daily_vocation(spark, sf_dir)), "ingestion_time")
+    return _plain(history.loads())
+
+
+@query(f"""WITH {o.VOCATION_STATE}
+SELECT * FROM vocation_state WHERE start_date <= TIMESTAMP '2024-01-15 12:00:00'
+  AND (end_date IS NULL OR end_date > TIMESTAMP '2024-01-15 12:00:00')""")
+def history_as_of(spark, sf_dir):
+    """The stored versions of one moment, from the partitions that can hold them."""
+    history = VOCATION.history(spark, scratch_path(spark, "history"))
+    history.catch_up(_silver_rows(s.daily_vocation(spark, sf_dir)), "ingestion_time")
+    moment_ = datetime(2024, 1, 15, 12)
+    return _plain(history.as_of(moment_).drop("ingestion_time"))
 
 
 @query(_VOCATION_STATE)
@@ -1183,3 +1214,18 @@ def late_ingest(spark, sf_dir):
             max_files,
         )
     return _plain(history.state().drop("ingestion_time"))
+
+
+@query(f"WITH {o.EXTRA_STATE} SELECT * FROM extra_state")
+def extra_ingest(spark, sf_dir):
+    """Files with two headers as a stream; some days are delivered twice, some arrive last."""
+    root, place = scratch_path(spark, "landing"), scratch_path(spark, "ingest")
+    number = F.dayofmonth("day")
+    history = None
+    for part in (number <= 8, number.between(6, 8) | (number >= 19), number.between(9, 18)):
+        _land_extra(spark, sf_dir, root, part)
+        history = ingest_available(
+            spark, root, "extra", f"{place}/bronze", f"{place}/silver", f"{place}/checkpoint"
+        )
+    columns = s.extra_state(spark, sf_dir).columns
+    return _plain(history.state().select(*columns))

@@ -9,14 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from rankmart.operators.conform import conform, normalise_columns, rename_synonyms, union_all
-
 MAX_ROWS_PER_FILE = 500_000
+#: Columns that a file with a header of its own may have.
+MAX_COLUMNS = 64
 
 LOG_SCHEMA = """pipeline string, layer string, entity string, subcategory string,
     status string, bucket string, data_key string, rows bigint, columns array<string>,
@@ -148,23 +147,79 @@ def read_landing(
     return with_origin(reader.option("enforceSchema", False).csv(path))
 
 
+def whole_files(spark: SparkSession, path: str, base: str | None = None) -> DataFrame:
+    """One row per file below ``path``: its text as ``value``, the folder names, the origin.
+
+    A file must fit a row; those written here hold at most ``MAX_ROWS_PER_FILE`` rows.
+    """
+    reader = spark.read
+    if base is not None:
+        reader = reader.option("basePath", base)
+    return with_origin(reader.text(path, wholetext=True))
+
+
+def _first_lines(text: Column) -> Column:
+    """The lines of a text that are not empty, without a byte order mark."""
+    lines = F.split(F.regexp_replace(text, "^\ufeff", ""), r"\r\n|\n|\r")
+    return F.filter(lines, lambda line: line != "")
+
+
 def headers(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file below ``path``: ``source_file`` and its first line ``header``.
+    """One row per file with any line below ``path``: ``source_file``, first line ``header``."""
+    header = F.get(_first_lines(F.col("value")), F.lit(0)).alias("header")
+    return whole_files(spark, path).select("source_file", header).filter("header IS NOT NULL")
+
 
-    Only the split a file starts in is kept, and each task hands on one line per
-    file.
+def _cells(line: Column) -> Column:
+    """The values of a CSV line in order; null where it has no more."""
+    names = [f"c{k}" for k in range(MAX_COLUMNS)]
+    parsed = F.from_csv(line, ", ".join(f"{n} string" for n in names))
+    return F.array(*[parsed[n] for n in names])
+
+
+def named_lines(
+    files: DataFrame, columns: Mapping[str, str], synonyms: Mapping[str, str] | None = None
+) -> DataFrame:
+    """The lines of whole files, each value under the name in the first line of its file.
+
+    ``columns`` is ``{name: type}``; names of the header have lower case and ``_`` for blanks,
+    ``synonyms`` (``{old: new}``) fill in where the new name is absent or its value null, and a
+    column of ``files`` (a folder name) is taken where the header has none. Also works on a
+    stream: every file is split by itself, in one pass.
     """
-    lines = (
-        spark.read.text(path)
-        .select(
-            F.col("value"),
-            F.col("_metadata.file_path").alias("source_file"),
-            F.col("_metadata.file_block_start").alias("offset"),
-        )
-        .filter("offset = 0")
-        .withColumn("line", F.monotonically_increasing_id())
+    old: dict[str, list[str]] = {}
+    for name, new in (synonyms or {}).items():
+        old.setdefault(new, []).append(name)
+    lines = F.col("_lines")
+    header = F.get(lines, F.lit(0))
+    names = F.transform(
+        _cells(header), lambda n: F.replace(F.lower(F.trim(n)), F.lit(" "), F.lit("_"))
+    )
+    given = F.filter("_names", lambda n: n.isNotNull())
+    twice = F.size(F.array_distinct(given)) < F.size(given)
+    wide = F.size(F.split(header, ",")) > MAX_COLUMNS
+    checked = (
+        F.when(twice, F.raise_error(F.concat(F.lit("columns differ only in case or blanks: "), header)))
+        .when(wide, F.raise_error(F.lit(f"a header has more than {MAX_COLUMNS} columns")))
+        .otherwise(F.col("_names"))
     )
-    return lines.groupBy("source_file").agg(F.min_by("value", "line").alias("header"))
+    split = files.withColumn("_lines", _first_lines(F.col("value"))).withColumn("_names", names)
+    split = split.withColumn("_names", checked)
+    folders = [c for c in files.columns if c != "value"]
+    rows = split.select(
+        *folders, "_names", F.explode(F.slice(lines, 2, F.size(lines))).alias("_line")
+    ).withColumn("_cells", _cells(F.col("_line")))
+
+    def value(name: str) -> Column:
+        found = [
+            F.get("_cells", F.array_position("_names", F.lit(n)).cast("int") - 1)
+            for n in [name, *old.get(name, [])]
+        ]
+        if name in folders:
+            found.append(F.col(name).cast("string"))
+        return F.coalesce(*found)
+
+    return rows.select(*[value(n).cast(t).alias(n) for n, t in columns.items()])
 
 
 def read_heterogeneous_csv(
@@ -176,26 +231,13 @@ def read_heterogeneous_csv(
 ) -> DataFrame:
     """CSV files with differing headers below ``path`` as one frame, plus origin.
 
-    Each set of files with the same header is read on its own, so that values stay
-    under their own names whatever their position. ``columns`` is ``{name: type}``
-    after names were normalised and ``synonyms`` renamed; with ``base``, the folder
-    names below it (``year=``, ``month=``, ``day=``) may be among them.
+    Values stay under the names of their own file whatever their position. The text is read
+    once and each file is split where it is read; nothing about files reaches the driver.
+    With ``base``, the folder names below it (``year=``, ``month=``, ``day=``) may be among
+    ``columns``.
     """
-    reader = spark.read.option("header", True)
-    if base is not None:
-        reader = reader.option("basePath", base)
-    # One path per file and one list per distinct header: what Spark's own file
-    # listing holds on the driver for the same read.
-    groups = headers(spark, path).groupBy("header").agg(F.collect_list("source_file").alias("f"))
-    frames = []
-    for group in groups.orderBy("header").collect():
-        files = [unquote(f) for f in sorted(group["f"])]
-        raw = with_origin(reader.csv(files))
-        named = rename_synonyms(normalise_columns(raw), synonyms or {})
-        frames.append(conform(named, {**columns, **{c: "string" for c in ORIGIN}}))
-    if not frames:
-        raise ValueError(f"no files below {path}")
-    return union_all(frames)
+    files = whole_files(spark, path, base)
+    return named_lines(files, {**columns, **{c: "string" for c in ORIGIN}}, synonyms)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

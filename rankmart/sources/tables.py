@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from hashlib import sha256
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rankmart.operators.conform import backfill, evolve
 from rankmart.sources.domain import TABLES
@@ -37,6 +39,47 @@ def create_all(spark: SparkSession, prefix: str = "", location: str | None = Non
     return names
 
 
+def table_at(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    by: Sequence[str],
+    buckets: tuple[str, int] | None = None,
+) -> str:
+    """The name of a partitioned table whose files lie at ``path``, known or new.
+
+    The name is derived from the path. ``buckets`` is a column and the number of buckets
+    that it is hashed to. Partitions found at ``path`` are taken in.
+    """
+    name = f"at_{sha256(path.encode()).hexdigest()[:24]}"
+    if spark.catalog.tableExists(name):
+        spark.catalog.recoverPartitions(name)
+        return name
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    clustered = f"CLUSTERED BY ({buckets[0]}) INTO {buckets[1]} BUCKETS" if buckets else ""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+        f"PARTITIONED BY ({', '.join(by)}) {clustered} LOCATION '{path}'"
+    )
+    # Makes the folder, if there is none.
+    none = spark.createDataFrame([], schema)
+    none.write.mode("ignore").partitionBy(*by).parquet(path)
+    spark.catalog.recoverPartitions(name)
+    return name
+
+
+def put_partitions(df: DataFrame, table: str) -> None:
+    """Replace the partitions of ``table`` that occur in ``df``, which may read the table.
+
+    Rows are written by the tasks that hold them; :func:`overwrite_partitions` gathers them
+    by partition first.
+    """
+    rows = _like_table(df, table)
+    writer = rows.write.option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
+    with _setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        writer.option("compression", COMPRESSION).insertInto(table, overwrite=True)
+
+
 def _sized(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Group rows by table partition before a write.
 

@@ -1,4 +1,16 @@
-"""Incremental arrival: each new landing file goes once into bronze and history."""
+"""Incremental arrival: new landing files go once into bronze and into the history.
+
+Rows pass a stateful step that lets equal rows of one extraction through once within
+``REPEATS`` of their arrival, so a file that is delivered twice, under whatever name, counts
+once. Its clock is the arrival, not the extraction: however old a file is, it is never too
+late for it, and the state stays bounded.
+
+Bronze is a table of partitions (``late``, ``ingestion_date``). Rows extracted no later than
+what bronze already holds are *late* and go to partitions of their own. Rows in time continue
+the current versions; the keys of late rows are versioned anew from all their bronze rows. Both
+replace partitions with what they hold already and the new rows, so a load that died, or a
+lost checkpoint, repeats nothing and loses nothing.
+"""
 
 from __future__ import annotations
 
@@ -6,21 +18,38 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from rankmart.functions.hashing import hash_diff
 from rankmart.operators.dedup import dedup
 from rankmart.operators.scd2 import same_key
-from rankmart.plans.bronze import SKILLS_KEYS, VOCATION_KEYS, bronze_skills, bronze_vocation
+from rankmart.plans.bronze import (
+    EXTRA_COLUMNS,
+    EXTRA_KEYS,
+    SKILLS_KEYS,
+    SYNONYMS,
+    VOCATION_KEYS,
+    bronze_extra,
+    bronze_skills,
+    bronze_vocation,
+)
 from rankmart.plans.silver import DOMAINS
-from rankmart.sources.domain import EXPERIENCE_HEADER, SKILLS_HEADER
+from rankmart.session import scratch_path
+from rankmart.sources.domain import EXPERIENCE_HEADER, SKILLS_HEADER, TABLES
 from rankmart.sources.history import History
-from rankmart.sources.landing import with_origin
+from rankmart.sources.landing import ORIGIN, named_lines, with_origin
+from rankmart.sources.tables import overwrite_partitions, table_at
 
-# domain: (landing folder, header, bronze step, key)
-_STREAMS: dict[str, tuple[str, list[str], Callable, list[str]]] = {
+# domain: (landing folder, header or None where files differ, bronze step, key)
+_STREAMS: dict[str, tuple[str, list[str] | None, Callable, list[str]]] = {
     "vocation": ("experience", EXPERIENCE_HEADER, bronze_vocation, VOCATION_KEYS),
     "skills": ("skills", SKILLS_HEADER, bronze_skills, SKILLS_KEYS),
+    "extra": ("extra", None, bronze_extra, EXTRA_KEYS),
 }
 
+_DAY = {"year": "int", "month": "int", "day": "int"}
+REPEATS = "7 days"
+
 
 def landed_at() -> Column:
     """Extraction time of a row: its day and run."""
@@ -34,22 +63,61 @@ def landing_stream(
 ) -> DataFrame:
     """New header CSVs of a domain as a stream, with the day and origin of each row."""
     folder, header, _, _ = _STREAMS[domain]
-    columns = ", ".join(f"`{c}` string" for c in header)
-    reader = (
-        spark.readStream.schema(f"{columns}, year int, month int, day int")
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("basePath", f"{root}/{folder}")
-    )
+    columns = ", ".join(f"`{c}` string" for c in header or ["value"])
+    days = ", ".join(f"{c} {t}" for c, t in _DAY.items())
+    reader = spark.readStream.schema(f"{columns}, {days}").option("basePath", f"{root}/{folder}")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    files = reader.csv(f"{root}/{folder}/year=*/month=*/day=*")
-    return with_origin(files)
+    path = f"{root}/{folder}/year=*/month=*/day=*"
+    if header:
+        return with_origin(
+            reader.option("header", True).option("enforceSchema", False).csv(path)
+        )
+    files = with_origin(reader.text(path, wholetext=True))
+    wanted = {**EXTRA_COLUMNS, **_DAY, **{c: "string" for c in ORIGIN}}
+    return named_lines(files, wanted, SYNONYMS)
+
+
+def once(rows: DataFrame, within: str = REPEATS) -> DataFrame:
+    """A stream without rows that repeat an earlier one of the same extraction."""
+    content = [c for c in rows.columns if c != "source_file"]
+    seen = rows.withColumns({"_arrived": F.current_timestamp(), "_row": hash_diff(content)})
+    kept = seen.withWatermark("_arrived", within).dropDuplicatesWithinWatermark(["_row"])
+    return kept.drop("_arrived", "_row")
+
+
+def bronze_table(spark: SparkSession, path: str, domain: str) -> str:
+    """The bronze table of a domain with its files at ``path``."""
+    columns = StructType.fromDDL(TABLES[f"bronze.{domain}"][0])
+    schema = StructType([f for f in columns.fields if f.name != "ingestion_date"])
+    schema = schema.add("late", "boolean").add("ingestion_date", "date")
+    return table_at(spark, path, schema, ["late", "ingestion_date"])
 
 
-def _loads(spark: SparkSession, path: str, last: int) -> DataFrame:
-    """What the loads up to ``last`` wrote."""
-    return spark.read.parquet(path).filter(F.col("batch") <= last).drop("batch")
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def add_to_bronze(rows: DataFrame, table: str, keys: list[str]) -> DataFrame:
+    """Adds rows to their partitions and returns them with ``late``.
+
+    Of rows with one key and time one stays, where it is.
+    """
+    bronze = rows.sparkSession.table(table)
+    last = bronze.agg(F.max("ingestion_date")).first()[0]
+    newest = bronze.filter(F.col("ingestion_date") == F.lit(last))
+    applied = newest.agg(F.max("ingestion_time")).first()[0] if last else None
+    late = F.col("ingestion_time") <= F.lit(applied) if applied else F.lit(False)
+    rows = rows.withColumn("late", late)
+    days = rows.select("ingestion_date").distinct()
+    held = bronze.join(days, "ingestion_date", "left_semi")
+    every = held.select(*bronze.columns).unionByName(rows.select(*bronze.columns))
+    every = every.withColumn("_in_time", ~F.col("late"))
+    one = dedup(every, [*keys, "ingestion_time", "ingestion_date"], ["_in_time"])
+    overwrite_partitions(one.drop("_in_time"), table)
+    return rows
 
 
 def ingest_available(
@@ -65,47 +133,33 @@ def ingest_available(
 
     Each row takes effect at the time its file was extracted, however late the file
     arrives and however files are dealt to micro-batches, so the history is that of all
-    files in one pass. A load is numbered after the last one that the history holds;
-    its bronze folder has that number, ``<bronze_path>_files`` lists its files, and files
-    that a published load holds are skipped. A load that died, or a new checkpoint, therefore neither
-    loses nor repeats a file.
-
-    Rows later than all before extend the current versions. If any is not, the keys of
-    the load are versioned anew from all their bronze rows.
+    files in one pass.
     """
     _, _, to_bronze, keys = _STREAMS[domain]
 
-    def load(files: DataFrame, _: int) -> None:
+    def load(files: DataFrame, number: int) -> None:
         session = files.sparkSession
-        history = DOMAINS[domain].history(session, history_root)
-        applied, last = history.applied_until(), history.version()
-        number = 0 if last is None else last + 1
-        raw = files.withColumn("landed", landed_at())
-        if last is not None:
-            held = _loads(session, f"{bronze_path}_files", last).select("source_file")
-            raw = raw.join(held.distinct(), "source_file", "left_anti")
-        raw.select("source_file").distinct().write.mode("overwrite").parquet(
-            f"{bronze_path}_files/batch={number}"
-        )
-        place = f"{bronze_path}/batch={number}"
-        to_bronze(raw, str(number), "landed").write.mode("overwrite").parquet(place)
-
-        rows = session.read.parquet(place)
-        first, until = rows.agg(F.min("ingestion_time"), F.max("ingestion_time")).first()
-        if until is None:
+        # The stateful step runs once: what it lets through is stored.
+        arrived = files.withColumn("landed", landed_at())
+        rows = _written(to_bronze(arrived, f"{domain}-{number}", "landed"), "rows")
+        if rows.isEmpty():
             return
-        if applied is None or first > applied:
-            batches = dedup(rows, [*keys, "ingestion_time"], ["ingestion_time"])
-            history.catch_up(batches, "ingestion_time", number, until)
+        table = bronze_table(session, bronze_path, domain)
+        rows = add_to_bronze(rows, table, keys)
+        history = DOMAINS[domain].history(session, history_root)
+        late = rows.filter("late").select(*keys).distinct()
+        if late.isEmpty():
+            history.catch_up(rows, "ingestion_time")
             return
-        touched = rows.select(*keys).distinct().alias("t")
-        every = _loads(session, bronze_path, number).alias("r")
-        known = every.join(touched, same_key("r", "t", keys), "left_semi")
-        batches = dedup(known, [*keys, "ingestion_time"], ["ingestion_time"])
-        history.rewrite(batches, "ingestion_time", number, max(until, applied))
+        r, t = rows.alias("r"), late.alias("t")
+        in_time = r.join(t, same_key("r", "t", keys), "left_anti")
+        history.catch_up(in_time, "ingestion_time")
+        known = session.table(table).alias("r").join(t, same_key("r", "t", keys), "left_semi")
+        batches = dedup(known.drop("late"), [*keys, "ingestion_time"], ["ingestion_time"])
+        history.rewrite(_written(batches, "late"), "ingestion_time")
 
     query = (
-        landing_stream(spark, root, domain, max_files)
+        once(landing_stream(spark, root, domain, max_files))
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

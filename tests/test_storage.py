@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rankmart.plans.silver import SKILLS, VOCATION
 from rankmart.sources import tables
+from rankmart.sources.history import History
 from rankmart.sources.domain import EXPERIENCE_HEADER, TABLES
 from rankmart.sources.landing import write_landing
 from rankmart.streaming.ingest import ingest_available
@@ -88,11 +89,16 @@ def spans(state):
     return sorted((tuple(r) for r in found), key=lambda r: (r[0], r[2]))
 
 
+def files(root):
+    """Every data file below a folder with its time of change."""
+    return {str(f): f.stat().st_mtime_ns for f in root.rglob("part-*.parquet")}
+
+
 def test_stored_history(spark, tmp_path):
     history = VOCATION.history(spark, str(tmp_path))
-    assert history.state().isEmpty() and history.version() is None
-    assert history.apply(batch(spark, ("a", 1), ("b", 1)), 1, AT[1])
-    assert history.apply(batch(spark, ("a", 2)), 2, AT[2])
+    assert history.state().isEmpty() and history.loads().isEmpty()
+    history.apply(batch(spark, ("a", 1), ("b", 1)), AT[1])
+    history.apply(batch(spark, ("a", 2)), AT[2])
     expected = [
         ("a", 1, AT[1], AT[2], False),
         ("a", 2, AT[2], None, True),
@@ -100,35 +106,33 @@ def test_stored_history(spark, tmp_path):
     ]
     assert spans(history.state()) == expected
     assert spans(history.current()) == expected[1:]
-    # A replayed batch changes nothing, a stale one is refused.
-    assert not history.apply(batch(spark, ("a", 9)), 2, AT[3])
-    assert not history.apply(batch(spark, ("a", 9)), 1, AT[3])
+    assert spans(history.as_of(AT[1])) == [expected[0], expected[2]]
+    # A replayed batch changes nothing, a stale one is refused and writes nothing.
+    history.apply(batch(spark, ("a", 2)), AT[2])
+    before = files(tmp_path)
+    with pytest.raises(Exception, match="not later"):
+        history.apply(batch(spark, ("a", 9)), AT[1])
+    assert files(tmp_path) == before
     assert spans(history.state()) == expected
     assert history.state().schema == VOCATION.schema
-    loads = history.commits().orderBy("version").collect()
-    assert [(r["version"], r["current_rows"], r["closed_rows"]) for r in loads] == [
-        (1, 2, 0),
-        (2, 2, 1),
-    ]
+    # Another reader finds the same table.
+    assert spans(VOCATION.history(spark, str(tmp_path)).state()) == expected
+    loads = history.loads().orderBy("at").collect()
+    assert [tuple(r) for r in loads] == [(AT[1], 2, 0, 2), (AT[2], 1, 1, 2)]
 
 
-def test_an_unpublished_batch_is_invisible_and_can_be_rerun(spark, tmp_path, monkeypatch):
+def test_keys_that_are_missing_can_end(spark, tmp_path, rows):
     history = VOCATION.history(spark, str(tmp_path))
-    history.apply(batch(spark, ("a", 1)), 1, AT[1])
-
-    class Lost(Exception):
-        pass
-
-    def die(*_):
-        raise Lost
-
-    with monkeypatch.context() as patched:
-        patched.setattr(type(history), "_publish", die)
-        with pytest.raises(Lost):
-            history.apply(batch(spark, ("a", 5)), 2, AT[2])
-    assert spans(history.state()) == [("a", 1, AT[1], None, True)]
-    history.apply(batch(spark, ("a", 2)), 2, AT[2])
-    assert [s[1] for s in spans(history.state())] == [1, 2]
+    history.apply(batch(spark, ("a", 1), ("b", 1)), AT[1])
+    history.apply(batch(spark, ("b", 1)), AT[2], close_missing=True)
+    assert spans(history.state()) == [
+        ("a", 1, AT[1], AT[2], False),
+        ("b", 1, AT[1], None, True),
+    ]
+    history.apply(batch(spark).limit(0), AT[3], close_missing=True)
+    assert history.current().isEmpty()
+    history.apply(batch(spark, ("a", 1)), AT[4])
+    assert [(s[0], s[4]) for s in spans(history.state())] == [("a", False), ("a", True), ("b", False)]
 
 
 def test_catching_up_equals_single_batches(spark, tmp_path):
@@ -137,17 +141,92 @@ def test_catching_up_equals_single_batches(spark, tmp_path):
     levels = [1, 1, 2, 1, 3]
     for n, level in enumerate(levels):
         players = [("a", level)] + ([("b", 7)] if n == 2 else [])
-        single.apply(batch(spark, *players), n, AT[n])
-    at_once.apply(batch(spark, ("a", 1)), 0, AT[0])
+        single.apply(batch(spark, *players), AT[n])
+    at_once.apply(batch(spark, ("a", 1)), AT[0])
     rows = [("a", level, AT[n]) for n, level in enumerate(levels) if n] + [("b", 7, AT[2])]
     timed = None
     for player, level, at in rows:
         one = batch(spark, (player, level)).withColumn("t", F.lit(at))
         timed = one if timed is None else timed.unionByName(one)
-    at_once.catch_up(timed, "t", 4, AT[4])
+    at_once.catch_up(timed, "t")
     assert spans(at_once.state()) == spans(single.state())
 
 
+def bucket_of(history, player):
+    row = history._keyed(batch(history.spark, (player, 0))).first()
+    return f"bucket={row['bucket']}/"
+
+
+def test_only_files_of_touched_buckets_are_replaced(spark, tmp_path):
+    history = VOCATION.history(spark, str(tmp_path))
+    players = [f"p{k}" for k in range(40)]
+    day = timedelta(days=20)
+    for n in range(3):
+        history.apply(batch(spark, *[(p, n) for p in players]), AT[0] + n * day)
+    touched = bucket_of(history, "p7")
+
+    def changed(before, after):
+        return {f for f in before.items() ^ after.items()}
+
+    before = files(tmp_path)
+    history.apply(batch(spark, ("p7", 9)), AT[0] + 3 * day)
+    in_time = files(tmp_path)
+    names = {f for f, _ in changed(before, in_time)}
+    assert names and all(touched in f for f in names)
+    # The month before the batch stays even there.
+    assert not any("closed=2024-01" in f for f in names)
+
+    late = batch(spark, ("p7", 0)).withColumn("t", F.lit(AT[0]))
+    for n, level in ((1, 1), (1.5, 7), (2, 2), (3, 9)):
+        row = batch(spark, ("p7", level)).withColumn("t", F.lit(AT[0] + n * day))
+        late = late.unionByName(row)
+    history.rewrite(late, "t")
+    names = {f for f, _ in changed(in_time, files(tmp_path))}
+    assert names and all(touched in f for f in names)
+    levels = [s[1] for s in spans(history.state()) if s[0] == "p7"]
+    assert levels == [0, 1, 7, 2, 9]
+    assert history.state().count() == 39 * 3 + 5
+
+
+def scans_below_exchanges(df, table):
+    """For each scan of the table, whether a shuffle of it lies above it in the plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    found = []
+    for number, line in enumerate(plan):
+        if table not in line or "Scan" not in line:
+            continue
+        depth, above = len(line) - len(line.lstrip(" :+-")), []
+        for upper in reversed(plan[:number]):
+            here = len(upper) - len(upper.lstrip(" :+-"))
+            if here < depth:
+                above.append(upper)
+                depth = here
+        # The distinct partitions that are replaced are an aggregate of folder names.
+        names_only = any("HashAggregate(keys=[bucket" in up for up in above)
+        found.append((names_only, any("Exchange" in up for up in above)))
+    return found
+
+
+def test_the_stored_side_is_not_shuffled(spark, tmp_path):
+    history = VOCATION.history(spark, str(tmp_path))
+    history.apply(batch(spark, *[(f"p{k}", 1) for k in range(20)]), AT[0])
+    updates = history._keyed(batch(spark, ("p1", 2)).withColumn("t", F.lit(AT[1])))
+    from rankmart.operators.scd2 import FIRST, scd2_open
+
+    opened = scd2_open(updates.drop("t"), VOCATION.tracked, AT[1]).withColumn(FIRST, F.lit(True))
+    in_time = history.merged(opened, [0, 1, 2], F.lit(AT[1]))
+    late = history.rewritten(updates, "t", [0, 1, 2])
+    with_hints = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for plan in (in_time, late):
+            scans = scans_below_exchanges(plan, history.table)
+            assert any(not names_only for names_only, _ in scans)
+            assert not any(moved for names_only, moved in scans if not names_only)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_hints)
+
+
 def land(spark, root, at, *players):
     df = spark.createDataFrame(
         [("1", n, "Knight", "W", str(level), "1,000", "Open") for n, level in players],
@@ -174,7 +253,7 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
         ("b", 1, AT[0], None, True),
     ]
     assert spans(history.state()) == first
-    assert ingest().version() == 0
+    ingest()
     assert spans(history.state()) == first
 
     # A later run of the same day, and one that arrives late.
@@ -187,8 +266,9 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
     ]
     late = state[-1]
     assert late[2] == AT[0] + timedelta(hours=1)
-    assert history.commits().count() == 3
-    assert spark.read.parquet(str(tmp_path / "bronze")).count() == 5
+    assert history.loads().count() == 4
+    bronze = spark.read.parquet(str(tmp_path / "bronze"))
+    assert bronze.count() == 5 and bronze.filter("late = 'true'").count() == 1
 
 
 def test_late_files_take_their_place_and_a_new_checkpoint_repeats_nothing(spark, tmp_path):
@@ -219,23 +299,84 @@ def test_late_files_take_their_place_and_a_new_checkpoint_repeats_nothing(spark,
     assert spark.read.parquet(str(tmp_path / "bronze")).count() == 6
 
 
-def test_a_batch_that_died_is_never_read(spark, tmp_path, monkeypatch):
-    history = VOCATION.history(spark, str(tmp_path))
-    history.apply(batch(spark, ("a", 1)), 1, AT[1])
+def test_a_load_that_died_is_repeated(spark, tmp_path, monkeypatch):
+    """Between bronze and the history: the next run takes the files once more."""
+    root = str(tmp_path / "landing")
+    land(spark, root, AT[0], ("a", 1))
+
+    def ingest():
+        return ingest_available(
+            spark, root, "vocation", str(tmp_path / "bronze"), str(tmp_path / "silver"),
+            str(tmp_path / "checkpoint"),
+        )
+
+    ingest()
+    land(spark, root, AT[1], ("a", 2), ("b", 1))
     with monkeypatch.context() as patched:
-        patched.setattr(type(history), "_publish", lambda *_: 1 / 0)
-        with pytest.raises(ZeroDivisionError):
-            history.apply(batch(spark, ("a", 5)), 2, AT[2])
-    history.apply(batch(spark, ("a", 2)), 3, AT[3])
-    assert spans(history.state()) == [("a", 1, AT[1], AT[3], False), ("a", 2, AT[3], None, True)]
+        patched.setattr(History, "catch_up", lambda *_: 1 / 0)
+        with pytest.raises(Exception):
+            ingest()
+    assert spans(ingest().state()) == [
+        ("a", 1, AT[0], AT[1], False), ("a", 2, AT[1], None, True), ("b", 1, AT[1], None, True),
+    ]
 
 
-def test_a_batch_before_the_current_versions_is_refused(spark, tmp_path):
-    history = VOCATION.history(spark, str(tmp_path))
-    history.apply(batch(spark, ("a", 1)), 1, AT[2])
-    with pytest.raises(ValueError, match="not later"):
-        history.apply(batch(spark, ("a", 2)), 2, AT[1])
-    assert spans(history.state()) == [("a", 1, AT[2], None, True)]
+def test_a_file_delivered_twice_counts_once(spark, tmp_path):
+    root = tmp_path / "landing"
+    land(spark, str(root), AT[0], ("a", 1), ("b", 1))
+    (first,) = root.rglob("part-*.csv")
+
+    def ingest():
+        return ingest_available(
+            spark, str(root), "vocation", str(tmp_path / "bronze"), str(tmp_path / "silver"),
+            str(tmp_path / "checkpoint"),
+        )
+
+    ingest()
+    land(spark, str(root), AT[1], ("a", 2))
+    again = first.parent / "part-again.csv"
+    again.write_bytes(first.read_bytes())
+    state = spans(ingest().state())
+    assert [(s[0], s[1], s[4]) for s in state] == [("a", 1, False), ("a", 2, True), ("b", 1, True)]
+    bronze = spark.read.parquet(str(tmp_path / "bronze"))
+    # Nothing came late: the second delivery never reached bronze.
+    assert bronze.count() == 3 and bronze.filter("late = 'true'").isEmpty()
+
+
+def test_extra_files_with_headers_of_their_own(spark, tmp_path):
+    root = tmp_path / "landing"
+
+    def put(day, run, *lines):
+        folder = root / f"extra/year=2024/month=01/day={day:02}/dataset=x/run={run}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"part-{len(list(folder.iterdir()))}.csv").write_text("\n".join(lines) + "\n")
+
+    def ingest():
+        return ingest_available(
+            spark, str(root), "extra", str(tmp_path / "bronze"), str(tmp_path / "silver"),
+            str(tmp_path / "checkpoint"),
+        )
+
+    put(1, "060000", "Rank,Name,World,Category,Score", "1,a,W,boss,10", "2,b,W,boss,5")
+    put(1, "060000", "Name,Title,Points,Category,World,Vocation", "c,Sir,7,drome,W,Knight")
+    ingest()
+    put(3, "060000", "Name,World,Category,Score", "a,W,boss,12")
+    put(1, "060000", "Rank,Name,World,Category,Score", "1,a,W,boss,10", "2,b,W,boss,5")
+    ingest()
+    put(2, "060000", "World,Name,Category,Points", "W,a,boss,11")
+    state = ingest().state().select("name", "points", "title", "start_date", "is_current")
+    day = timedelta(days=1)
+    found = sorted(map(tuple, state.collect()), key=lambda r: (r[0], r[3]))
+    assert found == [
+        ("a", 10, None, AT[0], False),
+        ("a", 11, None, AT[0] + day, False),
+        ("a", 12, None, AT[0] + 2 * day, True),
+        ("b", 5, None, AT[0], True),
+        ("c", 7, "Sir", AT[0], True),
+    ]
+    bronze = spark.read.parquet(str(tmp_path / "bronze"))
+    assert bronze.count() == 5
+    assert [r["points"] for r in bronze.filter("late = 'true'").collect()] == [11]
 
 
 def test_ingest_of_skills(spark, tmp_path):
