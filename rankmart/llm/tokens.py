@@ -9,7 +9,8 @@ That is done for texts of ASCII and Latin-1 letters, where the cutting pattern i
 under Python's and the library's idea of a letter. Any other text, and any tokenizer of
 another build, is encoded by the library as a whole. Ids are the same either way.
 
-Strings of special tokens inside a text are ordinary text.
+A text that holds the string of an added token (``<|endoftext|>``) is encoded by the library as
+a whole too, which gives that token its id, as a plain call does.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from itertools import chain
 
 import numpy as np
 
-#: Remembered pieces; at the bound they are forgotten and the next texts start anew.
+#: Remembered pieces; beyond the bound they are forgotten and the next texts start anew.
 MAX_PIECES = 400_000
 #: Characters of texts that are cut into pieces together.
 TOGETHER = 1 << 20
@@ -40,60 +41,83 @@ _WORDS = re.compile(
 )
 
 
+def _alphabet() -> dict[int, int]:
+    """Byte-level spelling: printable bytes stand for themselves, others follow from 256 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    spelled = {b: b for b in printable} | {b: 256 + n for n, b in enumerate(others)}
+    return spelled | {ord("\n"): ord("\n")}
+
+
+_ALPHABET = _alphabet()
+
+
+class _Known(dict):
+    """A number for each piece; new ones are listed."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        self.new.append(piece)
+        return number
+
+
 class Encoder:
     """Encodes batches of texts; one for each Python worker and tokenizer file."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         self.size = self.library.get_vocab_size()
         self.cut, self.lower = _cutting(json.loads(self.library.to_str()))
-        self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.line = self.bytes.pre_tokenize_str("\n")[0][0]
+        added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)), re.I) if added else None
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = _Known()
         self.ids = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 16, np.int64)
         self.sizes = np.zeros(1 << 16, np.int64)
         self.used = 0
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Encodes new pieces by the library's model."""
+    def _learn(self) -> None:
+        """Encodes the new pieces by the library's model."""
+        pieces, self.known.new = self.known.new, []
+        first, count = len(self.known) - len(pieces), len(pieces)
+        # A line feed parts the pieces below; those that hold one go apart.
         plain = [p for p in pieces if "\n" not in p]
-        lines = [p for p in pieces if "\n" in p]
-        found: list[list[int]] = []
-        if plain:
-            spelled = self.bytes.pre_tokenize_str("\n".join(plain))[0][0].split(self.line)
-            tokenize = self.library.model.tokenize
-            found = [[t.id for t in tokenize(s)] for s in spelled]
-        found += [self.library.encode(p, add_special_tokens=False).ids for p in lines]
-        first, count = len(self.known), len(found)
-        sizes = np.fromiter(map(len, found), np.int64, count)
-        self.ids = _room(self.ids, self.used + int(sizes.sum()))
+        spelled = "\n".join(plain).encode().decode("latin-1").translate(_ALPHABET).split("\n")
+        tokenize = self.library.model.tokenize
+        found = iter([[t.id for t in tokenize(s)] for s in spelled] if plain else [])
+        encode = self.library.encode
+        each = [
+            encode(p, add_special_tokens=False).ids if "\n" in p else next(found) for p in pieces
+        ]
+        sizes = np.fromiter(map(len, each), np.int64, count)
+        end = self.used + int(sizes.sum())
+        self.ids = _room(self.ids, end)
         self.starts = _room(self.starts, first + count)
         self.sizes = _room(self.sizes, first + count)
         self.starts[first : first + count] = self.used + np.cumsum(sizes) - sizes
         self.sizes[first : first + count] = sizes
-        end = self.used + int(sizes.sum())
-        self.ids[self.used : end] = np.fromiter(chain.from_iterable(found), np.uint32)
+        self.ids[self.used : end] = np.fromiter(chain.from_iterable(each), np.uint32)
         self.used = end
-        self.known.update(zip(plain + lines, range(first, first + count), strict=True))
 
     def _pieces(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-        each = [self.cut.findall(t.lower() if self.lower else t) for t in texts]
-        pieces = list(chain.from_iterable(each))
-        new = [p for p in set(pieces) if p not in self.known]
-        if new and len(self.known) + len(new) > MAX_PIECES:
+        if len(self.known) > MAX_PIECES:
             self._forget()
-            new = list(set(pieces))
-        if new:
-            self._learn(new)
-        index = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        each = [self.cut.findall(t.lower() if self.lower else t) for t in texts]
+        total = sum(map(len, each))
+        pieces = chain.from_iterable(each)
+        index = np.fromiter(map(self.known.__getitem__, pieces), np.int64, total)
+        if self.known.new:
+            self._learn()
         sizes = self.sizes[index]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
@@ -108,7 +132,7 @@ class Encoder:
         held = 0
         for text in texts:
             text = text or ""
-            if self.cut is None or _OTHER.search(text):
+            if self._whole(text):
                 yield from self._together(waiting)
                 waiting, held = [], 0
                 yield np.array(
@@ -126,6 +150,12 @@ class Encoder:
                     waiting, held = [], 0
         yield from self._together(waiting)
 
+    def _whole(self, text: str) -> bool:
+        """Whether the library has to see the text as a whole."""
+        if self.cut is None or _OTHER.search(text):
+            return True
+        return bool(self.added and self.added.search(text))
+
     def _together(self, texts: list[str]) -> Iterator[np.ndarray]:
         if texts:
             ids, sizes = self._pieces(texts)
