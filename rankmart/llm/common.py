@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rankmart.session import scratch_path
 
@@ -16,7 +18,7 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextmanager
-def _shuffle_files_dropped(spark: SparkSession) -> Iterator[None]:
+def shuffle_files_dropped(spark: SparkSession) -> Iterator[None]:
     """Statements inside leave no shuffle files behind. The setting is put back after."""
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
@@ -29,16 +31,57 @@ def _shuffle_files_dropped(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_CLEANUP, before)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+_OPEN = threading.local()
+
+
+Table = tuple[str, StructType]
+
+
+@contextmanager
+def scratch(spark: SparkSession, keep: list[Table] | None = None) -> Iterator[None]:
+    """Tables stored inside are emptied at the end, but for those that outlive it.
+
+    Those go to the scope around, if there is one. With ``keep`` nothing is emptied; all
+    tables are listed there, to be emptied later. Scopes belong to their thread.
+    """
+    scopes = vars(_OPEN).setdefault("scopes", [])
+    made: list[Table] = []
+    outliving: list[Table] = []
+    scopes.append((made, outliving))
+    try:
+        yield
+    finally:
+        scopes.pop()
+        if keep is not None:
+            keep += made + outliving
+        else:
+            if scopes:
+                scopes[-1][0].extend(outliving)
+            for path, schema in made:
+                emptied(spark, path, schema)
+
+
+def emptied(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Gives the files of a stored table back; its folder stays, without rows."""
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+
+
+def stored(
+    df: DataFrame, name: str, by: Sequence[str] = (), outlives: bool = False
+) -> DataFrame:
     """``df`` written once below the shared folder and read back.
 
     This cuts the lineage: what follows reads files that every executor sees, so a lost
     executor costs no more than its tasks. The shuffle files of the write are dropped
-    when it ends, so that a chain of steps needs the disk of its largest step.
+    when it ends, so that a chain of steps needs the disk of its largest step. ``by`` are
+    columns to cut the table by; ``outlives`` tells that it is needed after the scope.
     """
     path = scratch_path(df.sparkSession, f"llm-{name}")
-    with _shuffle_files_dropped(df.sparkSession):
-        df.write.parquet(path)
+    with shuffle_files_dropped(df.sparkSession):
+        (df.write.partitionBy(*by) if by else df.write).parquet(path)
+    scopes = vars(_OPEN).get("scopes")
+    if scopes:
+        scopes[-1][outlives].append((path, df.schema))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

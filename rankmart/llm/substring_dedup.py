@@ -8,23 +8,27 @@ differences of ``COVER`` give every remainder, so for two equal windows at any p
 and j there is a shift below ``PERIOD`` that puts i and j on cover places at once; as
 ``PERIOD - 1 + ANCHOR <= WINDOW``, the anchors there lie inside both windows and are equal.
 
-1. Anchors are counted by document; those of one document only are dropped.
-2. The places of the others are gathered by document and extended: every window of full
-   length around them is hashed (128 bits).
-3. The smallest ``doc_id`` of each window is joined back; windows of later documents are
-   repeats.
+1. Each text is cut and hashed once; its anchors are stored by ``SLICES`` slices of the
+   hashes. Slice by slice, anchors are counted by document; those of one document only
+   are dropped, and the places of the others are gathered by document.
+2. Every window of full length around those places is hashed (128 bits), once, and stored
+   by slices of the hashes.
+3. Slice by slice, the smallest ``doc_id`` of each window is joined back; windows of later
+   documents are repeats.
 
-Steps 1 and 3 go through the hashes in ``SLICES`` slices one after the other. Equal hashes
-are in one slice, so that changes no result; it bounds the disk that shuffles take.
+Equal hashes are in one slice, so slices change no result; they bound the disk that shuffles
+take. Stored tables are emptied once their step is done.
 
-A frequent passage is one key, but it is summed before the shuffle, and the joins that
-bring the sums back are plain equi-joins, which Spark splits when one key is large.
+A frequent passage is one key. It is summed before the shuffle. The joins that bring the sums
+back send the keys that hold more than one of ``HOT`` rows of the slice to all tasks (fewer
+than ``HOT`` by construction) and shuffle the rows of the others.
 
 Words are told apart by two 64-bit hashes; the result is exact but for a chance of about
 1e-13 on 10^13 words.
 
 Results for odd input: a null or empty text has no words; a null ``doc_id`` is smaller than
-no other and no other is smaller, so its text stays and takes part in nothing; rows of one
+no other and no other is smaller, so its text stays and takes part in nothing, as does that of an id that is no
+whole number; rows of one
 ``doc_id`` (equal or not) never repeat one another; an empty table gives an empty result;
 all other columns are kept as they are.
 """
@@ -51,13 +55,15 @@ from rankmart.llm.arrays import (
     word_bounds,
     word_hashes,
 )
-from rankmart.llm.common import stored, text_key
+from rankmart.llm.common import scratch, stored, text_key
 
 WINDOW = 13
 PERIOD = 7
 COVER = (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
 SLICES = 4
+#: A key is hot if it has more than this part of the rows.
+HOT = 1000
 _ON_COVER = np.isin(np.arange(PERIOD), COVER)
 _RESULTS = ("span_words", "span_removed", "span_kept", "span_sha256")
 _DOC, _KEY, _STARTS = "_span_doc", "_span_key", "_span_starts"
@@ -72,13 +78,11 @@ def _hashed(batch: pa.RecordBatch, seed: int = 0):
     return hashes, first, owner, np.arange(len(starts)) - first[owner]
 
 
-def _in_part(hashes: np.ndarray, part: int, parts: int) -> np.ndarray:
-    return (hashes >> np.uint64(32)) % np.uint64(parts) == part
+def _slice(hashes: np.ndarray, parts: int) -> pa.Array:
+    return pa.array(((hashes >> np.uint64(32)) % np.uint64(parts)).astype(np.int32))
 
 
-def _anchors(
-    batches: Iterator[pa.RecordBatch], part: int, parts: int, places: bool
-) -> Iterator[pa.RecordBatch]:
+def _anchors(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text"):
             hashes, first, owner, place = _hashed(batch)
@@ -87,19 +91,21 @@ def _anchors(
             if not count:
                 continue
             fits = owner[:count] == owner[ANCHOR - 1 :]
-            fits &= _ON_COVER[place[:count] % PERIOD] & _in_part(anchors, part, parts)
+            fits &= _ON_COVER[place[:count] % PERIOD]
             chosen = np.flatnonzero(fits)
             rows = owner[chosen]
-            columns = {"anchor": signed(anchors[chosen]), "doc": batch.column("doc").take(rows)}
-            if places:
-                columns["key"] = batch.column("key").take(rows)
-                columns["place"] = pa.array(place[chosen].astype(np.int32))
-            yield pa.RecordBatch.from_pydict(columns)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "anchor": signed(anchors[chosen]),
+                    "doc": batch.column("doc").take(rows),
+                    "key": batch.column("key").take(rows),
+                    "place": pa.array(place[chosen].astype(np.int32)),
+                    "part": _slice(anchors[chosen], parts),
+                }
+            )
 
 
-def _windows(
-    batches: Iterator[pa.RecordBatch], part: int, parts: int
-) -> Iterator[pa.RecordBatch]:
+def _windows(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
     """Windows of full length that hold one of the anchors at ``places``."""
     for whole in batches:
         for batch in slices(whole, "text"):
@@ -115,8 +121,8 @@ def _windows(
             np.add.at(marked, np.maximum(at - (WINDOW - ANCHOR), np.repeat(first[:-1], sizes)), 1)
             np.add.at(marked, at + 1, -1)
             near = np.cumsum(marked)[:count] > 0
+            near &= owner[:count] == owner[WINDOW - 1 :]
             ones = window_hashes(hashes, WINDOW)
-            near &= (owner[:count] == owner[WINDOW - 1 :]) & _in_part(ones, part, parts)
             chosen = np.flatnonzero(near)
             rows = owner[chosen]
             yield pa.RecordBatch.from_pydict(
@@ -126,6 +132,7 @@ def _windows(
                     "doc": batch.column("doc").take(rows),
                     "key": batch.column("key").take(rows),
                     "place": pa.array(place[chosen].astype(np.int32)),
+                    "part": _slice(ones[chosen], parts),
                 }
             )
 
@@ -137,62 +144,58 @@ def repeated_windows(
 
     Documents without any have no row. ``key`` tells rows of one ``doc_id`` apart.
     """
+    spark, parts = docs.sparkSession, slices_of_hashes
     texts = docs.select(
-        F.col(id).cast("long").alias("doc"),
+        F.col(id).try_cast("long").alias("doc"),
         text_key(text).alias("key"),
         F.col(text).cast("string").alias("text"),
     ).filter("doc IS NOT NULL AND text IS NOT NULL")
-
-    candidates = _union(
-        [_anchored(texts, part, slices_of_hashes) for part in range(slices_of_hashes)]
-    )
-    places = F.flatten(F.collect_list("places")).alias("places")
-    candidates = candidates.groupBy("doc", "key").agg(places)
-    located = stored(texts.join(candidates, ["doc", "key"]), "located")
-    repeats = _union([_repeats(located, part, slices_of_hashes) for part in range(slices_of_hashes)])
-    starts = F.flatten(F.collect_list("starts")).alias("starts")
-    return repeats.groupBy("doc", "key").agg(starts)
+    with scratch(spark):
+        with scratch(spark):
+            schema = "anchor long, doc long, key long, place int, part int"
+            anchors = texts.mapInArrow(lambda b: _anchors(b, parts), schema)
+            anchors = stored(anchors, "anchors", ["part"])
+            placed = [_shared(anchors, ["anchor"], part) for part in range(parts)]
+            held = _gathered(_union(placed), "place", "places")
+            held = stored(held, "places", outlives=True)
+        located = texts.join(held, ["doc", "key"])
+        schema = "one long, two long, doc long, key long, place int, part int"
+        windows = located.mapInArrow(lambda b: _windows(b, parts), schema)
+        windows = stored(windows, "windows", ["part"])
+        repeats = [
+            _shared(windows, ["one", "two"], part, later=True) for part in range(parts)
+        ]
+        return stored(_gathered(_union(repeats), "place", "starts"), "spans", outlives=True)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _anchored(texts: DataFrame, part: int, parts: int) -> DataFrame:
-    """Places of the anchors of one part of the hashes that occur in several documents."""
-    least = F.min("doc").alias("least")
-    shared = (
-        texts.drop("key")
-        .mapInArrow(lambda b: _anchors(b, part, parts, places=False), "anchor long, doc long")
-        .groupBy("anchor")
-        .agg(least, F.max("doc").alias("most"))
-        .filter("least < most")
-        .select("anchor")
-    )
-    shared = stored(shared, "anchors")
-    schema = "anchor long, doc long, key long, place int"
-    placed = texts.mapInArrow(lambda b: _anchors(b, part, parts, places=True), schema)
-    found = (
-        placed.join(shared, "anchor", "left_semi")
-        .groupBy("doc", "key")
-        .agg(F.collect_set("place").alias("places"))
-    )
-    return stored(found, "anchored")
-
-
-def _repeats(located: DataFrame, part: int, parts: int) -> DataFrame:
-    """Repeated windows of one part of the hashes."""
-    schema = "one long, two long, doc long, key long, place int"
-    windows = located.mapInArrow(lambda b: _windows(b, part, parts), schema)
-    firsts = (
-        windows.groupBy("one", "two")
-        .agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-        .filter("least < most")
-        .select("one", "two", "least")
+def _gathered(rows: DataFrame, lists: str, name: str) -> DataFrame:
+    """The numbers of all lists of a document, each once."""
+    every = F.array_distinct(F.flatten(F.collect_list(lists))).alias(name)
+    return rows.groupBy("doc", "key").agg(every)
+
+
+def _shared(rows: DataFrame, by: list[str], part: int, later: bool = False) -> DataFrame:
+    """Places of the hashes of one slice that occur in several documents, by document.
+
+    With ``later``, only of documents after the first that has the hash.
+    """
+    rows = rows.filter(F.col("part") == part).drop("part")
+    counted = rows.groupBy(*by).agg(
+        F.min("doc").alias("least"), F.max("doc").alias("most"), F.count(F.lit(1)).alias("n")
     )
-    repeated = windows.join(firsts, ["one", "two"]).filter("least < doc")
-    starts = F.collect_set("place").alias("starts")
-    return stored(repeated.groupBy("doc", "key").agg(starts), "repeats")
+    counted = stored(counted.filter("least < most").drop("most"), "shared")
+    total = rows.count()
+    hot = F.broadcast(counted.filter(F.col("n") * HOT > total))
+    rest = counted.filter(F.col("n") * HOT <= total)
+    found = rows.join(hot, by).unionByName(rows.join(hot, by, "left_anti").join(rest, by))
+    if later:
+        found = found.filter("least < doc")
+    places = F.collect_set("place").alias("place")
+    return stored(found.groupBy("doc", "key").agg(places), "places")
 
 
 def _cut(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
@@ -238,10 +241,10 @@ def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     words that stay, joined by one space, and ``span_kept``, those words as a text; it is
     null where nothing was removed and the text stands as it was.
     """
-    spans = stored(repeated_windows(docs, id, text), "spans").select(
+    spans = repeated_windows(docs, id, text).select(
         F.col("doc").alias(_DOC), F.col("key").alias(_KEY), F.col("starts").alias(_STARTS)
     )
-    same = (F.col(id).cast("long") == F.col(_DOC)) & (text_key(text) == F.col(_KEY))
+    same = (F.col(id).try_cast("long") == F.col(_DOC)) & (text_key(text) == F.col(_KEY))
     # Columns that have the name of a result give way to it.
     docs = docs.drop(*_RESULTS, _DOC, _KEY, _STARTS)
     joined = docs.join(spans, same, "left").drop(_DOC, _KEY)
