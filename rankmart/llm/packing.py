@@ -9,7 +9,12 @@ whatever the size of the table. Spark counts them, the driver makes a plan of a
 thousand *patterns* (lengths of one sequence, and how many such sequences), and Spark deals
 the pieces of each length out to the places that the plan has for it, by their number
 within the length. No task holds more than its share, however many pieces have one length.
-``write_sequences`` gathers the ids of each sequence, ``read_pieces`` reads them back.
+
+The task that cuts a piece also numbers it among its own pieces of that length. The numbers
+that other tasks come before are known from the counts of pieces by task and length: where
+those are at most ``MAX_STARTS`` they are sent to the tasks, beyond that joined. So pieces
+are stored once, and their ids move once, to their sequence. ``write_sequences`` gathers
+them, ``read_pieces`` reads them back.
 
 Results for odd input: a null or empty text is one piece with the end id; equal rows are
 packed each; a null ``doc_id`` is kept; an empty table gives an empty result; other columns
@@ -25,15 +30,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from rankmart.llm.common import ROW, gapless, stored, with_row_number
+from rankmart.llm.common import shuffle_files_dropped, stored
 from rankmart.llm.tokens import encoder
 
 CAPACITY = 4096
-_RANK = "_rank"
+#: Counts by task and length that may be sent to all tasks, 16 bytes each.
+MAX_STARTS = 2_000_000
+_PART, _NUMBER, _START = "_part", "_number", "_start"
 _WRITTEN = """sequence_id long, ids binary,
     pieces array<struct<doc: long, piece: int, start: long, length: long>>"""
 
@@ -91,19 +100,25 @@ def token_pieces(
     text: str = "text",
     with_ids: bool = True,
     narrow: bool = False,
+    numbered: bool = False,
 ) -> DataFrame:
     """Each document's ids with the end id, cut where longer than ``capacity``.
 
     ``ids`` are little-endian unsigned 32-bit numbers, ``ids_crc32`` their checksum. With
     ``narrow`` they have 16 bits where the vocabulary allows; the checksum is the same.
+    ``numbered`` numbers them for :func:`deal` in the task that cuts them.
     """
     schema = "doc long, piece int, start long, length long, crc long" + ", ids binary" * with_ids
+    schema += f", {_PART} int, {_NUMBER} long" * numbered
     rows = docs.select(
         F.col(id).cast("long").alias("doc"), F.col(text).cast("string").alias("text")
     )
-    cut = rows.mapInArrow(
-        lambda b: _cut(b, tokenizer, end_id, capacity, with_ids, narrow), schema
-    )
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut = _cut(batches, tokenizer, end_id, capacity, with_ids, narrow)
+        return _numbered(cut) if numbered else cut
+
+    cut = rows.mapInArrow(pieces, schema)
     return cut.withColumnsRenamed({"doc": id, "crc": "ids_crc32"})
 
 
@@ -207,32 +222,88 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
     return Plan(*columns, sequences=sequences)
 
 
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers the rows of this task among those of their length."""
+    part = TaskContext.get().partitionId()
+    used = np.zeros(1, np.int64)
+    for batch in batches:
+        length = batch.column("length").to_numpy()
+        if len(length):
+            used = np.append(used, np.zeros(max(0, length.max() + 1 - len(used)), np.int64))
+        order = np.argsort(length, kind="stable")
+        values, first, sizes = np.unique(length[order], return_index=True, return_counts=True)
+        number = np.empty(len(length), np.int64)
+        number[order] = np.arange(len(length)) - np.repeat(first, sizes)
+        number += used[length]
+        used[values] += sizes
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(np.full(len(length), part, np.int32)), pa.array(number)],
+            names=[*batch.schema.names, _PART, _NUMBER],
+        )
+
+
+@dataclass(frozen=True)
+class Starts:
+    """Number of the first piece of each (task, length), sorted by both."""
+
+    keys: np.ndarray
+    first: np.ndarray
+
+    def of(self, part: np.ndarray, length: np.ndarray) -> np.ndarray:
+        return self.first[np.searchsorted(self.keys, (part.astype(np.int64) << 32) + length)]
+
+
 def best_two_fit(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (any columns, with ``length``) with ``sequence_id`` and ``offset``."""
-    clash = {"sequence_id", "offset", ROW, _RANK}
     # Columns that have the name of a result give way to it.
-    rows = stored(with_row_number(pieces.drop(*clash)), "pieces")
-    counts = {
-        r["length"]: r["n"]
-        for r in rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
-    }
-    made = plan(counts, capacity)
-    shared = pieces.sparkSession.sparkContext.broadcast(made)
+    pieces = pieces.drop("sequence_id", "offset", _PART, _NUMBER, _START)
+    pieces = pieces.withColumn("length", F.col("length").cast("long"))
+    schema = StructType(list(pieces.schema.fields)).add(_PART, "integer").add(_NUMBER, "long")
+    return deal(pieces.mapInArrow(_numbered, schema), capacity)
+
+
+def deal(
+    numbered: DataFrame, capacity: int = CAPACITY, max_starts: int = MAX_STARTS
+) -> DataFrame:
+    """Plans the sequences and gives each piece its place."""
+    spark = numbered.sparkSession
+    rows = stored(numbered, "pieces")
+    fields = [f for f in rows.schema.fields if f.name not in (_PART, _NUMBER)]
+    sizes = stored(rows.groupBy(_PART, "length").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    # At most one row for each length.
+    counts = sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()
+    made = plan({r["length"]: r["n"] for r in counts}, capacity)
+    # One row for each task that cut pieces of a length.
+    before = W.partitionBy("length").orderBy(_PART).rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select(
+        _PART, "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias(_START)
+    )
+    known = None
+    if sizes.count() <= max_starts:
+        table = starts.orderBy(_PART, "length").toArrow()
+        part, length, first = (table[c].to_numpy() for c in (_PART, "length", _START))
+        known = Starts((part.astype(np.int64) << 32) + length, first)
+    else:
+        rows = rows.join(starts, [_PART, "length"])
+    shared = spark.sparkContext.broadcast((made, known))
+    names = [f.name for f in fields]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, known = shared.value
         for batch in batches:
-            length = batch.column("length").to_numpy()
-            sequence, offset = shared.value.place(length, batch.column(_RANK).to_numpy())
-            names = [n for n in batch.schema.names if n not in (_RANK, ROW)]
+            length, number = (batch.column(c).to_numpy() for c in ("length", _NUMBER))
+            if known is None:
+                first = batch.column(_START).to_numpy()
+            else:
+                first = known.of(batch.column(_PART).to_numpy(), length)
+            sequence, offset = made.place(length, first + number)
             yield pa.RecordBatch.from_arrays(
                 [*map(batch.column, names), pa.array(sequence), pa.array(offset)],
                 names=[*names, "sequence_id", "offset"],
             )
 
-    ranked = gapless(rows, ["length"], _RANK, sum(counts.values()))
-    fields = [f for f in rows.schema.fields if f.name != ROW]
     schema = StructType(list(fields)).add("sequence_id", "long").add("offset", "long")
-    return ranked.select(*[f.name for f in fields], _RANK).mapInArrow(place, schema)
+    return rows.mapInArrow(place, schema)
 
 
 def pack_documents(
@@ -246,8 +317,8 @@ def pack_documents(
     narrow: bool = False,
 ) -> DataFrame:
     """The pieces of all documents with their sequence and place there."""
-    cut = token_pieces(docs, tokenizer, end_id, capacity, id, text, with_ids, narrow)
-    return best_two_fit(cut, capacity)
+    cut = token_pieces(docs, tokenizer, end_id, capacity, id, text, with_ids, narrow, True)
+    return deal(cut, capacity)
 
 
 def write_sequences(packed: DataFrame, path: str, id: str = "doc_id") -> None:
@@ -258,7 +329,8 @@ def write_sequences(packed: DataFrame, path: str, id: str = "doc_id") -> None:
     """
     part = F.struct("offset", F.col(id).alias("doc"), "piece", "start", "length", "ids")
     parts = packed.groupBy("sequence_id").agg(F.collect_list(part).alias("parts"))
-    parts.mapInArrow(_written, _WRITTEN).write.mode("overwrite").parquet(path)
+    with shuffle_files_dropped(packed.sparkSession):
+        parts.mapInArrow(_written, _WRITTEN).write.mode("overwrite").parquet(path)
 
 
 def _written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,6 +23,7 @@ from rankmart.llm import (
     substring_dedup,
     token_store,
 )
+from rankmart.llm.common import scratch
 from rankmart.llm.oracle import ORACLE as ORACLE
 from rankmart.session import scratch_path
 
@@ -108,8 +109,9 @@ def packed(spark: SparkSession, documents: DataFrame, with_ids: bool = False) ->
     """Packs the documents, writes the sequences and tells the pieces found in the files."""
     path = scratch_path(spark, "llm-sequences")
     model = tokenizer("word_bpe_49k.json")
-    pieces = packing.pack_documents(documents, model, END_OF_PIECE, narrow=True)
-    packing.write_sequences(pieces, path)
+    with scratch(spark):
+        pieces = packing.pack_documents(documents, model, END_OF_PIECE, narrow=True)
+        packing.write_sequences(pieces, path)
     return packing.read_pieces(spark, path, with_ids=with_ids)
 
 

@@ -208,3 +208,32 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     items = table(spark, "/root/testdata/sf0.001", "benchmark")
     items.write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).isEmpty()
+
+
+def test_ids_of_added_tokens_inside_texts_are_those_of_a_plain_call():
+    from tokenizers import Tokenizer
+
+    from rankmart.llm.tokens import Encoder
+
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        plain = Tokenizer.from_file(tokenizer(name))
+        added = [t.content for t in plain.get_added_tokens_decoder().values()]
+        texts = ["a <|endoftext|> b", "don't 's \n\n  x\ty", "", None, " lead", "Ünï 12345 ¡x!"]
+        texts += [f"{pre}{t}{post}" for t in added for pre in ("", "A ", "x") for post in ("", " b")]
+        texts += [t.upper() for t in added] + ["word " * 300 + added[0]]
+        ours = [ids.tolist() for ids in Encoder(tokenizer(name)).encode(texts)]
+        assert ours == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_places_are_the_same_with_joined_starts(spark):
+    lengths = [(k, 1 + (k * 7919) % 37) for k in range(500)]
+    rows = spark.createDataFrame(lengths, "id long, length long").repartition(7)
+    schema = "id long, length long, _part int, _number long"
+    numbered = rows.mapInArrow(packing._numbered, schema)
+    for most in (0, 10_000):
+        packed = packing.deal(numbered, 40, max_starts=most).collect()
+        assert sorted((r["id"], r["length"]) for r in packed) == lengths
+        places = sorted((r["sequence_id"], r["offset"], r["length"]) for r in packed)
+        for one, two in zip(places, places[1:]):
+            same = one[0] == two[0]
+            assert two[1] == (one[1] + one[2] if same else 0) and two[1] + two[2] <= 40
