@@ -3,6 +3,9 @@
 Each stage works on all rows that the one before kept, is written as Parquet and read
 again. All but the last return the columns of ``documents``.
 
+What a stage stores on its way is given back when the next one begins, as its result has been
+written then.
+
 Results for odd input: a document whose text is null, empty or without a letter is rejected
 by the first stage; equal rows are near duplicates of each other; an empty table goes
 through all stages and gives an empty result; extra columns are carried to the last stage.
@@ -10,7 +13,9 @@ through all stages and gives an empty result; extra columns are carried to the l
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +26,7 @@ from rankmart.llm import (
     near_dedup,
     substring_dedup,
 )
-from rankmart.llm.common import stored
+from rankmart.llm.common import emptied, scratch, stored
 from rankmart.llm.queries import packed, table
 
 #: A text whose likeliest language is less likely than this has no language.
@@ -30,6 +35,29 @@ LANGUAGE_SCORE = 0.5
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+_STAGE = threading.local()
+
+
+def _give_back(spark: SparkSession) -> None:
+    """Empties what the stage before stored."""
+    for path, schema in vars(_STAGE).pop("left", []):
+        emptied(spark, path, schema)
+
+
+def stage(run: Stage) -> Stage:
+    """A stage whose stored tables last until the next stage of this thread begins."""
+
+    @wraps(run)
+    def wrapped(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _give_back(spark)
+        _STAGE.left = []
+        with scratch(spark, keep=_STAGE.left):
+            return run(spark, docs, sf_dir)
+
+    return wrapped
+
+
+@stage
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents whose text has a language that the labelled rows teach."""
     model = language_id.train(docs)
@@ -41,11 +69,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.filter(known).select(*docs.columns)
 
 
+@stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each class of near copies."""
     return near_dedup.one_of_each(docs)
 
 
+@stage
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes repeated passages out of the texts; a text with nothing else goes."""
     cut = substring_dedup.without_repeats(docs)
@@ -59,11 +89,13 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return left.withColumns(changed).select(*docs.columns)
 
 
+@stage
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that hold no passage of a benchmark item."""
     return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
+@stage
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token pieces of all documents, with ids, from the packed sequences as written."""
     return packed(spark, docs, with_ids=True)
@@ -84,6 +116,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+    for name, step in STAGES:
+        docs = stored(step(spark, docs, sf_dir), f"stage-{name}")
     return docs
