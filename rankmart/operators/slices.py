@@ -217,3 +217,30 @@ def with_previous(sliced: Sliced, values: Mapping[str, str]) -> Sliced:
 def with_next(sliced: Sliced, values: Mapping[str, str]) -> Sliced:
     """Add columns of the row after, within the key: ``{new name: column}``."""
     return _with_neighbour(sliced, values, forward=True)
+
+
+def with_carried(sliced: Sliced, values: Mapping[str, str]) -> Sliced:
+    """Add the last value that is not null, at or before the row, within the key:
+    ``{new name: column}``. The order columns are ascending."""
+    until = sliced.window().rowsBetween(W.unboundedPreceding, 0)
+    near = {new: F.last(old, ignorenulls=True).over(until) for new, old in values.items()}
+    if not sliced.hot:
+        return sliced.on(sliced.df.withColumns(near))
+    place = F.struct(*sliced.order)
+    lasts = [
+        F.max_by(old, F.when(F.col(old).isNotNull(), place)).alias(new)
+        for new, old in values.items()
+    ]
+    edges = _per_slice(sliced, F.struct(*lasts))
+    earlier = _slices_of_key(sliced).rowsBetween(W.unboundedPreceding, -1)
+    carried = [
+        F.last(F.col("_agg")[new], ignorenulls=True).over(earlier).alias(new) for new in values
+    ]
+    beyond = edges.withColumn("_beyond", F.struct(*carried))
+    columns = sliced.df.columns
+    local = sliced.df.withColumns({f"_near_{new}": value for new, value in near.items()})
+    joined = _join_slices(local, sliced, beyond)
+    found = [
+        F.coalesce(F.col(f"_near_{new}"), F.col("_beyond")[new]).alias(new) for new in values
+    ]
+    return sliced.on(joined.select(*columns, *found))

@@ -14,6 +14,7 @@ from pyspark.sql.types import TimestampType
 from rankmart.functions.hashing import hash_diff
 from rankmart.functions.text import show_amount, show_timestamp
 from rankmart.operators import conform, quality, rank, scd2
+from rankmart.operators.as_of import as_of_join
 from rankmart.operators.dedup import dedup
 from rankmart.plans import bronze, gold, views
 from rankmart.plans.marts import refresh_marts
@@ -1229,3 +1230,56 @@ def extra_ingest(spark, sf_dir):
         )
     columns = s.extra_state(spark, sf_dir).columns
     return _plain(history.state().select(*columns))
+
+
+def _seen_events(spark, sf_dir):
+    moved = F.when(F.dayofmonth("ts") >= 16, 1).otherwise(0)
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        F.concat(F.lit("player "), F.col("user_id").cast("string")).alias("name"),
+        F.concat(F.lit("world "), ((F.col("user_id") + moved) % 10).cast("string")).alias("world"),
+        "event_type",
+        F.col("ts").cast("timestamp_ntz").alias("ts"),
+    )
+
+
+@query(f"""WITH {o.VOCATION_STATE}, seen AS (
+  SELECT event_id, 'player ' || user_id AS name, event_type, ts,
+    'world ' || ((user_id + CASE WHEN day(ts) >= 16 THEN 1 ELSE 0 END) % 10) AS world FROM events)
+SELECT seen.event_id, seen.name, seen.world, seen.event_type, seen.ts, v.level, v.experience,
+  v.start_date, v.end_date
+FROM seen LEFT JOIN vocation_state v ON v.name = seen.name AND v.world = seen.world
+  AND v.start_date <= seen.ts AND (v.end_date IS NULL OR v.end_date > seen.ts)""")
+def as_of_events(spark, sf_dir):
+    """Every event with the player's version at its own time."""
+    versions = s.vocation_state(spark, sf_dir)
+    columns = ["name", "world", "level", "experience", "start_date", "end_date"]
+    return as_of_join(
+        _seen_events(spark, sf_dir), versions.select(*columns), ["name", "world"], "ts"
+    )
+
+
+@query("""WITH daily AS (
+  SELECT event_type, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day, count(*) % 7 AS n FROM events
+  GROUP BY ALL),
+changes AS (SELECT * FROM (SELECT *, lag(n) OVER w AS before FROM daily
+    WINDOW w AS (PARTITION BY event_type ORDER BY day)) WHERE before IS DISTINCT FROM n),
+versions AS (SELECT event_type, n, day AS start_date,
+    lead(day) OVER (PARTITION BY event_type ORDER BY day) AS end_date FROM changes)
+SELECT e.event_id, e.event_type, e.ts, v.n, v.start_date, v.end_date
+FROM events e JOIN versions v ON v.event_type = e.event_type AND v.start_date <= e.ts
+  AND (v.end_date IS NULL OR v.end_date > e.ts)""")
+def as_of_events_sliced(spark, sf_dir):
+    """Every event with the version of its type: few keys, cut into slices of time."""
+    events = _seen_events(spark, sf_dir).drop("name", "world")
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")
+    daily = events.groupBy("event_type", day).agg((F.count(F.lit(1)) % 7).alias("n"))
+    versions = scd2.scd2_from_batches(daily, ["event_type"], ["n"], "day")
+    return as_of_join(
+        events,
+        versions.select("event_type", "n", "start_date", "end_date"),
+        ["event_type"],
+        "ts",
+        how="inner",
+        rows_per_slice=FEW_ROWS,
+    )
