@@ -59,7 +59,7 @@ from rankmart.llm.arrays import (
     word_bounds,
     word_hashes,
 )
-from rankmart.llm.common import stored, text_or_empty
+from rankmart.llm.common import ROW, stored, text_or_empty, with_row_number
 from rankmart.llm.components import components
 
 SHINGLE = 5
@@ -200,7 +200,7 @@ def _texts(docs: DataFrame, id: str, text: str) -> DataFrame:
     # The node is 16 bytes of a digest of the text.
     return docs.select(
         F.unhex(F.md5(whole)).alias("node"),
-        F.col(id).cast("long").alias("doc"),
+        F.col(id).try_cast("long").alias("doc"),
         whole.alias("text"),
     )
 
@@ -430,11 +430,17 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: its ``class_id`` and whether it is the one that is ``kept``."""
+    """One row per document: its ``class_id`` and whether it is the one that is ``kept``.
+
+    Of rows with one id and text one is kept, as by :func:`one_of_each`.
+    """
     known = stored(classes(docs, id, text), "classes")
-    rows = _texts(docs, id, text).drop("text").join(known, "node")
-    kept = F.col("doc").eqNullSafe(F.col("class_id"))
-    return rows.select(F.col("doc").alias(id), "class_id", kept.alias("kept"))
+    rows = stored(with_row_number(_texts(docs, id, text).drop("text")), "rows")
+    rows = rows.join(known, "node")
+    least = rows.filter(F.col("first") & F.col("doc").eqNullSafe(F.col("class_id")))
+    chosen = least.groupBy("node").agg(F.min(ROW).alias(ROW)).select(ROW, F.lit(True).alias("_kept"))
+    kept = F.coalesce("_kept", F.lit(False)).alias("kept")
+    return rows.join(chosen, ROW, "left").select(F.col("doc").alias(id), "class_id", kept)
 
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -446,5 +452,5 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     known = known.filter("first").select(
         F.col("node").alias("_node"), F.col("class_id").alias("_class")
     )
-    kept = plain.join(known, "_node").filter(F.col(id).cast("long").eqNullSafe(F.col("_class")))
+    kept = plain.join(known, "_node").filter(F.col(id).try_cast("long").eqNullSafe(F.col("_class")))
     return kept.dropDuplicates(["_node"]).drop("_node", "_class")

@@ -320,3 +320,15 @@ def test_components_of_chains_and_stars(spark):
     roots = components(spark.createDataFrame(edges, "a long, b long"))
     found = {r["node"]: r["root"] for r in roots.collect()}
     assert found == {**{i: 0 for i in range(1, 41)}, **{i: 100 for i in range(101, 120)}}
+
+
+def test_one_row_of_a_class_is_kept(spark):
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(None, text)] * 3 + [(7, "other " + text[::-1])] * 2 + [(9, "alone"), (None, "odd")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_dedup.near_duplicates(docs).collect()
+    kept = [(r["doc_id"], r["class_id"]) for r in got if r["kept"]]
+    assert sorted(kept, key=str) == [(7, 7), (9, 9), (None, None), (None, None)]
+    assert near_dedup.one_of_each(docs).count() == len(kept)
+    named = spark.createDataFrame([("a", text), ("b", text)], "doc_id string, text string")
+    assert sum(r["kept"] for r in near_dedup.near_duplicates(named).collect()) == 1
