@@ -19,15 +19,17 @@ blocks of ``QUERIES``; a task meets one pair of blocks at a time and returns eac
 best k of it, so neither memory nor rows depend on how alike the vectors are.
 
 Results for odd input: vectors that are null, empty, all zero, or hold a null or non-finite
-component take no part, nor do rows without an id or of another length than most; a query
-meets neither itself nor other rows of its id; ties go to the smaller id; with k or fewer
-candidates all are returned; an empty table gives an empty result.
+component take no part, nor do rows without an id; vectors of each length are searched by
+themselves; rows are told apart, not ids: a query meets all rows but its own, also others of its
+id, and each of two query rows of one id has its own k hits; ties go to the smaller id; with k
+or fewer candidates all are returned; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +47,8 @@ BLOCK = 8192
 QUERIES = 1024
 _SUB = 8
 _CHOICE = 1 << 20
-_RESULT = "query long, id long, score double, distance int"
+_RESULT = "query long, query_id long, row long, id long, score double, distance int"
+_RESULT_NAMES = [column.split()[0] for column in _RESULT.split(", ")]
 #: Differing bits of two bytes.
 _APART = np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8))
 
@@ -101,31 +104,35 @@ def _near(codes: np.ndarray, asked: np.ndarray, radius: int) -> np.ndarray:
 
 def search_block(
     ids: np.ndarray,
+    rows: np.ndarray,
     vectors: np.ndarray,
     codes: np.ndarray,
     asked_ids: np.ndarray,
+    asked_rows: np.ndarray,
     asked: np.ndarray,
     asked_codes: np.ndarray,
     radius: int,
     k: int,
 ) -> tuple[list[np.ndarray], ...]:
     """For each query its best ``k`` rows of a block within the radius."""
-    out: tuple[list, ...] = ([], [], [], [])
+    out: tuple[list, ...] = ([], [], [], [], [], [])
     for low in range(0, len(asked), 128):
         part = slice(low, low + 128)
         met = _near(codes, asked_codes[part], radius)
         for row, query in enumerate(range(low, min(low + 128, len(asked)))):
-            found = np.flatnonzero(met[row] & (ids != asked_ids[query]))
+            found = np.flatnonzero(met[row] & (rows != asked_rows[query]))
             apart = np.bitwise_count(codes[found] ^ asked_codes[query]).sum(axis=1)
             found, apart = found[apart <= radius], apart[apart <= radius]
             if not len(found):
                 continue
             scores = (vectors[found] * asked[query]).sum(axis=1)
-            best = np.lexsort((ids[found], -scores))[:k]
-            out[0].append(np.full(len(best), asked_ids[query]))
-            out[1].append(ids[found[best]])
-            out[2].append(scores[best])
-            out[3].append(apart[best])
+            best = np.lexsort((rows[found], ids[found], -scores))[:k]
+            out[0].append(np.full(len(best), asked_rows[query]))
+            out[1].append(np.full(len(best), asked_ids[query]))
+            out[2].append(rows[found[best]])
+            out[3].append(ids[found[best]])
+            out[4].append(scores[best])
+            out[5].append(apart[best])
     return out
 
 
@@ -143,9 +150,9 @@ def usable(vector: Column) -> Column:
 
 
 def _sampled(rows: DataFrame, total: int, size: int) -> DataFrame:
-    """About ``size`` rows, chosen by a hash of their id; all where there are fewer."""
+    """About ``size`` rows, chosen by a hash of their number; all where there are fewer."""
     below = int(min(1.0, size / max(1, total)) * _CHOICE)
-    return rows.filter(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(_CHOICE)) < below)
+    return rows.filter(F.pmod(F.xxhash64("row", F.lit(3)), F.lit(_CHOICE)) < below)
 
 
 def _search(
@@ -165,37 +172,39 @@ def _search(
     def numbers(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    block = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(blocks)).cast("int")
-    query_block = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(query_blocks)).cast("int")
+    block = F.pmod(F.xxhash64("row", F.lit(5)), F.lit(blocks)).cast("int")
+    query_block = F.pmod(F.xxhash64("row", F.lit(7)), F.lit(query_blocks)).cast("int")
     left = index.select("*", block.alias("block"), numbers(query_blocks).alias("query_block"))
     right = queries.select("*", query_block.alias("query_block"), numbers(blocks).alias("block"))
 
     def pair(rows: pa.Table, asks: pa.Table) -> pa.Table:
-        out: tuple[list, ...] = ([], [], [], [])
+        out: tuple[list, ...] = ([], [], [], [], [], [])
         if rows.num_rows and asks.num_rows:
             turn = shared.value
             vectors = _vectors(rows["vector"], size)
             wanted = _vectors(asks["vector"], size)
             out = search_block(
                 rows["id"].to_numpy(),
+                rows["row"].to_numpy(),
                 vectors,
                 turn.codes(vectors),
                 asks["id"].to_numpy(),
+                asks["row"].to_numpy(),
                 wanted,
                 turn.codes(wanted),
                 radius,
                 k,
             )
-        kinds = (np.int64, np.int64, np.float64, np.int32)
+        kinds = (np.int64, np.int64, np.int64, np.int64, np.float64, np.int32)
         columns = [
             pa.array((np.concatenate(x) if x else np.zeros(0)).astype(kind))
             for x, kind in zip(out, kinds, strict=True)
         ]
-        return pa.table(columns, names=["query", "id", "score", "distance"])
+        return pa.table(columns, names=_RESULT_NAMES)
 
     keys = ("block", "query_block")
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(pair, _RESULT)
-    best = W.partitionBy("query").orderBy(F.desc("score"), "id")
+    best = W.partitionBy("query").orderBy(F.desc("score"), "id", "row")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
@@ -208,31 +217,40 @@ def neighbours(
     recall: float = RECALL,
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score`` of each query's nearest rows."""
-    spark = vectors.sparkSession
     rows = vectors.select(
-        F.col(id).cast("long").alias("id"),
+        F.col(id).try_cast("long").alias("id"),
         F.col(vector).cast("array<double>").alias("vector"),
         F.coalesce(is_query, F.lit(False)).alias("asks"),
     ).filter(F.col("id").isNotNull() & usable(F.col("vector")))
-    index = stored(rows, "vectors")
+    # Stored, so that the numbers of rows last.
+    index = stored(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")
     size = F.size("vector")
     lengths = index.groupBy(size.alias("size")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if("asks").alias("asked")
     )
-    usual = lengths.orderBy(F.desc("n"), F.desc("size")).first()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if usual is None or not usual["asked"]:
-        return empty
-    total, asked = usual["n"], usual["asked"]
-    index = index.filter(size == usual["size"]).select("id", "vector", "asks")
-    queries = index.filter("asks").drop("asks")
+    # One search for each length that is asked for.
+    found = [
+        _of_length(index.filter(size == r["size"]), r["size"], r["n"], r["asked"], k, recall)
+        for r in lengths.filter("asked > 0").orderBy("size").collect()
+    ]
+    if not found:
+        schema = "query_id long, rank int, vec_id long, score double"
+        return vectors.sparkSession.createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, found)
+
+
+def _of_length(
+    index: DataFrame, size: int, total: int, asked: int, k: int, recall: float
+) -> DataFrame:
+    """The search among vectors of one length."""
+    queries = stored(index.filter("asks").drop("asks"), "queries")
     index = index.drop("asks")
 
     # At most about SAMPLE vectors reach the driver.
     sample = _sampled(index, total, SAMPLE).limit(2 * SAMPLE).toArrow()
     if not sample.num_rows:
         sample = index.limit(1).toArrow()
-    rotation = fit_rotation(_vectors(sample["vector"], usual["size"]))
+    rotation = fit_rotation(_vectors(sample["vector"], size))
     bits = rotation.matrix.shape[1]
     tried = _sampled(queries, asked, CALIBRATION)
     exact = _search(index, tried, rotation, total, CALIBRATION, bits, k)
@@ -242,14 +260,14 @@ def neighbours(
     near = stored(_search(index, queries, rotation, total, asked, radius, k), "near")
     wanted = min(k, total - 1)
     full = near.groupBy("query").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= wanted)
-    short = stored(queries.join(full, F.col("id") == F.col("query"), "left_anti"), "short")
+    short = stored(queries.join(full, F.col("row") == F.col("query"), "left_anti"), "short")
     left = short.count()
     if left:
         rest = _search(index, short, rotation, total, left, bits, k)
-        again = short.select(F.col("id").alias("query"))
+        again = short.select(F.col("row").alias("query"))
         near = near.join(again, "query", "left_anti").unionByName(rest)
     return near.select(
-        F.col("query").alias("query_id"),
+        "query_id",
         F.col("rank").cast("int").alias("rank"),
         F.col("id").alias("vec_id"),
         "score",

@@ -121,3 +121,17 @@ def test_probing_finds_every_code_within_the_radius():
     for radius in (0, 3, 7, 12, 20, 27):
         met = ann._near(codes, asked, radius)
         assert not ((apart <= radius) & ~met).any()
+
+
+def test_repeated_query_ids_and_other_lengths(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [0.9, 0.1]), (2, [0.1, 0.9]), (3, [0.5, 0.5])]
+    rows += [(20, [1.0, 0.0, 0.0]), (4, [0.5, 0.1, 0.0]), (5, [0.7, 0.0, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.neighbours(vectors, F.col("vec_id") % 20 == 0, k=2).collect()
+    found = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got)
+    assert found == [
+        (0, 1, 1, 0.9), (0, 1, 2, 0.9), (0, 2, 3, 0.5), (0, 2, 3, 0.5),
+        (20, 1, 5, 0.7), (20, 2, 4, 0.5),
+    ]
+    every = ann.neighbours(vectors.filter("vec_id = 0"), F.lit(True), k=5).collect()
+    assert [(r["query_id"], r["vec_id"]) for r in every] == [(0, 0), (0, 0)]
