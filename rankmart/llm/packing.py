@@ -334,50 +334,81 @@ def write_sequences(packed: DataFrame, path: str, id: str = "doc_id") -> None:
 
 
 def _written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for at in range(0, len(whole), 256):
+            yield _sequences_of(whole.slice(at, 256))
+
+
+def _sequences_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Some sequences with their pieces in order of the offset."""
+    lists = batch.column("parts")
+    parts = lists.flatten()
+    counts = np.diff(lists.offsets.to_numpy())
+    sequence = np.repeat(np.arange(len(batch)), counts)
+    order = np.lexsort((parts.field("offset").to_numpy(zero_copy_only=False), sequence))
+    data = parts.field("ids").to_pylist()
+    ends = np.cumsum(counts)
+    ids = [
+        b"".join([data[k] for k in order[end - count : end]])
+        for end, count in zip(ends, counts, strict=True)
+    ]
     names = ["doc", "piece", "start", "length"]
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-    pieces = pa.list_(pa.struct(list(zip(names, types, strict=True))))
-    for batch in batches:
-        # A sequence at a time: those of a batch together can be large.
-        for row in range(len(batch)):
-            (one,) = batch.slice(row, 1).to_pylist()
-            parts = sorted(one["parts"], key=lambda p: p["offset"])
-            told = [{n: p[n] for n in names} for p in parts]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([one["sequence_id"]], pa.int64()),
-                    pa.array([b"".join(p["ids"] for p in parts)], pa.binary()),
-                    pa.array([told], pieces),
-                ],
-                names=["sequence_id", "ids", "pieces"],
-            )
+    told = pa.StructArray.from_arrays(
+        [parts.field(n).take(pa.array(order)) for n in names], names=names
+    )
+    offsets = pa.array(np.append(0, ends).astype(np.int32))
+    return pa.RecordBatch.from_arrays(
+        [
+            batch.column("sequence_id"),
+            pa.array(ids, pa.binary()),
+            pa.ListArray.from_arrays(offsets, told),
+        ],
+        names=["sequence_id", "ids", "pieces"],
+    )
 
 
 def _read(batches: Iterator[pa.RecordBatch], with_ids: bool) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in range(len(batch)):
-            (one,) = batch.slice(row, 1).to_pylist()
-            pieces = one["pieces"]
-            sizes = np.array([p["length"] for p in pieces], np.int64)
-            offsets = np.cumsum(sizes) - sizes
-            ends = offsets + sizes
-            wide = len(one["ids"]) // int(ends[-1])
-            if wide not in (2, 4) or wide * int(ends[-1]) != len(one["ids"]):
-                raise ValueError(f"sequence {one['sequence_id']} is not its pieces")
-            ids = np.frombuffer(one["ids"], f"<u{wide}").astype("<u4").tobytes()
-            each = [ids[4 * a : 4 * b] for a, b in zip(offsets, ends, strict=True)]
-            columns = {
-                "doc": pa.array([p["doc"] for p in pieces], pa.int64()),
-                "piece": pa.array([p["piece"] for p in pieces], pa.int32()),
-                "start": pa.array([p["start"] for p in pieces], pa.int64()),
-                "length": pa.array([len(x) // 4 for x in each], pa.int64()),
-                "crc": pa.array([zlib.crc32(x) for x in each], pa.int64()),
-            }
-            if with_ids:
-                columns["ids"] = pa.array(each, pa.binary())
-            columns["sequence_id"] = pa.array([one["sequence_id"]] * len(each), pa.int64())
-            columns["offset"] = pa.array(offsets)
-            yield pa.RecordBatch.from_pydict(columns)
+    for whole in batches:
+        # Some sequences at a time: those of a batch together can be large.
+        for at in range(0, len(whole), 256):
+            yield _pieces_of(whole.slice(at, 256), with_ids)
+
+
+def _pieces_of(batch: pa.RecordBatch, with_ids: bool) -> pa.RecordBatch:
+    """The pieces of some sequences, one behind the other."""
+    lists = batch.column("pieces")
+    pieces = lists.flatten()
+    counts = np.diff(lists.offsets.to_numpy())
+    sizes = pieces.field("length").to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(sizes)
+    heads = np.cumsum(counts) - counts
+    # Ids before each sequence, and of it.
+    before = np.append(0, ends)[heads]
+    totals = np.append(0, ends)[heads + counts] - before
+    data = batch.column("ids").to_pylist()
+    each: list[bytes] = []
+    for row, ids in enumerate(data):
+        total = int(totals[row])
+        wide = len(ids) // max(1, total)
+        if wide not in (2, 4) or wide * total != len(ids):
+            raise ValueError(f"sequence {batch.column('sequence_id')[row]} is not its pieces")
+        if wide == 2:
+            ids = np.frombuffer(ids, "<u2").astype("<u4").tobytes()
+        bounds = np.append(0, np.cumsum(sizes[heads[row] : heads[row] + counts[row]])) * 4
+        each += [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    columns = {
+        "doc": pieces.field("doc"),
+        "piece": pieces.field("piece"),
+        "start": pieces.field("start"),
+        "length": pa.array([len(x) // 4 for x in each], pa.int64()),
+        "crc": pa.array([zlib.crc32(x) for x in each], pa.int64()),
+    }
+    if with_ids:
+        columns["ids"] = pa.array(each, pa.binary())
+    sequence = np.repeat(batch.column("sequence_id").to_numpy(), counts)
+    columns["sequence_id"] = pa.array(sequence)
+    columns["offset"] = pa.array(ends - sizes - np.repeat(before, counts))
+    return pa.RecordBatch.from_pydict(columns)
 
 
 def read_pieces(

@@ -237,3 +237,29 @@ def test_places_are_the_same_with_joined_starts(spark):
         for one, two in zip(places, places[1:]):
             same = one[0] == two[0]
             assert two[1] == (one[1] + one[2] if same else 0) and two[1] + two[2] <= 40
+
+
+def test_sequences_of_large_batches_are_read_as_written():
+    import pyarrow as pa
+
+    draw = np.random.default_rng(4)
+    parts, expected = [], []
+    for sequence in range(700):
+        at, rows = 0, []
+        for piece in range(int(draw.integers(1, 5))):
+            ids = draw.integers(0, 1 << 16, int(draw.integers(1, 9))).astype("<u2")
+            rows.append(
+                {
+                    "offset": at, "doc": None if piece == 3 else sequence, "piece": piece,
+                    "start": 10 * piece, "length": len(ids), "ids": ids.tobytes(),
+                }
+            )
+            crc = zlib.crc32(ids.astype("<u4").tobytes())
+            expected.append((rows[-1]["doc"], piece, 10 * piece, len(ids), crc, sequence, at))
+            at += len(ids)
+        draw.shuffle(rows)
+        parts.append(rows)
+    batch = pa.RecordBatch.from_pydict({"sequence_id": pa.array(range(700)), "parts": parts})
+    written = list(packing._written(iter([batch])))
+    read = [tuple(r.values()) for b in packing._read(iter(written), False) for r in b.to_pylist()]
+    assert read == expected
