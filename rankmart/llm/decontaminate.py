@@ -12,8 +12,9 @@ seeds of the documents; each hit fixes an alignment, and the aligned words are c
 
 So the result is that of comparing every window with every item, without doing so.
 
-Everything is DataFrame functions. The benchmark's seeds are counted first: up to
-``MAX_BROADCAST`` they are broadcast, beyond that both sides are shuffled by seed.
+Everything is DataFrame functions. The bytes of the benchmark's seeds are added up first: up
+to ``MAX_BROADCAST`` they are broadcast, beyond that both sides are shuffled by seed. A seed
+then travels without its text; the texts of documents with hits are fetched afterwards.
 
 Results for odd input: null or empty texts, on either side, leak nothing; a null ``doc_id``
 or ``item_id`` is kept as such; equal rows give one result row; empty tables give an empty
@@ -31,8 +32,10 @@ from rankmart.llm.common import ascii_words, stored, text_key, text_or_empty
 MASKS = [(0, 2, 4), (0, 2, 5), (0, 3, 8)]
 WINDOW = 13
 EQUAL = 11
-#: Rows of 32 bytes or so: 64 MB at most.
-MAX_BROADCAST = 2_000_000
+#: Bytes of the benchmark's seeds that are broadcast at most.
+MAX_BROADCAST = 64 << 20
+#: Five numbers and what a row costs besides; the item's id comes on top.
+SEED_BYTES = 64
 
 
 def _span(mask: tuple[int, ...]) -> int:
@@ -97,6 +100,26 @@ def test_seeds(items: DataFrame, id: str = "item_id", text: str = "text") -> Dat
     )
 
 
+def _held_bytes(seeds: DataFrame) -> int:
+    """What the seeds take in memory, by the length of their ids."""
+    id_bytes = F.coalesce(F.octet_length(F.col("item").cast("string")), F.lit(0))
+    return seeds.agg(F.sum(id_bytes + SEED_BYTES)).first()[0] or 0
+
+
+def _hits(worded: DataFrame, seeds: DataFrame, max_broadcast: int) -> DataFrame:
+    """``doc``, ``key``, ``words``, ``n_words``, the item and the diagonal of each hit."""
+    diagonal = _word_of("place", "n_words", F.col("mask")) - F.col("item_word")
+    place = ["doc", "key", "n_words", "item", "item_key", "item_size", "diagonal"]
+    if _held_bytes(seeds) <= max_broadcast:
+        hits = _with_seeds(worded).join(F.broadcast(seeds), "seed")
+        return hits.withColumn("diagonal", diagonal).select(*place, "words")
+    hits = _with_seeds(worded).drop("words").join(seeds, "seed")
+    places = hits.withColumn("diagonal", diagonal).select(*place).distinct()
+    texts = worded.select(F.col("doc").alias("_doc"), F.col("key").alias("_key"), "words")
+    same = (F.col("key") == F.col("_key")) & F.col("doc").eqNullSafe(F.col("_doc"))
+    return places.join(texts, same).select(*place, "words")
+
+
 def _passages(
     docs: DataFrame,
     items: DataFrame,
@@ -108,20 +131,17 @@ def _passages(
 ) -> DataFrame:
     """The rows of ``leaks`` by ``doc``, ``key`` (of its text), ``item`` and ``item_key``."""
     seeds = stored(test_seeds(items, item_id, item_text), "test-seeds")
-    few = seeds.limit(max_broadcast + 1).count() <= max_broadcast
     worded = docs.select(
         F.col(id).alias("doc"),
         text_key(text).alias("key"),
         ascii_words(text_or_empty(text)).alias("words"),
     )
-    hits = _with_seeds(worded).join(F.broadcast(seeds) if few else seeds, "seed")
-    diagonal = _word_of("place", "n_words", F.col("mask")) - F.col("item_word")
+    hits = _hits(worded, seeds, max_broadcast)
     begin = F.greatest(F.col("diagonal"), F.lit(0))
     end = F.least(F.col("n_words"), F.col("diagonal") + F.col("item_size"))
     # A hit takes along the document's words that lie against the item, and no others.
     aligned = (
-        hits.withColumn("diagonal", diagonal)
-        .select(
+        hits.select(
             "doc",
             "key",
             "item",

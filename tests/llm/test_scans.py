@@ -141,6 +141,38 @@ def test_leaks_against_brute_force(spark):
     assert decontaminate.leaks(frame(spark, docs), bench.limit(0)).isEmpty()
 
 
+def test_a_benchmark_too_large_to_broadcast(spark):
+    """The same rows, and no text goes along with a seed."""
+    draw = random.Random(5)
+    items = [prose(draw, 40, 5_000) for _ in range(5)]
+    long = prose(draw, 20_000, 5_000).split()
+    long[11_000:11_020] = items[0].split()[7:27]
+    long[19_985:] = items[1].split()[:15]
+    bench = spark.createDataFrame(
+        [(f"item {i}" if i else None, t, "x") for i, t in enumerate(items)],
+        "item_id string, text string, seed string",
+    )
+    texts = [(None, " ".join(long)), (3, items[2]), (3, items[2]), (3, "other"), (None, None)]
+    docs = spark.createDataFrame([(*r, None, 1) for r in texts], SCHEMA)
+    found = {}
+    for size in (0, decontaminate.MAX_BROADCAST):
+        rows = decontaminate.leaks(docs, bench, max_broadcast=size).collect()
+        found[size] = sorted(rows, key=str)
+    assert found[0] == found[decontaminate.MAX_BROADCAST] and len(found[0]) == 3
+    # The first passage begins with two words that differ, as 11 of 13 are enough.
+    assert {r["first_word"] for r in found[0] if r["doc_id"] is None} == {10_998, 19_985}
+    worded = docs.selectExpr("doc_id doc", "xxhash64(text) key", "split(text, ' ') words")
+    seeds = decontaminate.test_seeds(bench)
+    assert decontaminate._held_bytes(seeds) > 5 * 38 * decontaminate.SEED_BYTES
+    assert decontaminate._held_bytes(seeds.limit(0)) == 0
+    hits = decontaminate._hits(worded, seeds, 0)
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    joins = [n for n, line in enumerate(plan.splitlines()) if "Join Inner, (seed" in line]
+    assert joins, plan
+    generated = next(x for x in plan.splitlines()[joins[0]:] if "Project" in x and "seed" in x)
+    assert "words" not in generated.replace("n_words", "").replace("item_words", "")
+
+
 def test_clean_texts_with_the_id_of_a_leaking_one_stay(spark):
     item = " ".join(f"item{i}" for i in range(15))
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
