@@ -76,6 +76,44 @@ def per_day(gain: Column, days: Column, same_day: str) -> Column:
     return F.round(gain / divisor, 2)
 
 
+#: What a progression takes over from the version before.
+PLAYER_BEFORE = {
+    "previous_level": "current_level",
+    "previous_experience": "current_experience",
+    "previous_start_date": "current_start_date",
+}
+SKILL_BEFORE = {"skill_before": "skill_after", "from_date": "to_date"}
+
+
+def player_versions(vocation: DataFrame, *others: str) -> DataFrame:
+    """The columns of a version that the player progression compares."""
+    return vocation.select(
+        "name",
+        "world",
+        "vocation",
+        "world_type",
+        F.col("level").cast("int").alias("current_level"),
+        F.col("experience").cast("bigint").alias("current_experience"),
+        F.col("start_date").alias("current_start_date"),
+        "is_current",
+        *others,
+    )
+
+
+def skill_versions(skills: DataFrame, *others: str) -> DataFrame:
+    """The columns of a version that the skill progression compares."""
+    return skills.select(
+        "name",
+        "world",
+        "vocation",
+        "category",
+        F.col("skill_level").cast("int").alias("skill_after"),
+        F.col("start_date").alias("to_date"),
+        "is_current",
+        *others,
+    )
+
+
 def player_progression(
     vocation: DataFrame,
     as_of: datetime | Column,
@@ -87,25 +125,15 @@ def player_progression(
     A name is followed across worlds. First versions, and those after a version
     without a level, have no predecessor and are left out.
     """
-    versions = vocation.select(
-        "name",
-        "world",
-        "vocation",
-        "world_type",
-        F.col("level").cast("int").alias("current_level"),
-        F.col("experience").cast("bigint").alias("current_experience"),
-        F.col("start_date").alias("current_start_date"),
-        "is_current",
-    )
+    versions = player_versions(vocation)
     sliced = slice_rows(versions, ["name"], ["current_start_date", "world"], rows_per_slice)
-    pairs = with_previous(
-        sliced,
-        {
-            "previous_level": "current_level",
-            "previous_experience": "current_experience",
-            "previous_start_date": "current_start_date",
-        },
-    ).result()
+    return player_gains(with_previous(sliced, PLAYER_BEFORE).result(), as_of, same_day)
+
+
+def player_gains(
+    pairs: DataFrame, as_of: datetime | Column, same_day: str = "one_day"
+) -> DataFrame:
+    """The progression from versions beside the values of their predecessors."""
     gain = F.col("current_experience") - F.col("previous_experience")
     days = F.date_diff(F.to_date("current_start_date"), F.to_date("previous_start_date"))
     return pairs.filter("previous_level IS NOT NULL").select(
@@ -135,19 +163,15 @@ def skills_progression(
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Skill gained between consecutive versions of a name in a category."""
-    versions = skills.select(
-        "name",
-        "world",
-        "vocation",
-        "category",
-        F.col("skill_level").cast("int").alias("skill_after"),
-        F.col("start_date").alias("to_date"),
-        "is_current",
-    )
+    versions = skill_versions(skills)
     sliced = slice_rows(versions, ["name", "category"], ["to_date", "world"], rows_per_slice)
-    pairs = with_previous(
-        sliced, {"skill_before": "skill_after", "from_date": "to_date"}
-    ).result()
+    return skill_gains(with_previous(sliced, SKILL_BEFORE).result(), as_of, same_day)
+
+
+def skill_gains(
+    pairs: DataFrame, as_of: datetime | Column, same_day: str = "null"
+) -> DataFrame:
+    """The progression from versions beside the values of their predecessors."""
     gain = F.col("skill_after") - F.col("skill_before")
     days = F.date_diff(F.to_date("to_date"), F.to_date("from_date"))
     return pairs.filter("skill_before IS NOT NULL").select(

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from rankmart.plans import gold
+from rankmart.plans.silver import SKILLS, VOCATION
+from rankmart.sources.history import History
+from rankmart.sources.progressions import END, Progressions
 from rankmart.sources.tables import overwrite_partitions, replace_table
 
 
@@ -37,3 +40,35 @@ def refresh_marts(
         names[mart] = f"{database}.{mart}"
         replace_table(rows, names[mart], f"{location}/{mart}")
     return names
+
+
+class PlayerProgressions(Progressions):
+    """The player progression, kept up to date from the stored history."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        versions = gold.player_versions(spark.createDataFrame([], VOCATION.schema), END)
+        order = ["current_start_date", "world"]
+        super().__init__(spark, root, versions.schema, ["name"], order, gold.PLAYER_BEFORE)
+
+    def refresh(self, vocation: History, since: datetime) -> None:
+        """Take in the loads of ``since`` and later."""
+        self.load(gold.player_versions(vocation.since(since), END), since)
+
+    def mart(self, as_of: datetime | Column) -> DataFrame:
+        return gold.player_gains(self.pairs(), as_of)
+
+
+class SkillProgressions(Progressions):
+    """The skill progression, kept up to date from the stored history."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        versions = gold.skill_versions(spark.createDataFrame([], SKILLS.schema), END)
+        keys, order = ["name", "category"], ["to_date", "world"]
+        super().__init__(spark, root, versions.schema, keys, order, gold.SKILL_BEFORE)
+
+    def refresh(self, skills: History, since: datetime) -> None:
+        """Take in the loads of ``since`` and later."""
+        self.load(gold.skill_versions(skills.since(since), END), since)
+
+    def mart(self, as_of: datetime | Column) -> DataFrame:
+        return gold.skill_gains(self.pairs(), as_of)

@@ -17,7 +17,7 @@ from rankmart.operators import conform, quality, rank, scd2
 from rankmart.operators.as_of import as_of_join
 from rankmart.operators.dedup import dedup
 from rankmart.plans import bronze, gold, views
-from rankmart.plans.marts import refresh_marts
+from rankmart.plans.marts import PlayerProgressions, SkillProgressions, refresh_marts
 from rankmart.plans.silver import EXTRA, SKILLS, VOCATION
 from rankmart.queries import oracle as o
 from rankmart.queries import standin as s
@@ -1170,6 +1170,51 @@ def history_loads(spark, sf_dir):
     return _plain(history.loads())
 
 
+def _late_keys(daily: DataFrame, keys: tuple[str, ...], late: Column) -> DataFrame:
+    """All rows of the keys that have late ones."""
+    r, t = daily.alias("r"), daily.filter(late).select(*keys).distinct().alias("t")
+    return r.join(t, scd2.same_key("r", "t", keys), "left_semi")
+
+
+@query(_PLAYER_PROGRESSION)
+def progression_kept(spark, sf_dir):
+    """The progression after three loads of a stored history, the last one taken in twice."""
+    history = VOCATION.history(spark, scratch_path(spark, "history"))
+    kept = PlayerProgressions(spark, scratch_path(spark, "progressions"))
+    daily = _silver_rows(_stored(s.daily_vocation(spark, sf_dir), "daily"))
+    before, last, end = _before_and_last(daily)
+    early = F.col("day") < moment(MIDDLE)
+    for part in (before.filter(early), before.filter(~early), last, last):
+        since = part.agg(F.min("ingestion_time")).first()[0]
+        if since is None:
+            continue
+        if part is not last:
+            history.catch_up(part, "ingestion_time")
+        else:
+            history.apply(part, end)
+        kept.refresh(history, since)
+    return _plain(kept.mart(moment(AS_OF)))
+
+
+@query(_SKILLS_PROGRESSION)
+def skills_progression_kept(spark, sf_dir):
+    """The skill progression after the days in the middle came last."""
+    history = SKILLS.history(spark, scratch_path(spark, "history"))
+    kept = SkillProgressions(spark, scratch_path(spark, "progressions"))
+    daily = _silver_rows(_stored(s.daily_skills(spark, sf_dir), "daily"))
+    middle = F.dayofmonth("day").between(11, 20)
+    for part in (daily.filter(~middle), daily.filter(middle)):
+        since = part.agg(F.min("ingestion_time")).first()[0]
+        if since is None:
+            continue
+        if kept.pairs().isEmpty():
+            history.catch_up(part, "ingestion_time")
+        else:
+            history.rewrite(_late_keys(daily, SKILLS.keys, middle), "ingestion_time")
+        kept.refresh(history, since)
+    return _plain(kept.mart(moment(AS_OF)))
+
+
 @query(f"""WITH {o.VOCATION_STATE}
 SELECT * FROM vocation_state WHERE start_date <= TIMESTAMP '2024-01-15 12:00:00'
   AND (end_date IS NULL OR end_date > TIMESTAMP '2024-01-15 12:00:00')""")

@@ -44,7 +44,7 @@ KEY, BUCKET, CLOSED = "key_hash", "bucket", "closed"
 CURRENT = "current"
 
 
-def _month(time: Column | datetime) -> Column:
+def month(time: Column | datetime) -> Column:
     """The month by UTC, whatever the zone of the session."""
     time = time if isinstance(time, Column) else F.lit(time)
     return F.date_format(F.to_utc_timestamp(time, F.current_timezone()), "yyyy-MM")
@@ -95,9 +95,16 @@ class History:
         """All versions of all keys."""
         return self._versions(self._rows())
 
+    def since(self, t: datetime | Column) -> DataFrame:
+        """The versions that began or ended at ``t`` or later; earlier months are not read."""
+        time = t if isinstance(t, Column) else F.lit(t)
+        rows = self._rows().filter((F.col(CLOSED) == CURRENT) | (F.col(CLOSED) >= month(t)))
+        recent = (F.col("start_date") >= time) | (F.col("end_date") >= time)
+        return self._versions(rows.filter(recent))
+
     def as_of(self, t: datetime | Column) -> DataFrame:
         """The versions valid at ``t``; months that ended before are not read."""
-        ended_later = (F.col(CLOSED) == CURRENT) | (F.col(CLOSED) >= _month(t))
+        ended_later = (F.col(CLOSED) == CURRENT) | (F.col(CLOSED) >= month(t))
         return scd2_as_of(self._versions(self._rows().filter(ended_later)), t)
 
     def loads(self) -> DataFrame:
@@ -122,8 +129,7 @@ class History:
         """The partitions of some buckets after ``versions``: the current ones and those of
         the months from ``since`` on. The stored side of the join stays where it is."""
         held = self._rows().filter(F.col(BUCKET).isin(list(buckets)))
-        month = _month(since)
-        held = held.filter((F.col(CLOSED) == CURRENT) | (F.col(CLOSED) >= month))
+        held = held.filter((F.col(CLOSED) == CURRENT) | (F.col(CLOSED) >= month(since)))
         real = held.filter(F.col(KEY).isNotNull())
         current = real.filter(F.col(CLOSED) == CURRENT).drop(BUCKET, CLOSED)
         after = scd2_merge(current, versions, KEY, end)
@@ -133,7 +139,7 @@ class History:
     def _placed(self, rows: DataFrame, replaced: DataFrame) -> DataFrame:
         """Rows with their partition, and one row without a key for each replaced partition."""
         bucket = F.pmod(F.hash(KEY), F.lit(self.buckets))
-        closed = F.when(F.col("is_current"), CURRENT).otherwise(_month(F.col("end_date")))
+        closed = F.when(F.col("is_current"), CURRENT).otherwise(month(F.col("end_date")))
         placed = rows.select(*self._columns(), KEY).withColumns({BUCKET: bucket, CLOSED: closed})
         marks = replaced.select(BUCKET, CLOSED).distinct()
         return placed.unionByName(marks, allowMissingColumns=True)
