@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import date, datetime, timedelta
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
@@ -16,6 +16,7 @@ from rankmart.functions.text import show_amount, show_timestamp
 from rankmart.operators import conform, quality, rank, scd2
 from rankmart.operators.as_of import as_of_join
 from rankmart.operators.dedup import dedup
+from rankmart.operators.rules import Gate, Rules, gate, required
 from rankmart.plans import bronze, gold, views
 from rankmart.plans.marts import PlayerProgressions, SkillProgressions, refresh_marts
 from rankmart.plans.silver import EXTRA, SKILLS, VOCATION
@@ -408,6 +409,69 @@ def duplicate_keys(spark, sf_dir):
     return quality.duplicate_keys(events, ["user_id", "event_type", "day"])
 
 
+_ITEM_RULES = {
+    "quantity at most 45": "l_quantity <= 45",
+    "discount below a tenth": "l_discount < 0.1",
+    "returned or open": "l_returnflag IN ('A', 'R') OR l_linestatus = 'O'",
+}
+_BROKEN_ITEMS = """SELECT l_orderkey, l_linenumber, l_partkey,
+    NOT coalesce(l_quantity <= 45, false) AS a, NOT coalesce(l_discount < 0.1, false) AS b,
+    NOT coalesce(l_returnflag IN ('A', 'R') OR l_linestatus = 'O', false) AS c FROM lineitem"""
+
+
+def _gate(df: DataFrame, rules: Rules) -> Gate:
+    return gate(df, rules, scratch_path(df.sparkSession, "gate"))
+
+
+@query(f"""WITH judged AS ({_BROKEN_ITEMS})
+SELECT l_orderkey, l_linenumber, l_partkey, NOT (a OR b OR c) AS accepted,
+  concat_ws(', ', CASE WHEN a THEN 'quantity at most 45' END,
+    CASE WHEN b THEN 'discount below a tenth' END,
+    CASE WHEN c THEN 'returned or open' END) AS broken,
+  count(*) FILTER (NOT (a OR b OR c)) OVER () AS good_rows,
+  count(*) FILTER (a OR b OR c) OVER () AS quarantined_rows
+FROM judged""")
+def quality_gate(spark, sf_dir):
+    """Accepted and quarantined rows as written, with the counts taken while writing."""
+    found = _gate(table(spark, sf_dir, "lineitem"), _ITEM_RULES)
+    key = ["l_orderkey", "l_linenumber", "l_partkey"]
+    good = found.good.select(*key, F.lit(True).alias("accepted"), F.lit("").alias("broken"))
+    broken = F.array_join("broken", ", ").alias("broken")
+    bad = found.quarantined.select(*key, F.lit(False).alias("accepted"), broken)
+    return good.unionAll(bad).withColumns(
+        {
+            "good_rows": F.lit(found.good_rows).cast("long"),
+            "quarantined_rows": F.lit(found.quarantined_rows).cast("long"),
+        }
+    )
+
+
+@query(f"""WITH judged AS ({_BROKEN_ITEMS}), n AS (SELECT count(*) AS n, sum(a::INT) AS a,
+  sum(b::INT) AS b, sum(c::INT) AS c FROM judged),
+given AS (SELECT count(*) AS n, count(*) - count(props) AS p, count(*) - count(ts) AS t FROM events)
+SELECT load_name, rule, CAST(broken AS BIGINT) AS broken, CAST(of_rows AS BIGINT) AS of_rows FROM (
+  SELECT 'items' AS load_name, 'quantity at most 45' AS rule, a AS broken, n AS of_rows FROM n
+  UNION ALL SELECT 'items', 'discount below a tenth', b, n FROM n
+  UNION ALL SELECT 'items', 'returned or open', c, n FROM n
+  UNION ALL SELECT 'events', 'ts given', t, n FROM given
+  UNION ALL SELECT 'events', 'props given', p, n FROM given
+  UNION ALL SELECT 'events', 'world given', n, n FROM given
+  UNION ALL SELECT 'no events', 'ts given', 0, 0)""")
+def quality_gate_counts(spark, sf_dir):
+    """Rows that break each rule; a load that lacks a column, and one without rows."""
+    events = table(spark, sf_dir, "events")
+    loads = [
+        ("items", table(spark, sf_dir, "lineitem"), _ITEM_RULES),
+        ("events", events, required(events, ["ts", "props", "world"])),
+        ("no events", events.filter("event_id < 0"), required(events, ["ts"])),
+    ]
+    found = [(name, _gate(df, rules)) for name, df, rules in loads]
+    rows = [(name, rule, n, g.rows) for name, g in found for rule, n in g.broken.items()]
+    return spark.createDataFrame(
+        rows, "load_name string, rule string, broken long, of_rows long"
+    )
+
+
 # --- marts --------------------------------------------------------------------
 
 
