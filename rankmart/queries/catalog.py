@@ -16,6 +16,7 @@ from rankmart.functions.text import show_amount, show_timestamp
 from rankmart.operators import conform, quality, rank, scd2
 from rankmart.operators.as_of import as_of_join
 from rankmart.operators.dedup import dedup
+from rankmart.operators.distinct import distinct_players, numbered, player_bitmaps
 from rankmart.operators.rules import Gate, Rules, gate, required
 from rankmart.plans import bronze, gold, views
 from rankmart.plans.marts import PlayerProgressions, SkillProgressions, refresh_marts
@@ -472,6 +473,35 @@ def quality_gate_counts(spark, sf_dir):
     )
 
 
+def _player_bitmaps(spark, sf_dir):
+    daily = _stored(s.daily_vocation(spark, sf_dir), "daily")
+    numbers = _stored(numbered(daily, "name", "world"), "numbers")
+    cells = ["day", "world", "vocation"]
+    return _stored(player_bitmaps(daily, "name", cells, numbers), "bitmaps")
+
+
+@query(f"""WITH {o.DAILY_VOCATION}
+SELECT day, world, vocation, grouping(day, world, vocation) AS set_id,
+  count(DISTINCT name) AS players_count
+FROM daily_vocation
+GROUP BY GROUPING SETS ((day), (day, world), (world, vocation), (vocation), ())""")
+def distinct_players_by(spark, sf_dir):
+    """Distinct players by several sets of columns at once, from stored bitmaps."""
+    sets = [["day"], ["day", "world"], ["world", "vocation"], ["vocation"], []]
+    return _plain(distinct_players(_player_bitmaps(spark, sf_dir), sets))
+
+
+@query(f"""WITH {o.DAILY_VOCATION}
+SELECT world, CAST(0 AS BIGINT) AS set_id, count(DISTINCT name) AS players_count
+FROM daily_vocation WHERE day BETWEEN '2024-01-05' AND '2024-01-20' AND vocation <> 'view'
+GROUP BY world""")
+def distinct_players_where(spark, sf_dir):
+    """Distinct players of some days and vocations: a filter on the stored cells."""
+    cells = _player_bitmaps(spark, sf_dir)
+    days = F.col("day").between(moment("2024-01-05"), moment("2024-01-20"))
+    return distinct_players(cells.filter(days & (F.col("vocation") != "view")), [["world"]])
+
+
 # --- marts --------------------------------------------------------------------
 
 
