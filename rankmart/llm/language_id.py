@@ -3,7 +3,7 @@
 Characters are lower-cased; ASCII characters that are no letters count as one blank. The
 n-grams of one to three characters are hashed into ``BUCKETS``. Training counts n-grams by
 language on a bounded sample of the labelled rows (``TRAIN_ROWS`` for each language, chosen
-by a hash of the row). The matrix of log-probabilities (languages x buckets) is broadcast,
+by a hash of id and text, so that a frequent text brings no more than its share). The matrix of log-probabilities (languages x buckets) is broadcast,
 and a batch of texts is scored at once: the matrix rows of all its n-grams are added up by
 text.
 
@@ -130,15 +130,23 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(
-    docs: DataFrame, lang: str = "lang", text: str = "text", rows: int = TRAIN_ROWS
+    docs: DataFrame,
+    lang: str = "lang",
+    text: str = "text",
+    rows: int = TRAIN_ROWS,
+    id: str = "doc_id",
 ) -> Model:
     """Fits the model on about ``rows`` rows of each language; null languages are left out.
 
-    The rows of a language are chosen by a hash of the text, all of them where there are
-    fewer. What comes to the driver is bounded by languages times buckets.
+    The rows of a language are chosen by a hash of id and text, all of them where there are
+    fewer; rows equal in both are chosen together. Without a column ``id`` the text alone
+    decides. What comes to the driver is bounded by languages times buckets.
     """
+    known = [F.col(id).cast("string")] if id in docs.columns else []
     labelled = docs.select(
-        F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")
+        F.col(lang).cast("string").alias("lang"),
+        F.col(text).cast("string").alias("text"),
+        F.xxhash64(F.col(text).cast("string"), F.lit(1), *known).alias("draw"),
     ).filter("lang IS NOT NULL AND text IS NOT NULL")
     sizes = {r["lang"]: r["n"] for r in _language_sizes(labelled)}
     if not sizes:
@@ -148,7 +156,7 @@ def train(
     share = F.broadcast(spark.createDataFrame(shares, "lang string, below long"))
     chosen = (
         labelled.join(share, "lang")
-        .filter(F.pmod(F.xxhash64("text", F.lit(1)), F.lit(_CHOICE)) < F.col("below"))
+        .filter(F.pmod("draw", F.lit(_CHOICE)) < F.col("below"))
         .select("lang", "text")
     )
     counts = (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,6 +41,73 @@ def test_language_of_odd_texts(spark):
     assert language_id.identify(docs.limit(0), model).isEmpty()
 
 
+def test_a_frequent_text_is_learned_by_its_share(spark):
+    """Of 8,000 rows about 1,000 are counted, also where half of them are one text."""
+    rows = [(i, "zzz", "en") for i in range(4000)]
+    rows += [(i, f"the {i}", "en") for i in range(4000, 8000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+    def counted(model, text):
+        """How often the n-gram of three was counted: buckets start at one."""
+        bucket = list(language_id._grams([text], [len(text)]))[-1][1]
+        return (np.exp(model.weights[bucket, 0] - model.weights.min()) - 1).round()
+
+    whole = language_id.train(docs, rows=len(rows))
+    assert (counted(whole, "zzz") == 4000).all() and (counted(whole, "the") == 4000).all()
+    sampled = language_id.train(docs, rows=1000)
+    for text in ("zzz", "the"):
+        n = counted(sampled, text)
+        assert ((n > 350) & (n < 650)).all(), n
+
+
+def brute_language(texts, model):
+    """Naive Bayes text by text, n-gram by n-gram."""
+    found = []
+    for text in texts:
+        total = model.prior.copy()
+        for _, buckets in language_id._grams([text], [len(text)]):
+            for bucket in buckets:
+                total = total + model.weights[bucket]
+        best = max(range(len(total)), key=lambda i: total[i])
+        share = 1.0 / sum(np.exp(t - total[best]) for t in total)
+        found.append((model.languages[best], share))
+    return found
+
+
+def test_languages_against_plain_bayes(spark):
+    docs = table(spark, SF, "documents").filter("text <> ''").orderBy("doc_id").limit(60)
+    model = language_id.train(table(spark, SF, "documents"))
+    rows = language_id.identify(docs, model).collect()
+    expected = brute_language([r["text"] for r in rows], model)
+    assert [r["lang_pred"] for r in rows] == [name for name, _ in expected]
+    assert np.allclose([r["score"] for r in rows], [share for _, share in expected])
+
+
+def test_quality_against_plain_discriminant(spark):
+    """Log densities with covariances, inverses and determinants computed straight on."""
+    docs = table(spark, SF, "documents").select("doc_id", "text")
+    labels = table(spark, SF, "labels").select("doc_id", "quality")
+    model = quality.train_by_id(docs, labels)
+    rows = docs.join(labels, "doc_id").collect()
+    x = quality.statistics(pa.array([r["text"] for r in rows], pa.string()))
+    y = np.array([r["quality"] for r in rows])
+    known = [x[y == k] for k in (0, 1)]
+    own = [np.cov(k.T, bias=True) for k in known]
+    common = sum(len(k) * c for k, c in zip(known, own)) / (len(known[0]) + len(known[1]))
+    logs = []
+    for k in (0, 1):
+        mixed = (1 - quality.TOWARDS_COMMON) * own[k] + quality.TOWARDS_COMMON * common
+        level = np.diag(np.maximum(np.diag(mixed), quality.FLOOR))
+        mixed = (1 - quality.TOWARDS_DIAGONAL) * mixed + quality.TOWARDS_DIAGONAL * level
+        mixed += quality.FLOOR * np.eye(len(mixed))
+        away = x - known[k].mean(axis=0)
+        distance = np.einsum("ni,ij,nj->n", away, np.linalg.inv(mixed), away)
+        prior = np.log(len(known[k]) / (len(known[0]) + len(known[1])))
+        logs.append(prior - 0.5 * np.linalg.slogdet(mixed)[1] - 0.5 * distance)
+    expected = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -700, 700)))
+    assert np.allclose(model.score(x), expected, atol=1e-6)
+
+
 def test_a_long_text_counts_like_its_parts():
     text = "ab" * 10 + " é"
     whole = sorted(b for _, g in language_id._grams([text], [len(text)]) for b in g)
