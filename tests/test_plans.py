@@ -50,9 +50,12 @@ def test_a_sliced_ranking_never_gathers_its_rows(spark):
     assert exchange.startswith("hashpartitioning(_slice")
 
 
-def test_apply_joins_once(spark):
+def test_apply_joins_once(spark, tmp_path):
     state = scd2_open(population(spark, SF_DIR).drop("start_date", "end_date", "is_current",
                                                      "hash_diff"), ["level"], F.lit(AT))
+    # Spark decides by size whether to broadcast, and knows that of stored tables.
+    state.write.parquet(str(tmp_path / "state"))
+    state = spark.read.parquet(str(tmp_path / "state"))
     updates = state.drop("start_date", "end_date", "is_current", "hash_diff")
     stepped = scd2_step(state, updates, ["name", "world"], ["level"], AT)
     assert nodes(stepped, "SortMergeJoin") == 1
