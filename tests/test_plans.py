@@ -99,10 +99,10 @@ def two_days(spark, tmp_path_factory):
         write_landing(skill_rows(spark, levels), landing, "skills", "axe", day, at)
         players = bronze_vocation(read_landing(spark, landing, "experience", day), str(n), at)
         tables.append_batch(players, "day_bronze.vocation")
-        vocation.apply(players, n, at)
+        vocation.apply(players, at)
         trained = bronze_skills(read_landing(spark, landing, "skills", day), str(n), at)
         tables.append_batch(trained, "day_bronze.skills")
-        skills.apply(trained, n, at)
+        skills.apply(trained, at)
         names = marts.refresh_marts(
             vocation.state(), skills.state(), at, f"{root}/gold", "day_gold"
         )
