@@ -20,6 +20,7 @@ from rankmart.operators.distinct import distinct_players, numbered, player_bitma
 from rankmart.operators.rules import Gate, Rules, gate, required
 from rankmart.plans import bronze, gold, views
 from rankmart.plans.marts import PlayerProgressions, SkillProgressions, refresh_marts
+from rankmart.plans.names import NameIndex
 from rankmart.plans.silver import EXTRA, SKILLS, VOCATION
 from rankmart.queries import oracle as o
 from rankmart.queries import standin as s
@@ -842,6 +843,17 @@ def find_players(spark, sf_dir):
     return views.filter_options(found, "name")
 
 
+@query(f"""WITH {o.DAILY_VOCATION} SELECT day, name, world, vocation FROM daily_vocation
+WHERE contains(lower(name), 'yer 1')""")
+def find_by_name(spark, sf_dir):
+    """Rows of all names that hold a text, from postings written in two loads."""
+    daily = _stored(s.daily_vocation(spark, sf_dir), "daily")
+    index = NameIndex(spark, scratch_path(spark, "names"))
+    index.add(daily.filter(F.col("day") < moment(MIDDLE)))
+    index.add(daily)
+    return _plain(index.rows(daily.select("day", "name", "world", "vocation"), " YER 1"))
+
+
 @query("SELECT CAST(ts AS DATE) AS snapshot_date, count(*) AS rows FROM events GROUP BY ALL")
 def snapshot_counts(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("snapshot_date", F.to_date("ts"))
