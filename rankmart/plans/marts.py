@@ -10,7 +10,11 @@ from rankmart.plans import gold
 from rankmart.plans.silver import SKILLS, VOCATION
 from rankmart.sources.history import History
 from rankmart.sources.progressions import END, Progressions
-from rankmart.sources.tables import overwrite_partitions, replace_table
+from rankmart.sources.tables import (
+    SHORT_ROW_GROUP_BYTES,
+    overwrite_partitions,
+    replace_table,
+)
 
 
 def refresh_marts(
@@ -23,15 +27,15 @@ def refresh_marts(
     """Write all five marts and return their tables. A failure raises.
 
     The two rankings replace the snapshot of ``as_of``'s day and keep other days; their
-    tables exist already. The other marts are replaced, below ``location``.
+    tables exist already. They lie by rank, so that a read of the first ranks passes over the rest. The other marts are replaced, below ``location``.
     """
     names = {}
-    for mart, rows in (
-        ("experience_global_rank", gold.experience_global_rank(vocation, as_of)),
-        ("skills_global_rank", gold.skills_global_rank(skills, as_of)),
+    for mart, rows, order in (
+        ("experience_global_rank", gold.experience_global_rank(vocation, as_of), ["rank"]),
+        ("skills_global_rank", gold.skills_global_rank(skills, as_of), ["skill_name", "rank"]),
     ):
         names[mart] = f"{database}.{mart}"
-        overwrite_partitions(rows, names[mart])
+        overwrite_partitions(rows, names[mart], order, SHORT_ROW_GROUP_BYTES)
     for mart, rows in (
         ("world_summary", gold.world_summary(vocation, as_of)),
         ("player_progression", gold.player_progression(vocation, as_of)),

@@ -24,13 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from rankmart.plans.views import search
-from rankmart.sources.tables import COMPRESSION, table_at
+from rankmart.sources.tables import COMPRESSION, SHORT_ROW_GROUP_BYTES, table_at
 
 GRAM, NAME, PART = "gram", "name", "part"
 LONGEST = 3
 PARTS = 64
-#: Smaller than Spark's default, so that a frequent gram does not share its row group with many.
-ROW_GROUP_BYTES = 8 << 20
 
 
 def grams(text: Column) -> Column:
@@ -81,7 +79,7 @@ class NameIndex:
         (
             sized.sortWithinPartitions(PART, GRAM, NAME)
             .write.option("compression", COMPRESSION)
-            .option("parquet.block.size", ROW_GROUP_BYTES)
+            .option("parquet.block.size", SHORT_ROW_GROUP_BYTES)
             .insertInto(self.table)
         )
 

@@ -1168,6 +1168,15 @@ def append_batches(spark, sf_dir):
     return spark.table(name)
 
 
+@query(f"""WITH {o.SNAPSHOTS} SELECT * FROM snapshots
+WHERE snapshot_date = DATE '2024-01-20' AND rank <= 25""")
+def first_ranks(spark, sf_dir):
+    """The first ranks of a day, from a mart that lies by rank."""
+    name = _new_table(spark, _RANK_TABLE, "snapshot_date")
+    tables.overwrite_partitions(s.snapshots(spark, sf_dir), name, within=["rank", "name"])
+    return views.ranking_view(spark.table(name), top=25, snapshot="2024-01-20")
+
+
 @query(f"""WITH {o.SNAPSHOTS} SELECT * REPLACE (
   CASE WHEN snapshot_date = (SELECT max(snapshot_date) FROM snapshots) THEN upper(vocation)
     ELSE vocation END AS vocation)

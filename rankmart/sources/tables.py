@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from hashlib import sha256
+from urllib.parse import unquote
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -15,6 +16,10 @@ from rankmart.operators.conform import backfill, evolve
 from rankmart.sources.domain import TABLES
 
 MAX_ROWS_PER_FILE = 500_000
+#: Parquet's own default.
+ROW_GROUP_BYTES = 128 << 20
+#: For tables whose readers ask for a short range of sorted rows.
+SHORT_ROW_GROUP_BYTES = 8 << 20
 COMPRESSION = "snappy"
 
 
@@ -89,6 +94,14 @@ def _sized(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *by) if by else df
 
 
+def _clustered(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows by ranges of ``order``, sorted: a large partition spans several tasks.
+
+    Spark samples the rows for this, so the last stage before is run twice.
+    """
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def _partitions(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
@@ -109,14 +122,20 @@ def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def _insert(df: DataFrame, table: str, overwrite: bool) -> int:
+def _insert(
+    df: DataFrame, table: str, overwrite: bool, within: Sequence[str], row_group_bytes: int
+) -> int:
     spark = df.sparkSession
     counted = Observation()
-    rows = _sized(_like_table(df, table), _partitions(spark, table))
+    by = _partitions(spark, table)
+    rows = _like_table(df, table)
+    # Counted behind the shuffle: what lies before is also run to sample the ranges.
+    rows = _clustered(rows, [*by, *within]) if within else _sized(rows, by)
     writer = (
         rows.observe(counted, F.count(F.lit(1)).alias("rows"))
         .write.option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
         .option("compression", COMPRESSION)
+        .option("parquet.block.size", row_group_bytes)
     )
     # The static default would replace every partition of the table, and an insert
     # reads this mode from the session only.
@@ -125,32 +144,88 @@ def _insert(df: DataFrame, table: str, overwrite: bool) -> int:
     return counted.get["rows"]
 
 
-def append_batch(df: DataFrame, table: str) -> int:
-    """Append rows to an existing table and return how many there were."""
-    return _insert(df, table, overwrite=False)
+def append_batch(
+    df: DataFrame,
+    table: str,
+    within: Sequence[str] = (),
+    row_group_bytes: int = ROW_GROUP_BYTES,
+) -> int:
+    """Append rows to an existing table and return how many there were.
+
+    With ``within``, rows of a partition are dealt to files by ranges of these columns and lie
+    sorted in them, so that the smallest and largest values that Parquet keeps let a filter
+    on the first of them pass over files and row groups. Name columns that make rows differ:
+    equal values go to one task.
+    """
+    return _insert(df, table, False, within, row_group_bytes)
 
 
-def overwrite_partitions(df: DataFrame, table: str) -> int:
-    """Replace only the partitions that occur in ``df``; return the rows written."""
-    return _insert(df, table, overwrite=True)
+def overwrite_partitions(
+    df: DataFrame,
+    table: str,
+    within: Sequence[str] = (),
+    row_group_bytes: int = ROW_GROUP_BYTES,
+) -> int:
+    """Replace only the partitions that occur in ``df``; return the rows written.
+
+    ``within`` is as for :func:`append_batch`.
+    """
+    return _insert(df, table, True, within, row_group_bytes)
 
 
-def _has_columns(spark: SparkSession, table: str, folder: str) -> bool:
-    """Whether a table without partitions has the columns of the files in ``folder``."""
-    if not spark.catalog.tableExists(table) or _partitions(spark, table):
+def _columns(schema: StructType, by: Sequence[str]) -> list[tuple[str, str]]:
+    """Names and types, those of the partitions last."""
+    fields = sorted(schema.fields, key=lambda f: f.name in by)
+    return [(f.name, f.dataType.simpleString()) for f in fields]
+
+
+def _has_columns(df: DataFrame, table: str, by: Sequence[str]) -> bool:
+    """Whether a table there has the columns and partitions of ``df``."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table) or _partitions(spark, table) != list(by):
         return False
-    return spark.table(table).schema.simpleString() == (
-        spark.read.parquet(folder).schema.simpleString()
-    )
+    return _columns(spark.table(table).schema, by) == _columns(df.schema, by)
+
+
+def _literal(value: str | None) -> str:
+    if value is None:
+        return "null"
+    quoted = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{quoted}'"
+
+
+def _folders(rows: DataFrame, by: Sequence[str]) -> dict[str, str]:
+    """The partitions of files just written, as SQL names them, and where each lies."""
+    values = [F.col(c).cast("string").alias(c) for c in by]
+    files = rows.select(*values, F.col("_metadata.file_path").alias("_file"))
+    found = files.groupBy(*by).agg(F.min("_file").alias("_file")).collect()
+    return {
+        ", ".join(f"`{c}` = {_literal(row[c])}" for c in by): unquote(
+            row["_file"].rpartition("/")[0]
+        )
+        for row in found
+    }
+
+
+def _point(spark: SparkSession, table: str, partition: str, folder: str | None) -> None:
+    """Point one partition of a table at a folder, or at none."""
+    if folder is None:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition})")
+        return
+    place = _literal(folder)
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({partition}) LOCATION {place}")
+    spark.sql(f"ALTER TABLE {table} PARTITION ({partition}) SET LOCATION {place}")
 
 
 def replace_table(df: DataFrame, table: str, path: str, by: Sequence[str] = ()) -> None:
     """Make ``table`` the rows of ``df``, which may read the table itself.
 
     The rows go to a new folder below ``path``; then the name is pointed at it. Files
-    of the replaced version stay for readers that still use them. Where the columns are
-    the same and there are no partitions the name stays all the while; else the table is
-    dropped and created anew.
+    of the replaced version stay for readers that still use them. Where columns and
+    partitions are the same the name stays all the while; else the table is dropped and
+    created anew. Partitions are pointed at their new folders one by one: a reader finds each
+    of them old or new, never missing, and one that has no rows any more goes last. A step
+    that died before left the table as it was; one that died in between is repeated.
     """
     spark = df.sparkSession
     folder = f"{path}/version={uuid4().hex}"
@@ -160,20 +235,36 @@ def replace_table(df: DataFrame, table: str, path: str, by: Sequence[str] = ())
         .option("compression", COMPRESSION)
     )
     (writer.partitionBy(*by) if by else writer).parquet(folder)
-    if not by and _has_columns(spark, table, folder):
+    if _has_columns(df, table, by):
+        if by:
+            fresh = _folders(spark.read.schema(df.schema).parquet(folder), by)
+            for partition, place in fresh.items():
+                _point(spark, table, partition, place)
+            moved = F.col("_metadata.file_path").contains(folder.rpartition("/")[2])
+            for partition in _folders(spark.table(table).filter(~moved), by):
+                _point(spark, table, partition, None)
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
         return
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.catalog.createTable(table, path=folder, source="parquet")
-    if by:
-        spark.catalog.recoverPartitions(table)
+    if not by:
+        spark.catalog.createTable(table, path=folder, source="parquet")
+        return
+    # Types as in the rows; read off folder names, a text of digits would become a number.
+    columns = ", ".join(f"`{name}` {type_}" for name, type_ in _columns(df.schema, by))
+    names = ", ".join(f"`{c}`" for c in by)
+    spark.sql(
+        f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({names}) "
+        f"LOCATION '{folder}'"
+    )
+    spark.catalog.recoverPartitions(table)
 
 
 def backfill_table(
     spark: SparkSession, table: str, column: str, value: Column, path: str
 ) -> None:
     """Fill the NULLs of a column of a table."""
-    replace_table(backfill(spark.table(table), column, value), table, path)
+    rows = backfill(spark.table(table), column, value)
+    replace_table(rows, table, path, _partitions(spark, table))
 
 
 def evolve_table(
@@ -185,7 +276,8 @@ def evolve_table(
 ) -> None:
     """Add columns in place; dropping rewrites the table."""
     if drop:
-        replace_table(evolve(spark.table(table), add, drop), table, path)
+        by = [c for c in _partitions(spark, table) if c not in drop]
+        replace_table(evolve(spark.table(table), add, drop), table, path, by)
         return
     for name, type_ in (add or {}).items():
         if name not in spark.table(table).columns:

@@ -50,6 +50,27 @@ def test_only_written_partitions_are_replaced(spark, tmp_path, rows, name):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
 
 
+def test_a_filter_on_the_order_of_a_table_passes_over_row_groups(spark, tmp_path, rows, name):
+    columns = "rank bigint, name string, day int"
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (day) "
+              f"LOCATION '{tmp_path}'")
+    # Day 1 holds nearly all rows, in no order.
+    ranks = spark.range(200_000).select(
+        (F.col("id") * 7919 % 200_000 + 1).alias("rank"),
+        F.md5(F.col("id").cast("string")).alias("name"),
+        F.when(F.col("id") < 50, 2).otherwise(1).alias("day"),
+    )
+    written = tables.overwrite_partitions(ranks, name, ["rank"], row_group_bytes=256 << 10)
+    assert written == 200_000
+    assert rows(spark.table(name).groupBy("day").count()) == rows(ranks.groupBy("day").count())
+    first = spark.table(name).filter("day = 1 AND rank <= 100")
+    expected = ranks.filter("day = 1 AND rank <= 100")
+    assert rows(first, "rank", "name") == rows(expected, "rank", "name")
+    first.collect()
+    scan = first._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.metrics().apply("numOutputRows").value() < 200_000 / 8
+
+
 def test_replace_backfill_and_evolve(spark, tmp_path, rows, name):
     path = str(tmp_path)
     tables.replace_table(spark.createDataFrame([(1, AT[0])], "a int, at timestamp"), name, path)
@@ -76,6 +97,52 @@ def test_partitioned_replace(spark, tmp_path, rows, name):
     assert rows(spark.table(name).filter("p = 'y'"), "a") == [(2,)]
 
 
+def test_a_reader_finds_every_partition_while_they_are_replaced(
+    spark, tmp_path, rows, name, monkeypatch
+):
+    values = ["01", "x y", "a/b", "it's", "50%", "c=d", "null", None]
+    schema = "a int, p string, q int"
+
+    def version(number, kept):
+        return spark.createDataFrame([(number, p, 1) for p in kept], schema)
+
+    tables.replace_table(version(1, values), name, str(tmp_path), by=["p", "q"])
+    assert rows(spark.table(name), "a", "p") == rows(version(1, values), "a", "p")
+
+    def died(*_):
+        raise RuntimeError("died")
+
+    with monkeypatch.context() as patched, pytest.raises(RuntimeError):
+        patched.setattr(tables, "_point", died)
+        tables.replace_table(version(9, values), name, str(tmp_path), by=["p", "q"])
+    assert rows(spark.table(name), "a", "p") == rows(version(1, values), "a", "p")
+
+    seen, point = [], tables._point
+
+    def watched(*call):
+        point(*call)
+        seen.append([tuple(r) for r in spark.table(name).select("p", "a").collect()])
+
+    later = [*values[1:6], "new"]
+    monkeypatch.setattr(tables, "_point", watched)
+    tables.replace_table(version(2, later), name, str(tmp_path), by=["p", "q"])
+    assert len(seen) == len(later) + 3
+    for read in seen:
+        found = dict(read)
+        assert len(found) == len(read) and set(values[1:6]) <= set(found)
+        assert set(found.values()) <= {1, 2}
+    assert rows(spark.table(name), "a", "p") == rows(version(2, later), "a", "p")
+    # Filled in and without a column, it keeps its partitions.
+    tables.backfill_table(spark, name, "p", F.lit("none"), str(tmp_path))
+    tables.evolve_table(spark, name, str(tmp_path), drop=["q"])
+    assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["p"]
+    assert rows(spark.table(name), "a", "p") == rows(version(2, later), "a", "p")
+    tables.evolve_table(spark, name, str(tmp_path), add={"q": "int"})
+    # From the table itself, to no rows at all.
+    tables.replace_table(spark.table(name).filter("a > 5"), name, str(tmp_path), by=["p"])
+    assert spark.table(name).isEmpty()
+
+
 def batch(spark, *players):
     return spark.createDataFrame(
         [(n, "w", "knight", level, 1, "open", AT[0]) for n, level in players],
