@@ -35,6 +35,7 @@ from rankmart.sources.domain import (
     category_domain,
     dim_category,
     dim_vocation,
+    dim_world_type,
     unknown_values,
     with_dimension,
 )
@@ -990,6 +991,28 @@ def dimension_labels(spark, sf_dir):
     return with_dimension(labelled, dim_vocation(spark), "vocation_id")
 
 
+@query(f"""WITH world_type(world_type, world_type_id) AS (VALUES {_values(WORLD_TYPES.items())})
+SELECT c_custkey, world_type_id, world_type
+FROM (SELECT c_custkey, CAST(c_nationkey % 7 AS INTEGER) AS world_type_id FROM customer)
+LEFT JOIN world_type USING (world_type_id)""")
+def world_type_labels(spark, sf_dir):
+    """World type numbers to their names; unknown numbers stay, unlabelled."""
+    customers = table(spark, sf_dir, "customer").select(
+        "c_custkey", (F.col("c_nationkey") % 7).cast("int").alias("world_type_id")
+    )
+    return with_dimension(customers, dim_world_type(spark), "world_type_id")
+
+
+@query(f"""WITH {_DIMENSIONS} SELECT event_id, category_key FROM (
+  SELECT event_id, CASE WHEN user_id % 3 = 0 THEN 'fishing' ELSE event_type END AS category_key
+  FROM events) WHERE category_key NOT IN (SELECT category_key FROM category)""")
+def categories_to_add(spark, sf_dir):
+    """Rows whose category the dimension does not know."""
+    key = F.when(F.col("user_id") % 3 == 0, "fishing").otherwise(F.col("event_type"))
+    events = table(spark, sf_dir, "events").select("event_id", key.alias("category_key"))
+    return unknown_values(events, "category_key", list(CATEGORIES))
+
+
 # --- storage ------------------------------------------------------------------
 
 MIDNIGHT = datetime(2024, 2, 1)

@@ -143,8 +143,8 @@ def test_a_snapshot_read_is_pruned(spark, two_days):
 def test_only_current_versions_are_listed(two_days):
     vocation, _ = two_days
     files = vocation.current().inputFiles()
-    assert files and all("version=2/is_current=true" in f for f in files)
-    assert any("is_current=false" in f for f in vocation.state().inputFiles())
+    assert files and all("/closed=current/" in f for f in files)
+    assert any("/closed=current/" not in f for f in vocation.state().inputFiles())
 
 
 def test_apply_keeps_the_schema(two_days):
