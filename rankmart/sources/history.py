@@ -37,7 +37,7 @@ from rankmart.operators.scd2 import (
     scd2_merge,
     scd2_open,
 )
-from rankmart.sources.tables import put_partitions, table_at
+from rankmart.sources.tables import overwrite_partitions, put_partitions, table_at
 
 BUCKETS = 8
 KEY, BUCKET, CLOSED = "key_hash", "bucket", "closed"
@@ -195,4 +195,5 @@ class History:
         """
         touched = self._touched(self._keyed(batches))
         if touched:
-            put_partitions(self.rewritten(batches, batch, touched), self.table)
+            # Gathered by partition: every task holds rows of many.
+            overwrite_partitions(self.rewritten(batches, batch, touched), self.table)

@@ -5,6 +5,11 @@ Rows pass a stateful step that lets equal rows of one extraction through once wi
 once. Its clock is the arrival, not the extraction: however old a file is, it is never too
 late for it, and the state stays bounded.
 
+A call is two streams. The first takes the files, in as many micro-batches as ``max_files``
+asks for, and only stores the rows that pass (``<checkpoint>/arrived``, Spark's file sink). The
+second loads all that has arrived since the last load, once: however many micro-batches the files
+came in, bronze and the history are rewritten one time.
+
 Bronze is a table of partitions (``late``, ``ingestion_date``). Rows extracted no later than
 what bronze already holds are *late* and go to partitions of their own. Rows in time continue
 the current versions; the keys of late rows are versioned anew from all their bronze rows. Both
@@ -81,7 +86,8 @@ def landing_stream(
 def once(rows: DataFrame, within: str = REPEATS) -> DataFrame:
     """A stream without rows that repeat an earlier one of the same extraction."""
     content = [c for c in rows.columns if c != "source_file"]
-    seen = rows.withColumns({"_arrived": F.current_timestamp(), "_row": hash_diff(content)})
+    row = F.unhex(hash_diff(content))
+    seen = rows.withColumns({"_arrived": F.current_timestamp(), "_row": row})
     kept = seen.withWatermark("_arrived", within).dropDuplicatesWithinWatermark(["_row"])
     return kept.drop("_arrived", "_row")
 
@@ -133,37 +139,47 @@ def ingest_available(
 
     Each row takes effect at the time its file was extracted, however late the file
     arrives and however files are dealt to micro-batches, so the history is that of all
-    files in one pass.
+    files in one pass. What a call that died left behind is taken by the next one.
     """
     _, _, to_bronze, keys = _STREAMS[domain]
 
-    def load(files: DataFrame, number: int) -> None:
-        session = files.sparkSession
-        # The stateful step runs once: what it lets through is stored.
-        arrived = files.withColumn("landed", landed_at())
-        rows = _written(to_bronze(arrived, f"{domain}-{number}", "landed"), "rows")
+    def load(arrived: DataFrame, number: int) -> None:
+        session = arrived.sparkSession
+        landed = arrived.withColumn("landed", landed_at())
+        rows = _written(to_bronze(landed, f"{domain}-{number}", "landed"), "rows")
         if rows.isEmpty():
             return
         table = bronze_table(session, bronze_path, domain)
         rows = add_to_bronze(rows, table, keys)
         history = DOMAINS[domain].history(session, history_root)
-        late = rows.filter("late").select(*keys).distinct()
+        late = _written(rows.filter("late").select(*keys).distinct(), "late-keys")
         if late.isEmpty():
             history.catch_up(rows, "ingestion_time")
             return
         r, t = rows.alias("r"), late.alias("t")
-        in_time = r.join(t, same_key("r", "t", keys), "left_anti")
+        in_time = _written(r.join(t, same_key("r", "t", keys), "left_anti"), "in-time")
         history.catch_up(in_time, "ingestion_time")
         known = session.table(table).alias("r").join(t, same_key("r", "t", keys), "left_semi")
         batches = dedup(known.drop("late"), [*keys, "ingestion_time"], ["ingestion_time"])
         history.rewrite(_written(batches, "late"), "ingestion_time")
 
-    query = (
-        once(landing_stream(spark, root, domain, max_files))
+    rows = once(landing_stream(spark, root, domain, max_files))
+    arrived = f"{checkpoint}/arrived"
+    taken = (
+        rows.writeStream.format("parquet")
+        .option("checkpointLocation", f"{checkpoint}/files")
+        .trigger(availableNow=True)
+        .start(arrived)
+    )
+    taken.awaitTermination()
+    # Without a limit on files, one micro-batch has all that arrived.
+    loaded = (
+        spark.readStream.schema(rows.schema)
+        .parquet(arrived)
         .writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", f"{checkpoint}/loads")
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+    loaded.awaitTermination()
     return DOMAINS[domain].history(spark, history_root)

@@ -458,3 +458,26 @@ def test_ingest_of_skills(spark, tmp_path):
     )
     assert history.state().count() == 2
     assert history.state().schema == SKILLS.schema
+
+
+def test_many_micro_batches_are_loaded_once(spark, tmp_path, monkeypatch):
+    """Late files, one a micro-batch: the history is written anew one time, not once for each."""
+    root, day = str(tmp_path / "landing"), timedelta(days=1)
+    calls = []
+    rewrite = History.rewrite
+    monkeypatch.setattr(History, "rewrite", lambda *a: (calls.append(1), rewrite(*a)))
+
+    def ingest(max_files):
+        return ingest_available(
+            spark, root, "vocation", str(tmp_path / "bronze"), str(tmp_path / "silver"),
+            str(tmp_path / "checkpoint"), max_files,
+        )
+
+    land(spark, root, AT[0], ("a", 1))
+    land(spark, root, AT[0] + 20 * day, ("a", 50))
+    ingest(None)
+    for n in range(1, 5):
+        land(spark, root, AT[0] + n * day, ("a", 1 + n))
+    state = spans(ingest(1).state())
+    assert [s[1] for s in state] == [1, 2, 3, 4, 5, 50]
+    assert len(calls) == 1
