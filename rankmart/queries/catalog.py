@@ -1107,6 +1107,7 @@ def extra_from_files(spark, sf_dir):
         base=f"{root}/extra",
     )
     batches = bronze.bronze_extra(raw.withColumn("landed", landed_at()), "all", "landed")
+    batches = _stored(batches, "bronze")
     versions = scd2.scd2_from_batches(batches, EXTRA.keys, EXTRA.tracked, "ingestion_time")
     return _plain(versions.select(*s.extra_state(spark, sf_dir).columns))
 

@@ -170,10 +170,20 @@ def headers(spark: SparkSession, path: str) -> DataFrame:
     return whole_files(spark, path).select("source_file", header).filter("header IS NOT NULL")
 
 
-def _cells(line: Column) -> Column:
-    """The values of a CSV line in order; null where it has no more."""
+def _cells(line: Column, columns: Column | None = None) -> Column:
+    """The values of a CSV line in order; null where it has no more.
+
+    ``columns`` is how many a line of the file should have. Such a line is filled up with
+    empty values, as Spark raises and catches an error for each that is short; one with
+    an open quote or an escape is left as it is.
+    """
+    if columns is not None:
+        whole = (F.regexp_count(line, F.lit('"')) % 2 == 0) & ~F.contains(line, F.lit("\\"))
+        filled = F.concat(line, F.repeat(F.lit(","), F.lit(MAX_COLUMNS) - columns))
+        line = F.when(whole, filled).otherwise(line)
     names = [f"c{k}" for k in range(MAX_COLUMNS)]
-    parsed = F.from_csv(line, ", ".join(f"{n} string" for n in names))
+    # Without an option, Spark would parse the line once for each value that is taken from it.
+    parsed = F.from_csv(line, ", ".join(f"{n} string" for n in names), {"mode": "PERMISSIVE"})
     return F.array(*[parsed[n] for n in names])
 
 
@@ -206,15 +216,18 @@ def named_lines(
     split = files.withColumn("_lines", _first_lines(F.col("value"))).withColumn("_names", names)
     split = split.withColumn("_names", checked)
     folders = [c for c in files.columns if c != "value"]
+    # Where each name stands is found once a file, not once a line.
+    wanted = {n: [n, *old.get(n, [])] for n in columns}
+    places = {n: f"_at_{k}" for k, n in enumerate(dict.fromkeys(sum(wanted.values(), [])))}
     rows = split.select(
-        *folders, "_names", F.explode(F.slice(lines, 2, F.size(lines))).alias("_line")
-    ).withColumn("_cells", _cells(F.col("_line")))
+        *folders,
+        *[(F.array_position("_names", F.lit(n)) - 1).cast("int").alias(p) for n, p in places.items()],
+        F.size(given).alias("_columns"),
+        F.explode(F.slice(lines, 2, F.size(lines))).alias("_line"),
+    ).withColumn("_cells", _cells(F.col("_line"), F.col("_columns")))
 
     def value(name: str) -> Column:
-        found = [
-            F.get("_cells", F.array_position("_names", F.lit(n)).cast("int") - 1)
-            for n in [name, *old.get(name, [])]
-        ]
+        found = [F.get("_cells", F.col(places[n])) for n in wanted[name]]
         if name in folders:
             found.append(F.col(name).cast("string"))
         return F.coalesce(*found)

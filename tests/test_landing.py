@@ -5,11 +5,13 @@ from datetime import date, datetime
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from rankmart.operators.conform import conform
 from rankmart.plans.bronze import EXTRA_COLUMNS, SYNONYMS, bronze_extra
 from rankmart.sources.domain import category_domain, dim_category, unknown_values, vocation_id
 from rankmart.sources.landing import (
+    _cells,
     headers,
     load_history,
     log_load,
@@ -116,3 +118,25 @@ def test_conform_is_typed(spark):
         ("title", "string"),
         ("id", "int"),
     ]
+
+
+def test_a_line_is_parsed_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Name,Score\na,1\n")
+    df = read_heterogeneous_csv(spark, str(tmp_path), {"name": "string", "points": "string"})
+    plan = json.loads(df._jdf.queryExecution().optimizedPlan().toJSON())
+    text = json.dumps(plan)
+    # Spark narrows a parse to the one value that is taken from it: one parse for each value.
+    assert "CsvToStructs" in text and '"requiredSchema"' not in text.replace(
+        '"requiredSchema": null', ""
+    )
+
+
+def test_filling_up_a_line_changes_no_value(spark):
+    lines = [
+        "a,b,c", "a", "", "a,b,c,d,e", ",,", 'a,"1,234",c', 'a,"x""y",c', 'a,"open,c', 'a,b"c"d,e',
+        '"a\\",b,c', "a\\,b,c", " a , b , c ", 'a,b,"c" ', 'a,"b" x,c', ",".join(map(str, range(70))),
+    ]
+    df = spark.createDataFrame([(line,) for line in lines], "line string")
+    found = df.select("line", _cells(F.col("line")).alias("l"), _cells(F.col("line"), F.lit(3)).alias("r"))
+    for row in found.collect():
+        assert row["l"] == row["r"], row["line"]
