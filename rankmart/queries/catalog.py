@@ -1073,11 +1073,12 @@ def landed_folders(spark, sf_dir):
 
 
 _EXTRA_TEXT = ["Name", "Vocation", "World", "Category"]
+_EXTRA_VERSION = [*EXTRA.keys, *EXTRA.tracked, *scd2.VERSION_COLUMNS]
 
 
-def _land_extra(spark, sf_dir, root, part=None):
-    """Extra rankings as files with two headers."""
-    daily = s.daily_extra(spark, sf_dir).select(
+def _land_extra(observed, root, part=None):
+    """Extra rankings as files with two headers; ``observed`` is a stored table."""
+    daily = observed.select(
         *[F.col(c.lower()).alias(c) for c in _EXTRA_TEXT],
         F.col("title").alias("Title"),
         F.format_number("points", 0).alias("Points"),
@@ -1098,7 +1099,7 @@ def _land_extra(spark, sf_dir, root, part=None):
 def extra_from_files(spark, sf_dir):
     """From files with two headers to bronze rows and the versions of their keys."""
     root = scratch_path(spark, "landing")
-    _land_extra(spark, sf_dir, root)
+    _land_extra(_stored(s.daily_extra(spark, sf_dir), "daily"), root)
     raw = landing.read_heterogeneous_csv(
         spark,
         f"{root}/extra/year=*/month=*/day=*/*/*",
@@ -1109,7 +1110,7 @@ def extra_from_files(spark, sf_dir):
     batches = bronze.bronze_extra(raw.withColumn("landed", landed_at()), "all", "landed")
     batches = _stored(batches, "bronze")
     versions = scd2.scd2_from_batches(batches, EXTRA.keys, EXTRA.tracked, "ingestion_time")
-    return _plain(versions.select(*s.extra_state(spark, sf_dir).columns))
+    return _plain(versions.select(*_EXTRA_VERSION))
 
 
 @query("""SELECT 'landing' AS layer, event_type AS subcategory, 'SUCCESS' AS status,
@@ -1405,15 +1406,15 @@ def late_ingest(spark, sf_dir):
 def extra_ingest(spark, sf_dir):
     """Files with two headers as a stream; some days are delivered twice, some arrive last."""
     root, place = scratch_path(spark, "landing"), scratch_path(spark, "ingest")
+    daily = _stored(s.daily_extra(spark, sf_dir), "daily")
     number = F.dayofmonth("day")
     history = None
     for part in (number <= 8, number.between(6, 8) | (number >= 19), number.between(9, 18)):
-        _land_extra(spark, sf_dir, root, part)
+        _land_extra(daily, root, part)
         history = ingest_available(
             spark, root, "extra", f"{place}/bronze", f"{place}/silver", f"{place}/checkpoint"
         )
-    columns = s.extra_state(spark, sf_dir).columns
-    return _plain(history.state().select(*columns))
+    return _plain(history.state().select(*_EXTRA_VERSION))
 
 
 def _seen_events(spark, sf_dir):

@@ -170,21 +170,40 @@ def headers(spark: SparkSession, path: str) -> DataFrame:
     return whole_files(spark, path).select("source_file", header).filter("header IS NOT NULL")
 
 
-def _cells(line: Column, columns: Column | None = None) -> Column:
-    """The values of a CSV line in order; null where it has no more.
+def _split_cells(line: Column) -> Column:
+    """The values of a line that commas alone divide; null for any other line.
 
-    ``columns`` is how many a line of the file should have. Such a line is filled up with
-    empty values, as Spark raises and catches an error for each that is short; one with
-    an open quote or an escape is left as it is.
+    Spark's CSV parser costs several times as much, and makes ``MAX_COLUMNS`` values of
+    every line. A line has no more than these here either.
     """
+    plain = ~line.rlike(r'["\\\x00-\x1f]')
+    cells = F.transform(F.split(line, ",", MAX_COLUMNS + 1), lambda c: F.nullif(c, F.lit("")))
+    return F.when(plain, F.slice(cells, 1, MAX_COLUMNS))
+
+
+def _parsed_cells(line: Column, columns: Column | None = None) -> Column:
+    """The values of a CSV line in order as a struct; see :func:`_cells`."""
     if columns is not None:
         whole = (F.regexp_count(line, F.lit('"')) % 2 == 0) & ~F.contains(line, F.lit("\\"))
         filled = F.concat(line, F.repeat(F.lit(","), F.lit(MAX_COLUMNS) - columns))
         line = F.when(whole, filled).otherwise(line)
     names = [f"c{k}" for k in range(MAX_COLUMNS)]
     # Without an option, Spark would parse the line once for each value that is taken from it.
-    parsed = F.from_csv(line, ", ".join(f"{n} string" for n in names), {"mode": "PERMISSIVE"})
-    return F.array(*[parsed[n] for n in names])
+    return F.from_csv(line, ", ".join(f"{n} string" for n in names), {"mode": "PERMISSIVE"})
+
+
+def _cells(line: Column, columns: Column | None = None) -> Column:
+    """The values of a CSV line in order; null where it has no more.
+
+    ``columns`` is how many a line of the file should have. Such a line is filled up with
+    empty values, as Spark raises and catches an error for each that is short; one with
+    an open quote or an escape is left as it is.
+    """
+    return _listed(_parsed_cells(line, columns))
+
+
+def _listed(parsed: Column) -> Column:
+    return F.array(*[parsed[f"c{k}"] for k in range(MAX_COLUMNS)])
 
 
 def named_lines(
@@ -224,7 +243,14 @@ def named_lines(
         *[(F.array_position("_names", F.lit(n)) - 1).cast("int").alias(p) for n, p in places.items()],
         F.size(given).alias("_columns"),
         F.explode(F.slice(lines, 2, F.size(lines))).alias("_line"),
-    ).withColumn("_cells", _cells(F.col("_line"), F.col("_columns")))
+    )
+    # The parser sees only the lines that need it. Each step is a column of its own, or
+    # Spark would parse a line anew for every value of it.
+    rows = rows.withColumn("_split", _split_cells(F.col("_line")))
+    rest = F.when(F.col("_split").isNull(), F.col("_line"))
+    rows = rows.withColumn("_parsed", _parsed_cells(rest, F.col("_columns")))
+    listed = F.when(F.col("_split").isNull(), _listed(F.col("_parsed")))
+    rows = rows.withColumn("_cells", F.coalesce("_split", listed))
 
     def value(name: str) -> Column:
         found = [F.get("_cells", F.col(places[n])) for n in wanted[name]]

@@ -81,7 +81,7 @@ def put_partitions(df: DataFrame, table: str) -> None:
     """
     rows = _like_table(df, table)
     writer = rows.write.option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
-    with _setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    with setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         writer.option("compression", COMPRESSION).insertInto(table, overwrite=True)
 
 
@@ -113,13 +113,17 @@ def _like_table(df: DataFrame, table: str) -> DataFrame:
 
 
 @contextmanager
-def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(name)
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """Another value of a session setting for a while."""
+    before = spark.conf.get(name, None)
     spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def _insert(
@@ -139,7 +143,7 @@ def _insert(
     )
     # The static default would replace every partition of the table, and an insert
     # reads this mode from the session only.
-    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         writer.insertInto(table, overwrite=overwrite)
     return counted.get["rows"]
 

@@ -3,7 +3,10 @@
 Rows pass a stateful step that lets equal rows of one extraction through once within
 ``REPEATS`` of their arrival, so a file that is delivered twice, under whatever name, counts
 once. Its clock is the arrival, not the extraction: however old a file is, it is never too
-late for it, and the state stays bounded.
+late for it, and the state stays bounded. It has a hash of every row of these days, so it lies
+in RocksDB, beside the heap of the executors; what has expired leaves with the next files, not
+in a micro-batch of its own that goes through all of it. While the stream starts, the session's
+settings of the two are changed.
 
 A call is two streams. The first takes the files, in as many micro-batches as ``max_files``
 asks for, and only stores the rows that pass (``<checkpoint>/arrived``, Spark's file sink). The
@@ -20,6 +23,7 @@ lost checkpoint, repeats nothing and loses nothing.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import ExitStack
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +47,7 @@ from rankmart.session import scratch_path
 from rankmart.sources.domain import EXPERIENCE_HEADER, SKILLS_HEADER, TABLES
 from rankmart.sources.history import History
 from rankmart.sources.landing import ORIGIN, named_lines, with_origin
-from rankmart.sources.tables import overwrite_partitions, table_at
+from rankmart.sources.tables import overwrite_partitions, setting, table_at
 
 # domain: (landing folder, header or None where files differ, bronze step, key)
 _STREAMS: dict[str, tuple[str, list[str] | None, Callable, list[str]]] = {
@@ -54,6 +58,13 @@ _STREAMS: dict[str, tuple[str, list[str] | None, Callable, list[str]]] = {
 
 _DAY = {"year": "int", "month": "int", "day": "int"}
 REPEATS = "7 days"
+_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
 
 
 def landed_at() -> Column:
@@ -107,7 +118,7 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 
 
 def add_to_bronze(rows: DataFrame, table: str, keys: list[str]) -> DataFrame:
-    """Adds rows to their partitions and returns them with ``late``.
+    """Adds rows, one per key and time, to their partitions and returns them with ``late``.
 
     Of rows with one key and time one stays, where it is.
     """
@@ -117,12 +128,18 @@ def add_to_bronze(rows: DataFrame, table: str, keys: list[str]) -> DataFrame:
     applied = newest.agg(F.max("ingestion_time")).first()[0] if last else None
     late = F.col("ingestion_time") <= F.lit(applied) if applied else F.lit(False)
     rows = rows.withColumn("late", late)
+    # Days that bronze does not have yet are written as they are.
     days = rows.select("ingestion_date").distinct()
-    held = bronze.join(days, "ingestion_date", "left_semi")
-    every = held.select(*bronze.columns).unionByName(rows.select(*bronze.columns))
-    every = every.withColumn("_in_time", ~F.col("late"))
-    one = dedup(every, [*keys, "ingestion_time", "ingestion_date"], ["_in_time"])
-    overwrite_partitions(one.drop("_in_time"), table)
+    met = bronze.select("ingestion_date").join(days, "ingestion_date", "left_semi").distinct()
+    met = [r[0] for r in met.collect()]
+    again = F.coalesce(F.col("ingestion_date").isin(met), F.lit(False))
+    one = rows.select(*bronze.columns)
+    if met:
+        every = bronze.filter(again).unionByName(one.filter(again))
+        every = every.withColumn("_in_time", ~F.col("late"))
+        merged = dedup(every, [*keys, "ingestion_time", "ingestion_date"], ["_in_time"])
+        one = merged.drop("_in_time").unionByName(one.filter(~again))
+    overwrite_partitions(one, table)
     return rows
 
 
@@ -165,12 +182,16 @@ def ingest_available(
 
     rows = once(landing_stream(spark, root, domain, max_files))
     arrived = f"{checkpoint}/arrived"
-    taken = (
+    files = (
         rows.writeStream.format("parquet")
         .option("checkpointLocation", f"{checkpoint}/files")
         .trigger(availableNow=True)
-        .start(arrived)
     )
+    # A stream keeps the settings that it started with.
+    with ExitStack() as settings:
+        for name, value in _STATE.items():
+            settings.enter_context(setting(spark, name, value))
+        taken = files.start(arrived)
     taken.awaitTermination()
     # Without a limit on files, one micro-batch has all that arrived.
     loaded = (

@@ -12,6 +12,7 @@ from rankmart.plans.bronze import EXTRA_COLUMNS, SYNONYMS, bronze_extra
 from rankmart.sources.domain import category_domain, dim_category, unknown_values, vocation_id
 from rankmart.sources.landing import (
     _cells,
+    _split_cells,
     headers,
     load_history,
     log_load,
@@ -140,3 +141,16 @@ def test_filling_up_a_line_changes_no_value(spark):
     found = df.select("line", _cells(F.col("line")).alias("l"), _cells(F.col("line"), F.lit(3)).alias("r"))
     for row in found.collect():
         assert row["l"] == row["r"], row["line"]
+
+
+def test_lines_without_quotes_are_split_without_the_parser(spark):
+    lines = [
+        "a,b,c", "a", "", " ", ",,", "a,b,c,d,e", " a , b , c ", "#a,b", "null,NULL", "a,\u00a0b",
+        "a;b|c,'d,e'", ",".join(map(str, range(64))), ",".join(map(str, range(70))), "," * 80,
+    ]
+    df = spark.createDataFrame([(line,) for line in lines], "line string")
+    found = df.select("line", _split_cells(F.col("line")).alias("l"), _cells(F.col("line")).alias("r"))
+    for row in found.collect():
+        assert row["l"] + [None] * (len(row["r"]) - len(row["l"])) == row["r"], row["line"]
+    others = spark.createDataFrame([('a,"b,c"',), ("a\\,b",), ("a\tb,c",)], "line string")
+    assert others.filter(_split_cells(F.col("line")).isNotNull()).isEmpty()

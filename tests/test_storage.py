@@ -11,6 +11,8 @@ from rankmart.sources import tables
 from rankmart.sources.history import History
 from rankmart.sources.domain import EXPERIENCE_HEADER, TABLES
 from rankmart.sources.landing import write_landing
+from rankmart.operators.dedup import dedup
+from rankmart.streaming import ingest
 from rankmart.streaming.ingest import ingest_available
 
 AT = [datetime(2024, 1, d, 6) for d in range(1, 8)]
@@ -481,3 +483,41 @@ def test_many_micro_batches_are_loaded_once(spark, tmp_path, monkeypatch):
     state = spans(ingest(1).state())
     assert [s[1] for s in state] == [1, 2, 3, 4, 5, 50]
     assert len(calls) == 1
+
+
+def test_new_days_are_added_to_bronze_without_another_pass(spark, tmp_path, monkeypatch):
+    """Only days that bronze has already are gone through for rows of one key and time."""
+    root, seen = str(tmp_path / "landing"), []
+    monkeypatch.setattr(ingest, "dedup", lambda df, *a: (seen.append(1), dedup(df, *a))[1])
+
+    def run():
+        return ingest_available(
+            spark, root, "vocation", str(tmp_path / "bronze"), str(tmp_path / "silver"),
+            str(tmp_path / "checkpoint"),
+        )
+
+    land(spark, root, AT[0], ("a", 1))
+    run()
+    land(spark, root, AT[1], ("a", 2))
+    run()
+    assert not seen
+    # One file of a day that is there, one of a new day.
+    land(spark, root, AT[1] + timedelta(hours=3), ("a", 3))
+    land(spark, root, AT[1] + timedelta(days=1), ("a", 4))
+    state = spans(run().state())
+    assert len(seen) == 1 and [s[1] for s in state] == [1, 2, 3, 4]
+    assert spark.read.parquet(str(tmp_path / "bronze")).count() == 4
+
+
+def test_the_rows_that_passed_lie_beside_the_heap(spark, tmp_path):
+    """State in RocksDB, one micro-batch for one set of files, and the session as before."""
+    root, checkpoint = str(tmp_path / "landing"), tmp_path / "checkpoint"
+    names = list(ingest._STATE)
+    before = [spark.conf.get(n, None) for n in names]
+    land(spark, root, AT[0], ("a", 1))
+    ingest_available(
+        spark, root, "vocation", str(tmp_path / "bronze"), str(tmp_path / "silver"), str(checkpoint)
+    )
+    (log,) = [p for p in (checkpoint / "files" / "offsets").iterdir() if p.name.isdigit()]
+    assert "RocksDBStateStoreProvider" in log.read_text()
+    assert [spark.conf.get(n, None) for n in names] == before
