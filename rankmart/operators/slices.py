@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -73,32 +74,48 @@ def sort_columns(order: Sequence[str]) -> list[Column]:
     ]
 
 
+def _stretches(order: Sequence[str]) -> list[tuple[bool, list[str]]]:
+    """The order columns by stretches of one direction: whether it descends, and the names."""
+    return [
+        (down, [order_name(k) for k in run])
+        for down, run in groupby(order, lambda k: k.startswith("-"))
+    ]
+
+
+def _places(order: Sequence[str]) -> dict[str, Column]:
+    """One struct for each stretch of the order."""
+    return {f"_place{i}": F.struct(*names) for i, (_, names) in enumerate(_stretches(order))}
+
+
 def _at_or_after(order: Sequence[str], cut: Column) -> Column:
-    """Whether the row sorts at or after ``cut``, under :func:`sort_columns`."""
-    result = F.lit(True)
-    for key in reversed(order):
-        name = order_name(key)
-        here, there = F.col(name), cut[name]
-        # The first comparison decides nearly always; only a NULL needs the second.
-        if key.startswith("-"):
-            beyond = F.coalesce(here < there, there.isNotNull() & here.isNull())
-        else:
-            beyond = F.coalesce(here > there, here.isNotNull() & there.isNull())
-        result = beyond | (here.eqNullSafe(there) & result)
-    return result
-
-
-def _slice_number(order: Sequence[str], most_cuts: int) -> Column:
-    """Binary search: the largest n such that the n-th cut is at or before the row."""
-    cuts = F.col(_CUTS)
-    steps = F.array(*[F.lit(1 << b) for b in reversed(range(most_cuts.bit_length()))])
-
-    def step(found: Column, width: Column) -> Column:
-        candidate = found + width
-        hit = (candidate <= F.size(cuts)) & _at_or_after(order, F.get(cuts, candidate - 1))
-        return F.when(hit, candidate).otherwise(found)
+    """Whether the row sorts at or after ``cut``, under :func:`sort_columns`; both have
+    :func:`_places`.
 
-    return F.when(cuts.isNotNull(), F.aggregate(steps, F.lit(0), step))
+    Structs compare field by field, NULLs first. Turned round, that is descending with
+    NULLs last.
+    """
+    result = None
+    for (down, _), place in reversed(list(zip(_stretches(order), _places(order)))):
+        low, high = (F.col(place), cut[place]) if down else (cut[place], F.col(place))
+        result = high >= low if result is None else (high > low) | ((high == low) & result)
+    return F.lit(True) if result is None else result
+
+
+def _with_slice_number(df: DataFrame, order: Sequence[str], most_cuts: int) -> DataFrame:
+    """Binary search: the largest n such that the n-th cut is at or before the row.
+
+    Each step is a column, so that it is compiled; a lambda would be interpreted. The result
+    passes a generator of one row: where a join asks what its key is made of, Spark would
+    write the steps into each other, which doubles the expression every time.
+    """
+    places, cuts = _places(order), F.col(_CUTS)
+    found = df.withColumns({**places, SLICE: F.lit(0)})
+    for bit in reversed(range(most_cuts.bit_length())):
+        candidate = F.col(SLICE) + F.lit(1 << bit)
+        hit = (candidate <= F.size(cuts)) & _at_or_after(order, F.get(cuts, candidate - 1))
+        found = found.withColumn(SLICE, F.when(hit, candidate).otherwise(F.col(SLICE)))
+    number = F.when(cuts.isNotNull(), F.col(SLICE))
+    return found.withColumn(SLICE, F.explode(F.array(number))).drop(*places)
 
 
 def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -141,16 +158,17 @@ def slice_rows(
         return Sliced(df, keys, order, hot=False)
 
     # At most sample size / step rows, i.e. about MAX_SLICES.
+    places = [place.alias(name) for name, place in _places(order).items()]
     cuts = (
         df.sparkSession.createDataFrame(frozen, schema=picked.schema)
         .groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-        .agg(F.array_sort(F.collect_list(F.struct("_pos", *names))).alias(_CUTS))
+        .agg(F.array_sort(F.collect_list(F.struct("_pos", *places))).alias(_CUTS))
     )
     if keys:
         marked = df.join(F.broadcast(cuts), _same_keys(df, cuts, keys), "left")
     else:
         marked = df.withColumn(_CUTS, cuts.scalar())
-    sliced = marked.withColumn(SLICE, _slice_number(order, frozen.num_rows))
+    sliced = _with_slice_number(marked, order, frozen.num_rows)
     sliced = sliced.withColumn(_HOT, F.col(_CUTS).isNotNull())
     return Sliced(sliced.drop(_CUTS, *cuts.columns), keys, order, hot=True)
 

@@ -116,3 +116,28 @@ def test_top_n(skewed):
     order = ["-a", "b", "id"]
     expected = global_rank(skewed, order).filter("rank <= 25")
     assert top_n(skewed, order, 25).exceptAll(expected).isEmpty()
+
+
+def test_the_slice_of_a_row_is_found_in_compiled_code(spark):
+    """No lambda, which Spark interprets, and no step written into another one."""
+    df = spark.range(4000).withColumn("n", F.col("id") % 7)
+    sliced = slice_rows(df, [], ["-n", "id"], rows_per_slice=10)
+    plan = with_row_number(sliced, "rank").result()._jdf.queryExecution().optimizedPlan().toString()
+    steps = [line for line in plan.splitlines() if "AS _slice#" in line]
+    assert steps and not any("lambdafunction" in line for line in steps)
+    assert max(map(len, steps)) < 10_000
+
+
+def test_mixed_directions_nulls_and_nan(spark):
+    rows = [
+        (a, b, c, n)
+        for n in range(30)
+        for a in ("x", "y", None)
+        for b in (float("nan"), float("-inf"), 0.0, None)
+        for c in (None, n % 3)
+    ]
+    df = spark.createDataFrame(rows, "a string, b double, c int, n int")
+    for order in (["-a", "-b", "c", "n"], ["a", "-b", "-c", "n"], ["b", "a", "-n", "c"]):
+        got = with_row_number(slice_rows(df, [], order, rows_per_slice=20), "rank").result()
+        plain = df.withColumn("rank", F.row_number().over(W.orderBy(*sort_columns(order))))
+        assert got.exceptAll(plain.withColumn("rank", F.col("rank").cast("long"))).isEmpty()
