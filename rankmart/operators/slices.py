@@ -130,15 +130,18 @@ def slice_rows(
     keys: Sequence[str],
     order: Sequence[str],
     rows_per_slice: int = ROWS_PER_SLICE,
+    like: DataFrame | None = None,
 ) -> Sliced:
     """Prepare ``df`` for windows over ``keys`` in ``order``.
 
     ``order`` must be a total order within a key, or equal rows land on either side
-    of each other at random, as with any window.
+    of each other at random, as with any window. Where ``df`` is a long plan, ``like`` is a
+    cheap one with the same key and order columns that holds its rows, and maybe more; it is
+    counted and sampled in place of ``df``.
     """
     keys, order = tuple(keys), tuple(order)
     names = [order_name(k) for k in order]
-    narrow = df.select(*dict.fromkeys([*keys, *names]))
+    narrow = (df if like is None else like).select(*dict.fromkeys([*keys, *names]))
 
     total = narrow.count()
     if total <= rows_per_slice * SLICES_PER_TASK:

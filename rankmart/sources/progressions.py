@@ -118,7 +118,9 @@ class Progressions:
         known = old.withColumn("_new", F.lit(False)).unionByName(
             new.withColumn("_new", F.lit(True)), allowMissingColumns=True
         )
-        sliced = slice_rows(known, [KEY], self.order, rows_per_slice)
+        # All that is known and some more, without the joins.
+        like = real.select(KEY, *self.order).unionByName(new.select(KEY, *self.order))
+        sliced = slice_rows(known, [KEY], self.order, rows_per_slice, like)
         near = {f"_before_{name}": column for name, column in self.values.items()}
         beside = with_next(with_previous(sliced, near), {"_next": self.start}).result()
         filled = {

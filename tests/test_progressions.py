@@ -9,9 +9,11 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from rankmart.operators.slices import slice_rows
 from rankmart.plans import gold
 from rankmart.plans.marts import PlayerProgressions
 from rankmart.plans.silver import VOCATION
+from rankmart.sources import progressions
 
 AT = datetime(2024, 5, 1)
 FIRST = datetime(2024, 1, 20)
@@ -95,3 +97,21 @@ def test_only_touched_buckets_and_later_months_are_read_and_written(spark, tmp_p
     gone, new = before - files(), files() - before
     assert gone == read and all(f"bucket={buckets[0]}/" in f for f in new)
     assert same(kept, history)
+
+
+def test_rows_are_counted_and_sampled_without_the_joins(spark, tmp_path, monkeypatch):
+    seen = []
+
+    def sliced(df, keys, order, rows_per_slice, like):
+        seen.append((df, like))
+        return slice_rows(df, keys, order, rows_per_slice, like)
+
+    monkeypatch.setattr(progressions, "slice_rows", sliced)
+    history = VOCATION.history(spark, str(tmp_path / "history"))
+    kept = PlayerProgressions(spark, str(tmp_path / "kept"))
+    for number in range(2):
+        history.apply(batch(spark, number, 1), FIRST + number * DAY)
+        kept.refresh(history, FIRST + number * DAY)
+    known, like = (df._jdf.queryExecution().analyzed().toString() for df in seen[-1])
+    assert "Join" in known and "Join" not in like
+    assert same(kept, history)
